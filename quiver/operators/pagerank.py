@@ -1,0 +1,183 @@
+"""PageRank without damping, with dangling mass spread over all nodes.
+
+Graph: ``(src, dst)`` rows, a bag; ``dst IS NULL`` is an edge into the sink.
+Each round a node sends ``rank * w / out_rows`` along each of its out-edges.
+What reaches the sink, plus the whole rank of nodes with no out-edge, is the
+dangling mass ``D``; every node then gets ``received + D / n``.
+
+``dangling="same"``    round t adds the ``D`` of round t (mass stays 1).
+``dangling="lagged"``  round t adds the ``D`` of round t-1 (0 in round 1),
+                       the way a chain of batch jobs passes it on.
+``dangling_scale``     if set, each message into the sink is truncated to whole
+                       ``1 / dangling_scale`` units before summing (mass leaks).
+
+Physical layout (per run, not per round):
+
+* the graph is pre-aggregated to ``(src, part, dst, share)`` and persisted
+  once, hash-partitioned by ``(src, part)`` (its lineage is one scan and one
+  aggregate, so a lost block is cheap to rebuild); a source
+  with more than ``split_rows`` out-edges is split into several parts
+  (salted by ``dst``), so one hub cannot put a third of the graph into one
+  task;
+* the node list ``(id)`` and the fan-out table ``(id, part)`` are persisted
+  once, partitioned by ``id``.
+
+Persisted tables keep their hash partitioning in later plans (a checkpoint
+does not), so the graph is never shuffled again after the first round.
+
+Each round then shuffles only the rank table (one row per node part) to the
+graph and the partially aggregated messages to their targets; the messages
+are checkpointed, which cuts the lineage so a lost executor recomputes one
+round, not all of them. The dangling mass is a single double read back to
+the driver per round.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quiver.functions.formatting import truncate_units
+from quiver.session import checkpoint_dir
+
+DANGLING = ("same", "lagged")
+
+
+@dataclass
+class PageRankResult:
+    ranks: DataFrame  # (id, rank): every real node after the last round
+    dangling: DataFrame  # (iteration, dangling): D of each round
+    mass: DataFrame  # (iteration, mass): sum of ranks after each round
+    nodes: int  # n
+
+
+@dataclass
+class _Layout:
+    graph: DataFrame  # (src, part, dst, share)
+    fanout: DataFrame  # (id, part)
+    nodes: DataFrame  # (id)
+    n: int
+
+
+def _layout(graph: DataFrame, extra_nodes: DataFrame | None, split_rows: int) -> _Layout:
+    spark = graph.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    g = graph.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
+    node_ids = g.select(F.col("src").alias("id")).unionByName(
+        g.where(F.col("dst").isNotNull()).select(F.col("dst").alias("id"))
+    )
+    if extra_nodes is not None:
+        node_ids = node_ids.unionByName(extra_nodes.select(F.col("id").cast("bigint").alias("id")))
+    nodes = node_ids.distinct().repartition(partitions, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    n = nodes.count()
+
+    weighted = g.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
+    out_rows = g.groupBy("src").agg(F.count(F.lit(1)).alias("out_rows"))
+    sized = out_rows.select(
+        "src", "out_rows", F.greatest(F.lit(1), F.ceil(F.col("out_rows") / split_rows)).alias("parts")
+    )
+    with_share = weighted.join(sized, "src").select(
+        "src",
+        F.when(F.col("parts") > 1, F.pmod(F.xxhash64("dst"), F.col("parts"))).otherwise(0).alias("part"),
+        "dst",
+        (F.col("w") / F.col("out_rows")).alias("share"),
+    )
+    # Nodes without any out-row hand their whole rank to the sink.
+    no_out = nodes.join(sized, nodes.id == sized.src, "left_anti").select(
+        F.col("id").alias("src"), F.lit(0).alias("part"),
+        F.lit(None).cast("bigint").alias("dst"), F.lit(1.0).alias("share"),
+    )
+    routed = (
+        with_share.unionByName(no_out)
+        .repartition(partitions, "src", "part")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+
+    fanout = (
+        sized.select(F.col("src").alias("id"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        .unionByName(no_out.select(F.col("src").alias("id"), "part"))
+        .repartition(partitions, "id")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    return _Layout(routed, fanout, nodes, n)
+
+
+def pagerank(
+    graph: DataFrame,
+    iterations: int = 10,
+    dangling: str = "same",
+    dangling_scale: int | None = None,
+    initial: DataFrame | None = None,
+    split_rows: int = 1_000_000,
+) -> PageRankResult:
+    """Run ``iterations`` rounds; see the module docstring for semantics.
+
+    ``initial``: optional start ranks ``(id, rank)``; default ``1 / n``.
+    """
+    if dangling not in DANGLING:
+        raise ValueError(f"dangling must be one of {DANGLING}, got {dangling!r}")
+    spark = graph.sparkSession
+    checkpoint_dir(spark)
+    layout = _layout(graph, initial, split_rows)
+    n = layout.n
+    if initial is None:
+        ranks = layout.nodes.select("id", F.lit(1.0 / n).alias("rank"))
+    else:
+        ranks = layout.nodes.join(initial.select("id", "rank"), "id", "left").select(
+            "id", F.coalesce(F.col("rank").cast("double"), F.lit(0.0)).alias("rank")
+        )
+
+    carried = 0.0
+    dangling_rows, mass_rows = [], []
+    for it in range(1, iterations + 1):
+        fanned = ranks.join(layout.fanout, "id")
+        messages = layout.graph.join(
+            fanned, (layout.graph.src == fanned.id) & (layout.graph.part == fanned.part)
+        ).select("dst", (F.col("share") * F.col("rank")).alias("m"))
+        if dangling_scale is None:
+            sink_units = F.lit(0).cast("bigint")
+        else:
+            sink_units = F.when(F.col("dst").isNull(), truncate_units(F.col("m"), dangling_scale))
+        received = messages.groupBy("dst").agg(
+            F.sum("m").alias("m"), F.sum(sink_units).alias("units")
+        ).checkpoint()
+        if dangling_scale is None:
+            d_col = F.col("m")
+        else:
+            d_col = F.col("units") / F.lit(float(dangling_scale))
+        d_df = received.agg(
+            F.coalesce(F.sum(F.when(F.col("dst").isNull(), d_col)), F.lit(0.0)).alias("dangling")
+        )
+        d_now = float(d_df.first()["dangling"])
+        spread = d_now if dangling == "same" else carried
+        carried = d_now
+
+        to_nodes = received.where(F.col("dst").isNotNull())
+        ranks = layout.nodes.join(to_nodes, layout.nodes.id == to_nodes.dst, "left").select(
+            "id", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / n)).alias("rank")
+        )
+        dangling_rows.append(d_df.select(F.lit(it).alias("iteration"), "dangling"))
+        mass_rows.append(ranks.agg(F.sum("rank").alias("mass")).select(F.lit(it).alias("iteration"), "mass"))
+
+    def union(frames: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, frames)
+
+    return PageRankResult(ranks, union(dangling_rows), union(mass_rows), n)
+
+
+def top_k(ranks: DataFrame, k: int) -> DataFrame:
+    """The ``k`` highest-ranked nodes; ties by ascending id.
+
+    ``orderBy + limit`` plans as a per-partition top-k merged on one task,
+    which holds ``k`` rows per partition, never the whole table.
+    """
+    return ranks.orderBy(F.col("rank").desc(), F.col("id").asc()).limit(k)
+
+
+def ranks_by_id(ranks: DataFrame) -> DataFrame:
+    """All ranks ordered by numeric id (a range-partitioned sort)."""
+    return ranks.orderBy("id")
