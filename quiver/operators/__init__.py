@@ -16,7 +16,7 @@ from quiver.operators.edges import (
     weighted_edges,
 )
 from quiver.operators.joins import STRATEGIES, resolve_strategy
-from quiver.operators.pagerank import PageRankResult, pagerank, ranks_by_id, top_k
+from quiver.operators.ranking import PageRankResult, pagerank, ranks_by_id, top_k
 from quiver.operators.paths import two_paths, two_paths_nested
 from quiver.operators.triangles import triangle_count
 

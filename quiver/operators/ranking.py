@@ -19,14 +19,15 @@ Physical layout (per run, not per round):
   with more than ``split_rows`` out-edges is split into several parts
   (salted by ``dst``), so one hub cannot put a third of the graph into one
   task;
-* the node list ``(id)`` and the fan-out table ``(id, part)`` are persisted
-  once, partitioned by ``id``.
+* the node-part table ``(id, part)`` (one row per node, more for a split
+  hub) is persisted once, partitioned by ``id``.
 
 Persisted tables keep their hash partitioning in later plans (a checkpoint
 does not), so the graph is never shuffled again after the first round.
 
 Each round then shuffles only the rank table (one row per node part) to the
-graph and the partially aggregated messages to their targets; the messages
+graph, where a hash join built on the ranks streams the graph without
+sorting it, and the partially aggregated messages to their targets; the messages
 are checkpointed, which cuts the lineage so a lost executor recomputes one
 round, not all of them. The dangling mass is a single double read back to
 the driver per round.
@@ -57,9 +58,8 @@ class PageRankResult:
 
 @dataclass
 class _Layout:
-    graph: DataFrame  # (src, part, dst, share)
-    fanout: DataFrame  # (id, part)
-    nodes: DataFrame  # (id)
+    graph: DataFrame  # (src, part, dst, share), partitioned by (src, part)
+    parts: DataFrame  # (id, part): one row per node part, partitioned by id
     n: int
 
 
@@ -72,8 +72,7 @@ def _layout(graph: DataFrame, extra_nodes: DataFrame | None, split_rows: int) ->
     )
     if extra_nodes is not None:
         node_ids = node_ids.unionByName(extra_nodes.select(F.col("id").cast("bigint").alias("id")))
-    nodes = node_ids.distinct().repartition(partitions, "id").persist(StorageLevel.MEMORY_AND_DISK)
-    n = nodes.count()
+    node_ids = node_ids.distinct()
 
     weighted = g.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
     out_rows = g.groupBy("src").agg(F.count(F.lit(1)).alias("out_rows"))
@@ -86,8 +85,13 @@ def _layout(graph: DataFrame, extra_nodes: DataFrame | None, split_rows: int) ->
         "dst",
         (F.col("w") / F.col("out_rows")).alias("share"),
     )
+    nodes = node_ids.join(sized, node_ids.id == sized.src, "left").select(
+        "id",
+        F.coalesce(F.col("parts"), F.lit(1)).alias("parts"),
+        F.col("src").isNull().alias("no_out"),
+    )
     # Nodes without any out-row hand their whole rank to the sink.
-    no_out = nodes.join(sized, nodes.id == sized.src, "left_anti").select(
+    no_out = nodes.where("no_out").select(
         F.col("id").alias("src"), F.lit(0).alias("part"),
         F.lit(None).cast("bigint").alias("dst"), F.lit(1.0).alias("share"),
     )
@@ -96,14 +100,13 @@ def _layout(graph: DataFrame, extra_nodes: DataFrame | None, split_rows: int) ->
         .repartition(partitions, "src", "part")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-
-    fanout = (
-        sized.select(F.col("src").alias("id"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        .unionByName(no_out.select(F.col("src").alias("id"), "part"))
+    parts = (
+        nodes.select("id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         .repartition(partitions, "id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return _Layout(routed, fanout, nodes, n)
+    n = parts.where(F.col("part") == 0).count()
+    return _Layout(routed, parts, n)
 
 
 def pagerank(
@@ -124,31 +127,35 @@ def pagerank(
     checkpoint_dir(spark)
     layout = _layout(graph, initial, split_rows)
     n = layout.n
+    parts = layout.parts
+    # Rank of every node part; part 0 is the node's own row.
     if initial is None:
-        ranks = layout.nodes.select("id", F.lit(1.0 / n).alias("rank"))
+        fanned = parts.select("id", "part", F.lit(1.0 / n).alias("rank"))
     else:
-        ranks = layout.nodes.join(initial.select("id", "rank"), "id", "left").select(
-            "id", F.coalesce(F.col("rank").cast("double"), F.lit(0.0)).alias("rank")
+        fanned = parts.join(initial.select("id", "rank"), "id", "left").select(
+            "id", "part", F.coalesce(F.col("rank").cast("double"), F.lit(0.0)).alias("rank")
         )
+    if dangling_scale is None:
+        d_col = F.col("m")
+    else:
+        d_col = F.col("units") / F.lit(float(dangling_scale))
 
     carried = 0.0
     dangling_rows, mass_rows = [], []
     for it in range(1, iterations + 1):
-        fanned = ranks.join(layout.fanout, "id")
+        # The rank side is small (one row per node part): build the hash
+        # table on it and stream the graph, which is never sorted or moved.
         messages = layout.graph.join(
-            fanned, (layout.graph.src == fanned.id) & (layout.graph.part == fanned.part)
+            fanned.hint("shuffle_hash"),
+            (layout.graph.src == fanned.id) & (layout.graph.part == fanned.part),
         ).select("dst", (F.col("share") * F.col("rank")).alias("m"))
         if dangling_scale is None:
-            sink_units = F.lit(0).cast("bigint")
+            sink_units = F.lit(None).cast("bigint")
         else:
             sink_units = F.when(F.col("dst").isNull(), truncate_units(F.col("m"), dangling_scale))
         received = messages.groupBy("dst").agg(
             F.sum("m").alias("m"), F.sum(sink_units).alias("units")
         ).checkpoint()
-        if dangling_scale is None:
-            d_col = F.col("m")
-        else:
-            d_col = F.col("units") / F.lit(float(dangling_scale))
         d_df = received.agg(
             F.coalesce(F.sum(F.when(F.col("dst").isNull(), d_col)), F.lit(0.0)).alias("dangling")
         )
@@ -157,15 +164,17 @@ def pagerank(
         carried = d_now
 
         to_nodes = received.where(F.col("dst").isNotNull())
-        ranks = layout.nodes.join(to_nodes, layout.nodes.id == to_nodes.dst, "left").select(
-            "id", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / n)).alias("rank")
+        fanned = parts.join(to_nodes, parts.id == to_nodes.dst, "left").select(
+            "id", "part", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / n)).alias("rank")
         )
+        own = fanned.where(F.col("part") == 0)
         dangling_rows.append(d_df.select(F.lit(it).alias("iteration"), "dangling"))
-        mass_rows.append(ranks.agg(F.sum("rank").alias("mass")).select(F.lit(it).alias("iteration"), "mass"))
+        mass_rows.append(own.agg(F.sum("rank").alias("mass")).select(F.lit(it).alias("iteration"), "mass"))
 
     def union(frames: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.unionByName, frames)
 
+    ranks = fanned.where(F.col("part") == 0).select("id", "rank")
     return PageRankResult(ranks, union(dangling_rows), union(mass_rows), n)
 
 
