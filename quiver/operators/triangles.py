@@ -5,10 +5,11 @@ A closing is a triple ``(a, b, c)`` with edges ``a -> b``, ``b -> c`` and
 three rotations, so ``triangles = closings div 3``. How repeated edges count
 is the ``mode`` (see :mod:`quiver.functions.weights`).
 
-Plan (all lazy, one final aggregate):
+Plan (one write of the oriented edge table, then one lazy final aggregate):
 
 1. Cap and pre-aggregate the edge bag to ``(src, dst, w)``: later joins see
-   each distinct edge once.
+   each distinct edge once. Orient each edge (up / down / loop) and write
+   the result once to the checkpoint folder; every later branch reads it.
 2. Rank users by ``(degree, id)`` and enumerate every cycle on three distinct
    users exactly once, from its lowest-ranked user ``a``: join ``a``'s
    out-edges to higher-ranked users with ``a``'s in-edges from higher-ranked
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from quiver.functions.weights import check_mode, loop_weight, rotation_sum
 from quiver.operators.edges import weighted_edges
 from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, JoinPlan, resolve_strategy
+from quiver.session import checkpoint_dir
 
 ORDERS = ("degree", "id")
 
@@ -39,13 +41,16 @@ def _ranks_before(deg_u: Column, u: Column, deg_v: Column, v: Column) -> Column:
     return (deg_u < deg_v) | ((deg_u == deg_v) & (u < v))
 
 
-def _oriented(simple: DataFrame, order: str, plan: JoinPlan) -> tuple[DataFrame, DataFrame]:
-    """Split loop-free weighted edges into ``up`` (towards a higher-ranked
-    user) and ``down`` (towards a lower-ranked one)."""
+def _oriented(weighted: DataFrame, order: str, plan: JoinPlan) -> DataFrame:
+    """``(src, dst, w, up)``: ``up`` is true for an edge towards a
+    higher-ranked user, false towards a lower-ranked one, NULL for a loop."""
+    loops = weighted.where(F.col("src") == F.col("dst")).select(
+        "src", "dst", "w", F.lit(None).cast("boolean").alias("up")
+    )
+    simple = weighted.where(F.col("src") != F.col("dst"))
     if order == "id":
-        up = simple.where(F.col("src") < F.col("dst"))
-        down = simple.where(F.col("src") > F.col("dst"))
-        return up, down
+        ranked = simple.select("src", "dst", "w", (F.col("src") < F.col("dst")).alias("up"))
+        return ranked.unionByName(loops)
     degree = (
         simple.select(F.explode(F.array("src", "dst")).alias("node"))
         .groupBy("node")
@@ -53,33 +58,39 @@ def _oriented(simple: DataFrame, order: str, plan: JoinPlan) -> tuple[DataFrame,
     )
     deg_src = plan.side(degree.select(F.col("node").alias("src"), F.col("deg").alias("deg_src")))
     deg_dst = plan.side(degree.select(F.col("node").alias("dst"), F.col("deg").alias("deg_dst")))
-    ranked = simple.join(deg_src, "src").join(deg_dst, "dst")
-    goes_up = _ranks_before(F.col("deg_src"), F.col("src"), F.col("deg_dst"), F.col("dst"))
-    up = ranked.where(goes_up).select("src", "dst", "w")
-    down = ranked.where(~goes_up).select("src", "dst", "w")
-    return up, down
+    ranked = simple.join(deg_src, "src").join(deg_dst, "dst").select(
+        "src", "dst", "w",
+        _ranks_before(F.col("deg_src"), F.col("src"), F.col("deg_dst"), F.col("dst")).alias("up"),
+    )
+    return ranked.unionByName(loops)
 
 
-def _simple_cycles(simple: DataFrame, mode: str, order: str, plan: JoinPlan) -> DataFrame:
+def _simple_cycles(oriented: DataFrame, mode: str, plan: JoinPlan) -> DataFrame:
     """Contribution of cycles on three distinct users, one row per cycle."""
-    up, down = _oriented(simple, order, plan)
-    out_a = up.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w_ab"))
+    out_a = oriented.where(F.col("up")).select(
+        F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w_ab")
+    )
     in_a = plan.side(
-        down.select(F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca"))
+        oriented.where(~F.col("up")).select(
+            F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca")
+        )
     )
     wedges = out_a.join(in_a, "a")
     closing = plan.side(
-        simple.select(F.col("src").alias("b"), F.col("dst").alias("c"), F.col("w").alias("w_bc"))
+        oriented.where(F.col("up").isNotNull()).select(
+            F.col("src").alias("b"), F.col("dst").alias("c"), F.col("w").alias("w_bc")
+        )
     )
     cycles = wedges.join(closing, ["b", "c"])
     return cycles.select(rotation_sum(mode, F.col("w_ab"), F.col("w_bc"), F.col("w_ca")).alias("c"))
 
 
-def _loop_cycles(weighted: DataFrame, simple: DataFrame, mode: str, plan: JoinPlan) -> DataFrame:
+def _loop_cycles(oriented: DataFrame, mode: str, plan: JoinPlan) -> DataFrame:
     """Contribution of cycles through a self-loop."""
-    loops = weighted.where(F.col("src") == F.col("dst")).select(
+    loops = oriented.where(F.col("up").isNull()).select(
         F.col("src").alias("x"), F.col("w").alias("w_xx")
     )
+    simple = oriented.where(F.col("up").isNotNull())
     alone = loops.select(loop_weight(mode, F.col("w_xx")).alias("c"))
     out_x = simple.select(F.col("src").alias("x"), F.col("dst").alias("y"), F.col("w").alias("w_xy"))
     back = plan.side(
@@ -114,13 +125,17 @@ def triangle_count(
     check_mode(mode)
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
+    checkpoint_dir(edges.sparkSession)
     weighted = weighted_edges(edges, max_id, allow_loops)
-    simple = weighted.where(F.col("src") != F.col("dst"))
     static_rows = None if max_id is None else max(max_id, 0) ** 2
     plan = resolve_strategy(strategy, weighted, static_rows, broadcast_max_rows)
+    # Every branch below reads this one table: written once to the shared
+    # checkpoint folder instead of re-scanning and re-aggregating the input
+    # per branch.
+    oriented = _oriented(weighted, order, plan).checkpoint()
 
-    parts = _simple_cycles(simple, mode, order, plan)
+    parts = _simple_cycles(oriented, mode, plan)
     if allow_loops:
-        parts = parts.unionByName(_loop_cycles(weighted, simple, mode, plan))
+        parts = parts.unionByName(_loop_cycles(oriented, mode, plan))
     total = parts.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("closings"))
     return total.select("closings", F.expr("closings div 3").alias("triangles"))
