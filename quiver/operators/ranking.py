@@ -27,16 +27,18 @@ does not), so the graph is never shuffled again after the first round.
 
 Each round then shuffles only the rank table (one row per node part) to the
 graph, where a hash join built on the ranks streams the graph without
-sorting it, and the partially aggregated messages to their targets; the messages
-are checkpointed, which cuts the lineage so a lost executor recomputes one
-round, not all of them. The dangling mass is a single double read back to
-the driver per round.
+sorting it, and the partially aggregated messages to their targets. The
+messages are written to the checkpoint folder every ``checkpoint_every``
+rounds (default: every round; persisted in between), which cuts the lineage
+so a lost executor recomputes at most that many rounds and the plan does not
+grow with the round count. One small job per round reads two doubles
+back to the driver: the dangling mass and the mass that reached real nodes
+(the per-round ``dangling`` and ``mass`` outputs).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -116,10 +118,14 @@ def pagerank(
     dangling_scale: int | None = None,
     initial: DataFrame | None = None,
     split_rows: int = 1_000_000,
+    checkpoint_every: int = 1,
 ) -> PageRankResult:
     """Run ``iterations`` rounds; see the module docstring for semantics.
 
     ``initial``: optional start ranks ``(id, rank)``; default ``1 / n``.
+    ``split_rows``: out-edges per part of a hub source.
+    ``checkpoint_every``: rounds between reliable checkpoints of the messages.
+    The returned ranks are checkpointed and every cache is released.
     """
     if dangling not in DANGLING:
         raise ValueError(f"dangling must be one of {DANGLING}, got {dangling!r}")
@@ -141,7 +147,8 @@ def pagerank(
         d_col = F.col("units") / F.lit(float(dangling_scale))
 
     carried = 0.0
-    dangling_rows, mass_rows = [], []
+    stats: list[tuple[int, float, float]] = []
+    held: list[DataFrame] = []
     for it in range(1, iterations + 1):
         # The rank side is small (one row per node part): build the hash
         # table on it and stream the graph, which is never sorted or moved.
@@ -155,27 +162,40 @@ def pagerank(
             sink_units = F.when(F.col("dst").isNull(), truncate_units(F.col("m"), dangling_scale))
         received = messages.groupBy("dst").agg(
             F.sum("m").alias("m"), F.sum(sink_units).alias("units")
-        ).checkpoint()
-        d_df = received.agg(
-            F.coalesce(F.sum(F.when(F.col("dst").isNull(), d_col)), F.lit(0.0)).alias("dangling")
         )
-        d_now = float(d_df.first()["dangling"])
+        if it % checkpoint_every == 0:
+            # Cut the lineage: a lost executor then recomputes at most
+            # ``checkpoint_every`` rounds, and the plan stops growing.
+            received = received.checkpoint()
+        else:
+            received = received.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(received)
+        # One small job per round: the dangling mass and the mass that
+        # reached real nodes, both read from the (cached) messages.
+        row = received.agg(
+            F.coalesce(F.sum(F.when(F.col("dst").isNull(), d_col)), F.lit(0.0)).alias("dangling"),
+            F.coalesce(F.sum(F.when(F.col("dst").isNotNull(), F.col("m"))), F.lit(0.0)).alias("reached"),
+        ).first()
+        while len(held) > 1 or (held and held[-1] is not received):
+            held.pop(0).unpersist()
+        d_now = float(row["dangling"])
         spread = d_now if dangling == "same" else carried
         carried = d_now
+        # Every node gets spread / n, so the total is reached + spread.
+        stats.append((it, d_now, float(row["reached"]) + spread))
 
         to_nodes = received.where(F.col("dst").isNotNull())
         fanned = parts.join(to_nodes, parts.id == to_nodes.dst, "left").select(
             "id", "part", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / n)).alias("rank")
         )
-        own = fanned.where(F.col("part") == 0)
-        dangling_rows.append(d_df.select(F.lit(it).alias("iteration"), "dangling"))
-        mass_rows.append(own.agg(F.sum("rank").alias("mass")).select(F.lit(it).alias("iteration"), "mass"))
-
-    def union(frames: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, frames)
 
-    ranks = fanned.where(F.col("part") == 0).select("id", "rank")
-    return PageRankResult(ranks, union(dangling_rows), union(mass_rows), n)
+    ranks = fanned.where(F.col("part") == 0).select("id", "rank").checkpoint()
+    for frame in held + [layout.graph, layout.parts]:
+        frame.unpersist()
+    per_round = spark.createDataFrame(stats, "iteration int, dangling double, mass double")
+    return PageRankResult(
+        ranks, per_round.select("iteration", "dangling"), per_round.select("iteration", "mass"), n
+    )
 
 
 def top_k(ranks: DataFrame, k: int) -> DataFrame:

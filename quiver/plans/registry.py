@@ -115,7 +115,8 @@ def two_paths_nested(spark, sf_dir):
 
 
 def triangle_bag(spark, sf_dir):
-    return ops.triangle_count(_edges(spark, sf_dir), "bag", CAP_DATAFRAME_TRIANGLES)
+    """Reduce-side (shuffle) join closing every path with every closing edge."""
+    return ops.triangle_count(_edges(spark, sf_dir), "bag", CAP_DATAFRAME_TRIANGLES, strategy="shuffle")
 
 
 def triangle_bag_broadcast(spark, sf_dir):
@@ -125,7 +126,8 @@ def triangle_bag_broadcast(spark, sf_dir):
 
 
 def triangle_path_bag(spark, sf_dir):
-    return ops.triangle_count(_edges(spark, sf_dir), "path_bag", CAP_SHUFFLE_TRIANGLES)
+    """Reduce-side join: a bag of paths, each probed once for a closing edge."""
+    return ops.triangle_count(_edges(spark, sf_dir), "path_bag", CAP_SHUFFLE_TRIANGLES, strategy="shuffle")
 
 
 def triangle_probe_bag(spark, sf_dir):
@@ -135,6 +137,7 @@ def triangle_probe_bag(spark, sf_dir):
 
 
 def triangle_set(spark, sf_dir):
+    """De-duplicated edges; the join strategy is left to AQE."""
     return ops.triangle_count(_edges(spark, sf_dir), "set", CAP_DATAFRAME_TRIANGLES)
 
 
