@@ -30,7 +30,12 @@ from pyspark.sql import functions as F
 
 from quiver.functions.weights import check_mode, loop_weight, rotation_sum
 from quiver.operators.edges import weighted_edges
-from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, JoinPlan, resolve_strategy
+from quiver.operators.joins import (
+    DEFAULT_BROADCAST_MAX_ROWS,
+    JoinPlan,
+    check_strategy,
+    resolve_strategy,
+)
 from quiver.session import checkpoint_dir
 
 ORDERS = ("degree", "id")
@@ -126,13 +131,15 @@ def triangle_count(
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
     checkpoint_dir(edges.sparkSession)
+    check_strategy(strategy)
     weighted = weighted_edges(edges, max_id, allow_loops)
-    static_rows = None if max_id is None else max(max_id, 0) ** 2
-    plan = resolve_strategy(strategy, weighted, static_rows, broadcast_max_rows)
     # Every branch below reads this one table: written once to the shared
     # checkpoint folder instead of re-scanning and re-aggregating the input
-    # per branch.
-    oriented = _oriented(weighted, order, plan).checkpoint()
+    # per branch. The degree joins inside are left to AQE.
+    oriented = _oriented(weighted, order, JoinPlan("auto")).checkpoint()
+    static_rows = None if max_id is None else max(max_id, 0) ** 2
+    # The size check (if any) reads the checkpointed table, not the input.
+    plan = resolve_strategy(strategy, oriented, static_rows, broadcast_max_rows)
 
     parts = _simple_cycles(oriented, mode, plan)
     if allow_loops:
