@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quiver.functions.formatting import truncate_units
+from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 from quiver.session import checkpoint_dir
 
 DANGLING = ("same", "lagged")
@@ -63,6 +64,7 @@ class _Layout:
     graph: DataFrame  # (src, part, dst, share), partitioned by (src, part)
     parts: DataFrame  # (id, part): one row per node part, partitioned by id
     n: int
+    part_rows: int
 
 
 def _layout(graph: DataFrame, extra_nodes: DataFrame | None, split_rows: int) -> _Layout:
@@ -107,8 +109,10 @@ def _layout(graph: DataFrame, extra_nodes: DataFrame | None, split_rows: int) ->
         .repartition(partitions, "id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    n = parts.where(F.col("part") == 0).count()
-    return _Layout(routed, parts, n)
+    counts = parts.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col("part") == 0, 1)).alias("nodes")
+    ).first()
+    return _Layout(routed, parts, int(counts["nodes"] or 0), int(counts["rows"]))
 
 
 def pagerank(
@@ -119,12 +123,16 @@ def pagerank(
     initial: DataFrame | None = None,
     split_rows: int = 1_000_000,
     checkpoint_every: int = 1,
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> PageRankResult:
     """Run ``iterations`` rounds; see the module docstring for semantics.
 
     ``initial``: optional start ranks ``(id, rank)``; default ``1 / n``.
     ``split_rows``: out-edges per part of a hub source.
     ``checkpoint_every``: rounds between reliable checkpoints of the messages.
+    ``broadcast_max_rows``: when the node-part table is at most this many rows
+    (its size is counted exactly once, before the first round), each round
+    broadcasts the ranks to the graph instead of shuffling them.
     The returned ranks are checkpointed and every cache is released.
     """
     if dangling not in DANGLING:
@@ -146,6 +154,7 @@ def pagerank(
     else:
         d_col = F.col("units") / F.lit(float(dangling_scale))
 
+    replicate_ranks = layout.part_rows <= broadcast_max_rows
     carried = 0.0
     stats: list[tuple[int, float, float]] = []
     held: list[DataFrame] = []
@@ -153,7 +162,7 @@ def pagerank(
         # The rank side is small (one row per node part): build the hash
         # table on it and stream the graph, which is never sorted or moved.
         messages = layout.graph.join(
-            fanned.hint("shuffle_hash"),
+            F.broadcast(fanned) if replicate_ranks else fanned.hint("shuffle_hash"),
             (layout.graph.src == fanned.id) & (layout.graph.part == fanned.part),
         ).select("dst", (F.col("share") * F.col("rank")).alias("m"))
         if dangling_scale is None:
