@@ -67,10 +67,21 @@ class _Layout:
     part_rows: int
 
 
-def _layout(graph: DataFrame, extra_nodes: DataFrame | None, split_rows: int) -> _Layout:
+def layout_partitions(spark, rows: int, rows_per_partition: int) -> int:
+    """Partitions for a persisted layout of ``rows`` rows: about
+    ``rows_per_partition`` each, never fewer than the cluster's default
+    parallelism. A cached plan's final shuffle is not coalesced by AQE, so
+    the count must come from the data, not from ``spark.sql.shuffle.partitions``.
+    """
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition), 1)
+
+
+def _layout(
+    graph: DataFrame, extra_nodes: DataFrame | None, split_rows: int, rows_per_partition: int
+) -> _Layout:
     spark = graph.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = graph.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
+    partitions = layout_partitions(spark, g.count(), rows_per_partition)
     node_ids = g.select(F.col("src").alias("id")).unionByName(
         g.where(F.col("dst").isNotNull()).select(F.col("dst").alias("id"))
     )
@@ -124,6 +135,7 @@ def pagerank(
     split_rows: int = 1_000_000,
     checkpoint_every: int = 1,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    rows_per_partition: int = 4_000_000,
 ) -> PageRankResult:
     """Run ``iterations`` rounds; see the module docstring for semantics.
 
@@ -133,13 +145,15 @@ def pagerank(
     ``broadcast_max_rows``: when the node-part table is at most this many rows
     (its size is counted exactly once, before the first round), each round
     broadcasts the ranks to the graph instead of shuffling them.
+    ``rows_per_partition``: sizing of the persisted graph layout (about
+    128 MB of graph rows per partition).
     The returned ranks are checkpointed and every cache is released.
     """
     if dangling not in DANGLING:
         raise ValueError(f"dangling must be one of {DANGLING}, got {dangling!r}")
     spark = graph.sparkSession
     checkpoint_dir(spark)
-    layout = _layout(graph, initial, split_rows)
+    layout = _layout(graph, initial, split_rows, rows_per_partition)
     n = layout.n
     parts = layout.parts
     # Rank of every node part; part 0 is the node's own row.

@@ -60,7 +60,7 @@ def test_pagerank_layout_spreads_a_hub_source(spark):
     # Hub 1 has 400 out-edges; with split_rows=50 it becomes 8 parts.
     graph = spark.range(2, 402).select(F.lit(1).cast("bigint").alias("src"), F.col("id").alias("dst"))
     graph = graph.unionByName(spark.range(2, 402).select(F.col("id").alias("src"), F.lit(1).cast("bigint").alias("dst")))
-    layout = _layout(graph, None, split_rows=50)
+    layout = _layout(graph, None, split_rows=50, rows_per_partition=100)
     hub_rows = layout.graph.where("src = 1")
     per_partition = hub_rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert hub_rows.select("part").distinct().count() == 8
