@@ -11,16 +11,13 @@ SF001 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    from quiver.session import build_session
-
-    session = build_session(
-        "local[*]",
-        app_name="quiver-tests",
-        shuffle_partitions=8,
-        # Tests set their own checkpoint folder; a cluster names a shared one.
-        conf={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))},
-    )
+def spark():
+    from quiver.session import build_session, checkpoint_dir
+
+    session = build_session("local[*]", app_name="quiver-tests", shuffle_partitions=8)
+    # Uses spark.checkpoint.dir when the environment names one; only an
+    # unset local session gets a folder of its own.
+    checkpoint_dir(session)
     yield session
     session.stop()
 
