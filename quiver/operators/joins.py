@@ -34,8 +34,9 @@ def check_strategy(strategy: str) -> str:
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows (the limit stops the scan early), so
-    the check costs no more than the broadcast itself would.
+    Each task stops after ``max_rows + 1`` rows of its partition (a local
+    limit), so on a scan or a checkpointed table the check reads no more
+    than the broadcast itself would.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 

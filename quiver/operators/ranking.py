@@ -25,9 +25,11 @@ Physical layout (per run, not per round):
 Persisted tables keep their hash partitioning in later plans (a checkpoint
 does not), so the graph is never shuffled again after the first round.
 
-Each round then shuffles only the rank table (one row per node part) to the
+Each round then moves only the rank table (one row per node part) to the
 graph, where a hash join built on the ranks streams the graph without
 sorting it, and the partially aggregated messages to their targets. The
+rank table is shuffled, or broadcast when its exact row count (taken once
+before the first round) is at most ``broadcast_max_rows``. The
 messages are written to the checkpoint folder every ``checkpoint_every``
 rounds (default: every round; persisted in between), which cuts the lineage
 so a lost executor recomputes at most that many rounds and the plan does not

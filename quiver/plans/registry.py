@@ -115,22 +115,26 @@ def two_paths_nested(spark, sf_dir):
 
 
 def triangle_bag(spark, sf_dir):
-    """Reduce-side (shuffle) join closing every path with every closing edge."""
+    """Bag semantics (every edge occurrence counts), sort-merge (shuffle) joins."""
     return ops.triangle_count(_edges(spark, sf_dir), "bag", CAP_DATAFRAME_TRIANGLES, strategy="shuffle")
 
 
 def triangle_bag_broadcast(spark, sf_dir):
+    """Bag semantics; the edge table is broadcast once its row count is proven
+    to fit, otherwise the joins shuffle."""
     return ops.triangle_count(
         _edges(spark, sf_dir), "bag", CAP_DATAFRAME_TRIANGLES, strategy="broadcast"
     )
 
 
 def triangle_path_bag(spark, sf_dir):
-    """Reduce-side join: a bag of paths, each probed once for a closing edge."""
+    """Paths counted as a bag, closing edges as a set; sort-merge (shuffle) joins."""
     return ops.triangle_count(_edges(spark, sf_dir), "path_bag", CAP_SHUFFLE_TRIANGLES, strategy="shuffle")
 
 
 def triangle_probe_bag(spark, sf_dir):
+    """Probing edges counted as a bag, the two table edges as sets; broadcast
+    joins behind the size check."""
     return ops.triangle_count(
         _edges(spark, sf_dir), "probe_bag", CAP_REPLICATED_TRIANGLES, strategy="broadcast"
     )
