@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 STRATEGIES = ("auto", "shuffle", "broadcast")
 
-# Largest side (rows) quiver replicates. Edge rows are two or three BIGINTs,
-# so the default keeps a broadcast relation below ~1 GB of executor memory.
-DEFAULT_BROADCAST_MAX_ROWS = 20_000_000
+# Largest side (rows) quiver replicates. A broadcast edge row (three BIGINTs
+# and a flag) takes about 40 bytes as a hashed relation, so the default keeps
+# each broadcast relation near 200 MB; a triangle plan broadcasts up to four.
+DEFAULT_BROADCAST_MAX_ROWS = 5_000_000
 
 log = logging.getLogger(__name__)
 
