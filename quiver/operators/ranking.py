@@ -30,12 +30,12 @@ graph, where a hash join built on the ranks streams the graph without
 sorting it, and the partially aggregated messages to their targets. The
 rank table is shuffled, or broadcast when its exact row count (taken once
 before the first round) is at most ``broadcast_max_rows``. The
-messages are written to the checkpoint folder every ``checkpoint_every``
-rounds (default: every round; persisted in between), which cuts the lineage
-so a lost executor recomputes at most that many rounds and the plan does not
-grow with the round count. One small job per round reads two doubles
-back to the driver: the dangling mass and the mass that reached real nodes
-(the per-round ``dangling`` and ``mass`` outputs).
+messages of every round are checkpointed to the shared folder, which cuts
+the lineage (a lost executor recomputes one round, and the plan does not
+grow with the round count). Two doubles are observed while that checkpoint
+is written and read back to the driver: the dangling mass and the mass that
+reached real nodes (the per-round ``dangling`` and ``mass`` outputs). So a
+round is one job.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quiver.functions.formatting import truncate_units
@@ -135,7 +135,6 @@ def pagerank(
     dangling_scale: int | None = None,
     initial: DataFrame | None = None,
     split_rows: int = 1_000_000,
-    checkpoint_every: int = 1,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     rows_per_partition: int = 4_000_000,
 ) -> PageRankResult:
@@ -143,7 +142,6 @@ def pagerank(
 
     ``initial``: optional start ranks ``(id, rank)``; default ``1 / n``.
     ``split_rows``: out-edges per part of a hub source.
-    ``checkpoint_every``: rounds between reliable checkpoints of the messages.
     ``broadcast_max_rows``: when the node-part table is at most this many rows
     (its size is counted exactly once, before the first round), each round
     broadcasts the ranks to the graph instead of shuffling them.
@@ -173,7 +171,6 @@ def pagerank(
     replicate_ranks = layout.part_rows <= broadcast_max_rows
     carried = 0.0
     stats: list[tuple[int, float, float]] = []
-    held: list[DataFrame] = []
     for it in range(1, iterations + 1):
         # The rank side is small (one row per node part): build the hash
         # table on it and stream the graph, which is never sorted or moved.
@@ -188,21 +185,17 @@ def pagerank(
         received = messages.groupBy("dst").agg(
             F.sum("m").alias("m"), F.sum(sink_units).alias("units")
         )
-        if it % checkpoint_every == 0:
-            # Cut the lineage: a lost executor then recomputes at most
-            # ``checkpoint_every`` rounds, and the plan stops growing.
-            received = received.checkpoint()
-        else:
-            received = received.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(received)
-        # One small job per round: the dangling mass and the mass that
-        # reached real nodes, both read from the (cached) messages.
-        row = received.agg(
+        # One job per round: the checkpoint cuts the lineage (a lost executor
+        # recomputes one round; the plan does not grow), and the dangling
+        # mass and the mass that reached real nodes are observed while it is
+        # written, with no second pass.
+        observation = Observation(f"pagerank-round-{it}")
+        received = received.observe(
+            observation,
             F.coalesce(F.sum(F.when(F.col("dst").isNull(), d_col)), F.lit(0.0)).alias("dangling"),
             F.coalesce(F.sum(F.when(F.col("dst").isNotNull(), F.col("m"))), F.lit(0.0)).alias("reached"),
-        ).first()
-        while len(held) > 1 or (held and held[-1] is not received):
-            held.pop(0).unpersist()
+        ).checkpoint()
+        row = observation.get
         d_now = float(row["dangling"])
         spread = d_now if dangling == "same" else carried
         carried = d_now
@@ -215,7 +208,7 @@ def pagerank(
         )
 
     ranks = fanned.where(F.col("part") == 0).select("id", "rank").checkpoint()
-    for frame in held + [layout.graph, layout.parts]:
+    for frame in (layout.graph, layout.parts):
         frame.unpersist()
     per_round = spark.createDataFrame(stats, "iteration int, dangling double, mass double")
     return PageRankResult(
