@@ -61,19 +61,25 @@ def resolve_strategy(
     table: DataFrame,
     static_rows: int | None = None,
     max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    known_rows: int | None = None,
 ) -> JoinPlan:
     """Turn a requested strategy into a safe one.
 
     ``broadcast`` is kept only if ``static_rows`` (an upper bound known from
-    the query, e.g. ``max_id ** 2`` distinct capped edges) or a bounded count
-    of ``table`` proves the side fits; otherwise ``shuffle`` is used.
+    the query, e.g. ``max_id ** 2`` distinct capped edges), ``known_rows``
+    (an exact count already taken, e.g. observed while the table was
+    written) or a bounded count of ``table`` proves the side fits; otherwise
+    ``shuffle`` is used.
     """
     check_strategy(strategy)
     if strategy != "broadcast":
         return JoinPlan(strategy)
     if static_rows is not None and static_rows <= max_rows:
         return JoinPlan("broadcast")
-    if rows_at_most(table, max_rows):
+    if known_rows is not None:
+        if known_rows <= max_rows:
+            return JoinPlan("broadcast")
+    elif rows_at_most(table, max_rows):
         return JoinPlan("broadcast")
     log.warning("broadcast side exceeds %d rows; using a shuffle join", max_rows)
     return JoinPlan("shuffle")

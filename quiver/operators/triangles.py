@@ -25,7 +25,7 @@ Plan (one write of the oriented edge table, then one lazy final aggregate):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quiver.functions.weights import check_mode, loop_weight, rotation_sum
@@ -136,10 +136,18 @@ def triangle_count(
     # Every branch below reads this one table: written once to the shared
     # checkpoint folder instead of re-scanning and re-aggregating the input
     # per branch. The degree joins inside are left to AQE.
-    oriented = _oriented(weighted, order, JoinPlan("auto")).checkpoint()
+    # Its exact row count is observed while it is written, so the broadcast
+    # size check needs no pass of its own.
+    observation = Observation("triangle-edges")
+    oriented = (
+        _oriented(weighted, order, JoinPlan("auto"))
+        .observe(observation, F.count(F.lit(1)).alias("rows"))
+        .checkpoint()
+    )
     static_rows = None if max_id is None else max(max_id, 0) ** 2
-    # The size check (if any) reads the checkpointed table, not the input.
-    plan = resolve_strategy(strategy, oriented, static_rows, broadcast_max_rows)
+    plan = resolve_strategy(
+        strategy, oriented, static_rows, broadcast_max_rows, known_rows=observation.get["rows"]
+    )
 
     parts = _simple_cycles(oriented, mode, plan)
     if allow_loops:
