@@ -13,9 +13,10 @@ dangling mass ``D``; every node then gets ``received + D / n``.
 
 Physical layout (per run, not per round):
 
-* the graph is pre-aggregated to ``(src, part, dst, share)`` and persisted
-  once, hash-partitioned by ``(src, part)`` (its lineage is one scan and one
-  aggregate, so a lost block is cheap to rebuild); a source
+* the input is read once, pre-aggregated to weighted edges; the graph
+  ``(src, part, dst, share)`` is persisted, hash-partitioned by
+  ``(src, part)`` (its lineage is one scan and a few aggregates, so a lost
+  block is cheap to rebuild); a source
   with more than ``split_rows`` out-edges is split into several parts
   (salted by ``dst``), so one hub cannot put a third of the graph into one
   task;
@@ -83,16 +84,22 @@ def _layout(
 ) -> _Layout:
     spark = graph.sparkSession
     g = graph.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
-    partitions = layout_partitions(spark, g.count(), rows_per_partition)
-    node_ids = g.select(F.col("src").alias("id")).unionByName(
-        g.where(F.col("dst").isNotNull()).select(F.col("dst").alias("id"))
+    # The input is read once: every table below derives from the weighted
+    # edges, which are cached until the layout is built.
+    weighted = g.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    rows = weighted.agg(F.sum("w").alias("rows")).first()["rows"] or 0
+    partitions = layout_partitions(spark, int(rows), rows_per_partition)
+
+    node_ids = weighted.select(F.col("src").alias("id")).unionByName(
+        weighted.where(F.col("dst").isNotNull()).select(F.col("dst").alias("id"))
     )
     if extra_nodes is not None:
         node_ids = node_ids.unionByName(extra_nodes.select(F.col("id").cast("bigint").alias("id")))
     node_ids = node_ids.distinct()
 
-    weighted = g.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
-    out_rows = g.groupBy("src").agg(F.count(F.lit(1)).alias("out_rows"))
+    out_rows = weighted.groupBy("src").agg(F.sum("w").alias("out_rows"))
     sized = out_rows.select(
         "src", "out_rows", F.greatest(F.lit(1), F.ceil(F.col("out_rows") / split_rows)).alias("parts")
     )
@@ -125,6 +132,8 @@ def _layout(
     counts = parts.agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col("part") == 0, 1)).alias("nodes")
     ).first()
+    routed.count()  # build the graph layout now, so the weighted edges can go
+    weighted.unpersist()
     return _Layout(routed, parts, int(counts["nodes"] or 0), int(counts["rows"]))
 
 
