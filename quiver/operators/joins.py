@@ -83,3 +83,29 @@ def resolve_strategy(
         return JoinPlan("broadcast")
     log.warning("broadcast side exceeds %d rows; using a shuffle join", max_rows)
     return JoinPlan("shuffle")
+
+
+def salted_join(rows: DataFrame, table: DataFrame, key: str, spread: str, hot: DataFrame) -> DataFrame:
+    """``rows JOIN table USING (key)`` where ``table`` has one row per key,
+    with hot keys split across tasks.
+
+    ``hot`` lists the keys that hold many ``rows`` as ``(key, salts)``; it
+    must be small (the caller proves a bound), because it is broadcast. A
+    hot key's rows are spread over ``salts`` sub-keys by a hash of
+    ``spread`` (deterministic, so a retried task routes every row the same
+    way), and its ``table`` row is replicated once per sub-key. Every other
+    key keeps sub-key 0. Each row still meets exactly its own key's table
+    row, so the result equals the plain join.
+    """
+    marks = F.broadcast(hot.select(key, F.col("salts").cast("int").alias("salts")))
+    salted_rows = rows.join(marks, key, "left").select(
+        *[F.col(c) for c in rows.columns],
+        F.when(F.col("salts").isNull(), F.lit(0))
+        .otherwise(F.pmod(F.xxhash64(spread), F.col("salts")).cast("int"))
+        .alias("_salt"),
+    )
+    replicated = table.join(marks, key, "left").select(
+        *[F.col(c) for c in table.columns],
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)).alias("_salt"),
+    )
+    return salted_rows.join(replicated, [key, "_salt"]).drop("_salt")

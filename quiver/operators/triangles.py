@@ -25,6 +25,7 @@ Plan (one write of the oriented edge table, then one lazy final aggregate):
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -35,6 +36,7 @@ from quiver.operators.joins import (
     JoinPlan,
     check_strategy,
     resolve_strategy,
+    salted_join,
 )
 from quiver.session import checkpoint_dir
 
@@ -46,9 +48,16 @@ def _ranks_before(deg_u: Column, u: Column, deg_v: Column, v: Column) -> Column:
     return (deg_u < deg_v) | ((deg_u == deg_v) & (u < v))
 
 
-def _oriented(weighted: DataFrame, order: str, plan: JoinPlan) -> DataFrame:
+def _oriented(
+    weighted: DataFrame, order: str, plan: JoinPlan, hot_rows: int | None = None
+) -> DataFrame:
     """``(src, dst, w, up)``: ``up`` is true for an edge towards a
-    higher-ranked user, false towards a lower-ranked one, NULL for a loop."""
+    higher-ranked user, false towards a lower-ranked one, NULL for a loop.
+
+    With ``hot_rows``, users with more than that many edges are split across
+    tasks when their degree is attached (see :func:`salted_join`); the
+    caller proves that the list of such users is small enough to broadcast.
+    """
     loops = weighted.where(F.col("src") == F.col("dst")).select(
         "src", "dst", "w", F.lit(None).cast("boolean").alias("up")
     )
@@ -61,9 +70,19 @@ def _oriented(weighted: DataFrame, order: str, plan: JoinPlan) -> DataFrame:
         .groupBy("node")
         .agg(F.count(F.lit(1)).alias("deg"))
     )
-    deg_src = plan.side(degree.select(F.col("node").alias("src"), F.col("deg").alias("deg_src")))
-    deg_dst = plan.side(degree.select(F.col("node").alias("dst"), F.col("deg").alias("deg_dst")))
-    ranked = simple.join(deg_src, "src").join(deg_dst, "dst").select(
+    deg_src = degree.select(F.col("node").alias("src"), F.col("deg").alias("deg_src"))
+    deg_dst = degree.select(F.col("node").alias("dst"), F.col("deg").alias("deg_dst"))
+    if hot_rows is None:
+        with_degrees = simple.join(plan.side(deg_src), "src").join(plan.side(deg_dst), "dst")
+    else:
+        # A hub's edges would all meet its single degree row in one task;
+        # split them by the other endpoint instead.
+        hot = degree.where(F.col("deg") > hot_rows).select(
+            "node", F.ceil(F.col("deg") / hot_rows).alias("salts")
+        )
+        with_src = salted_join(simple, deg_src, "src", "dst", hot.withColumnRenamed("node", "src"))
+        with_degrees = salted_join(with_src, deg_dst, "dst", "src", hot.withColumnRenamed("node", "dst"))
+    ranked = with_degrees.select(
         "src", "dst", "w",
         _ranks_before(F.col("deg_src"), F.col("src"), F.col("deg_dst"), F.col("dst")).alias("up"),
     )
@@ -116,6 +135,7 @@ def triangle_count(
     strategy: str = "auto",
     order: str = "degree",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """``(closings, triangles)`` of a follower edge bag, one row.
 
@@ -125,25 +145,34 @@ def triangle_count(
     ``strategy``: ``auto`` | ``shuffle`` | ``broadcast`` (the edge table is
     replicated only when the cap or a bounded count proves it fits).
     ``order``: ``degree`` (hub-safe) or ``id`` (skips the degree joins; for
-    graphs without hubs). The result does not depend on strategy or order.
+    graphs without hubs). ``hot_rows``: users with more edges than this are
+    split across tasks when their degree is attached. The result does not
+    depend on strategy, order or ``hot_rows``.
     """
     check_mode(mode)
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
     checkpoint_dir(edges.sparkSession)
     check_strategy(strategy)
-    weighted = weighted_edges(edges, max_id, allow_loops)
+    # The input is read once: the weighted edges are cached while the
+    # oriented table is built from them.
+    weighted = weighted_edges(edges, max_id, allow_loops).persist(StorageLevel.MEMORY_AND_DISK)
+    distinct_edges = weighted.count()
+    # At most 2 * edges / hot_rows users have more than hot_rows edges, so
+    # that list is provably small enough to broadcast below the bound;
+    # beyond it the degree joins are left to AQE.
+    salt_hubs = order == "degree" and 2 * distinct_edges // hot_rows <= broadcast_max_rows
     # Every branch below reads this one table: written once to the shared
     # checkpoint folder instead of re-scanning and re-aggregating the input
-    # per branch. The degree joins inside are left to AQE.
-    # Its exact row count is observed while it is written, so the broadcast
-    # size check needs no pass of its own.
+    # per branch. Its exact row count is observed while it is written, so
+    # the broadcast size check needs no pass of its own.
     observation = Observation("triangle-edges")
     oriented = (
-        _oriented(weighted, order, JoinPlan("auto"))
+        _oriented(weighted, order, JoinPlan("auto"), hot_rows if salt_hubs else None)
         .observe(observation, F.count(F.lit(1)).alias("rows"))
         .checkpoint()
     )
+    weighted.unpersist()
     static_rows = None if max_id is None else max(max_id, 0) ** 2
     plan = resolve_strategy(
         strategy, oriented, static_rows, broadcast_max_rows, known_rows=observation.get["rows"]

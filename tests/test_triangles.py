@@ -97,8 +97,8 @@ edge_bags = st.lists(
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(pairs=edge_bags, mode=st.sampled_from(MODES), loops=st.booleans())
-def test_matches_brute_force(edges_of, pairs, mode, loops):
+@given(pairs=edge_bags, mode=st.sampled_from(MODES), loops=st.booleans(), hot=st.sampled_from([1_000_000, 2]))
+def test_matches_brute_force(edges_of, pairs, mode, loops, hot):
     expected = brute_force(pairs, mode, loops)
-    got, _ = _count(edges_of(pairs), mode=mode, allow_loops=loops)
+    got, _ = _count(edges_of(pairs), mode=mode, allow_loops=loops, hot_rows=hot)
     assert got == expected
