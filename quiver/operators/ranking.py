@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quiver.functions.formatting import truncate_units
-from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
+from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, salted_join
 from quiver.session import checkpoint_dir
 
 DANGLING = ("same", "lagged")
@@ -80,7 +80,11 @@ def layout_partitions(spark, rows: int, rows_per_partition: int) -> int:
 
 
 def _layout(
-    graph: DataFrame, extra_nodes: DataFrame | None, split_rows: int, rows_per_partition: int
+    graph: DataFrame,
+    extra_nodes: DataFrame | None,
+    split_rows: int,
+    rows_per_partition: int,
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> _Layout:
     spark = graph.sparkSession
     g = graph.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
@@ -103,7 +107,15 @@ def _layout(
     sized = out_rows.select(
         "src", "out_rows", F.greatest(F.lit(1), F.ceil(F.col("out_rows") / split_rows)).alias("parts")
     )
-    with_share = weighted.join(sized, "src").select(
+    # At most rows / split_rows sources are split, so that list is provably
+    # small enough to broadcast; their edges then meet their out-degree row
+    # in several tasks instead of one.
+    hubs = sized.where(F.col("parts") > 1).select("src", F.col("parts").alias("salts"))
+    if int(rows) // split_rows <= broadcast_max_rows:
+        with_degree = salted_join(weighted, sized, "src", "dst", hubs)
+    else:
+        with_degree = weighted.join(sized, "src")
+    with_share = with_degree.select(
         "src",
         F.when(F.col("parts") > 1, F.pmod(F.xxhash64("dst"), F.col("parts"))).otherwise(0).alias("part"),
         "dst",
@@ -162,7 +174,7 @@ def pagerank(
         raise ValueError(f"dangling must be one of {DANGLING}, got {dangling!r}")
     spark = graph.sparkSession
     checkpoint_dir(spark)
-    layout = _layout(graph, initial, split_rows, rows_per_partition)
+    layout = _layout(graph, initial, split_rows, rows_per_partition, broadcast_max_rows)
     n = layout.n
     parts = layout.parts
     # Rank of every node part; part 0 is the node's own row.
