@@ -121,3 +121,23 @@ def test_triangle_counts_do_not_depend_on_hub_splitting(spark, view_small):
         whole = ops.triangle_count(edges, mode).first()
         split = ops.triangle_count(edges, mode, hot_rows=5).first()
         assert tuple(whole) == tuple(split)
+
+
+def test_wedge_join_hot_centre_is_split_by_aqe(spark):
+    # Under the id order, hub 0 is the lowest-ranked user of every cycle
+    # through it, so all its wedges share one join key.
+    edges = hub_graph(spark, fan=300, background=600)
+    with conf(
+        spark,
+        **{
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+        },
+    ):
+        df = ops.triangle_count(edges, "bag", order="id", strategy="shuffle")
+        closings = df.collect()[0].closings
+        text = plan_text(df)
+    assert "SortMergeJoin(skew=true)" in text
+    assert closings == ops.triangle_count(edges, "bag").first().closings
