@@ -172,6 +172,8 @@ def pagerank(
     """
     if dangling not in DANGLING:
         raise ValueError(f"dangling must be one of {DANGLING}, got {dangling!r}")
+    if split_rows < 1 or rows_per_partition < 1:
+        raise ValueError("split_rows and rows_per_partition must be >= 1")
     spark = graph.sparkSession
     checkpoint_dir(spark)
     layout = _layout(graph, initial, split_rows, rows_per_partition, broadcast_max_rows)

@@ -143,13 +143,15 @@ def triangle_count(
     ``max_id``: keep edges whose endpoints are both ``< max_id``.
     ``allow_loops``: False drops self-loop edges first (only simple cycles).
     ``strategy``: ``auto`` | ``shuffle`` | ``broadcast`` (the edge table is
-    replicated only when the cap or a bounded count proves it fits).
+    replicated only when the cap or its exact row count proves it fits).
     ``order``: ``degree`` (hub-safe) or ``id`` (skips the degree joins; for
     graphs without hubs). ``hot_rows``: users with more edges than this are
     split across tasks when their degree is attached. The result does not
     depend on strategy, order or ``hot_rows``.
     """
     check_mode(mode)
+    if hot_rows < 1:
+        raise ValueError("hot_rows must be >= 1")
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
     checkpoint_dir(edges.sparkSession)
@@ -159,8 +161,9 @@ def triangle_count(
     weighted = weighted_edges(edges, max_id, allow_loops).persist(StorageLevel.MEMORY_AND_DISK)
     distinct_edges = weighted.count()
     # At most 2 * edges / hot_rows users have more than hot_rows edges, so
-    # that list is provably small enough to broadcast below the bound;
-    # beyond it the degree joins are left to AQE.
+    # that list is provably small enough to broadcast below the bound.
+    # Beyond it (over 2.5e12 distinct edges with the defaults) the degree
+    # joins are plain joins, and a hub's degree join runs in one task.
     salt_hubs = order == "degree" and 2 * distinct_edges // hot_rows <= broadcast_max_rows
     # Every branch below reads this one table: written once to the shared
     # checkpoint folder instead of re-scanning and re-aggregating the input
