@@ -1,4 +1,5 @@
-"""Command-line jobs (``spark-submit -m quiver ...`` or ``python -m quiver``).
+"""Command-line jobs (``spark-submit --py-files quiver.zip quiver/cli.py ...``
+or ``python -m quiver ...``).
 
 One sub-command per batch program of the reference, with the same inputs
 and outputs:
