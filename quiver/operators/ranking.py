@@ -111,7 +111,8 @@ def _layout(
     # small enough to broadcast; their edges then meet their out-degree row
     # in several tasks instead of one.
     hubs = sized.where(F.col("parts") > 1).select("src", F.col("parts").alias("salts"))
-    if int(rows) // split_rows <= broadcast_max_rows:
+    # With no more rows than split_rows there is no hub to split.
+    if split_rows < int(rows) and int(rows) // split_rows <= broadcast_max_rows:
         with_degree = salted_join(weighted, sized, "src", "dst", hubs)
     else:
         with_degree = weighted.join(sized, "src")

@@ -164,7 +164,13 @@ def triangle_count(
     # that list is provably small enough to broadcast below the bound.
     # Beyond it (over 2.5e12 distinct edges with the defaults) the degree
     # joins are plain joins, and a hub's degree join runs in one task.
-    salt_hubs = order == "degree" and 2 * distinct_edges // hot_rows <= broadcast_max_rows
+    # No user has more edges than the table, so below hot_rows there is no
+    # hub and the plain join is exact and cheaper.
+    salt_hubs = (
+        order == "degree"
+        and distinct_edges > hot_rows
+        and 2 * distinct_edges // hot_rows <= broadcast_max_rows
+    )
     # Every branch below reads this one table: written once to the shared
     # checkpoint folder instead of re-scanning and re-aggregating the input
     # per branch. Its exact row count is observed while it is written, so
