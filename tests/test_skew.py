@@ -141,3 +141,4 @@ def test_wedge_join_hot_centre_is_split_by_aqe(spark):
         text = plan_text(df)
     assert "SortMergeJoin(skew=true)" in text
     assert closings == ops.triangle_count(edges, "bag").first().closings
+
