@@ -58,12 +58,17 @@ def _oriented(
     tasks when their degree is attached (see :func:`salted_join`); the
     caller proves that the list of such users is small enough to broadcast.
     """
+    no_degree = F.lit(None).cast("bigint")
     loops = weighted.where(F.col("src") == F.col("dst")).select(
-        "src", "dst", "w", F.lit(None).cast("boolean").alias("up")
+        "src", "dst", "w", F.lit(None).cast("boolean").alias("up"),
+        no_degree.alias("deg_src"), no_degree.alias("deg_dst"),
     )
     simple = weighted.where(F.col("src") != F.col("dst"))
     if order == "id":
-        ranked = simple.select("src", "dst", "w", (F.col("src") < F.col("dst")).alias("up"))
+        ranked = simple.select(
+            "src", "dst", "w", (F.col("src") < F.col("dst")).alias("up"),
+            no_degree.alias("deg_src"), no_degree.alias("deg_dst"),
+        )
         return ranked.unionByName(loops)
     degree = (
         simple.select(F.explode(F.array("src", "dst")).alias("node"))
@@ -85,27 +90,56 @@ def _oriented(
     ranked = with_degrees.select(
         "src", "dst", "w",
         _ranks_before(F.col("deg_src"), F.col("src"), F.col("deg_dst"), F.col("dst")).alias("up"),
+        F.col("deg_src").cast("bigint").alias("deg_src"),
+        F.col("deg_dst").cast("bigint").alias("deg_dst"),
     )
     return ranked.unionByName(loops)
 
 
-def _simple_cycles(oriented: DataFrame, mode: str, plan: JoinPlan) -> DataFrame:
-    """Contribution of cycles on three distinct users, one row per cycle."""
+def _pair_salts(deg_b: Column, deg_c: Column, hot_rows: int | None) -> Column:
+    """Sub-keys for the closing pair ``(b, c)``. A pair has at most
+    ``min(deg b, deg c)`` wedges, so only pairs of two hubs can be hot; they
+    get ``ceil(min / hot_rows)`` sub-keys. Unknown degrees give 1."""
+    if hot_rows is None:
+        return F.lit(1)
+    smaller = F.least(deg_b, deg_c)
+    return F.when(smaller > hot_rows, F.ceil(smaller / hot_rows)).otherwise(1).cast("int")
+
+
+def _simple_cycles(
+    oriented: DataFrame, mode: str, plan: JoinPlan, hot_rows: int | None = None
+) -> DataFrame:
+    """Contribution of cycles on three distinct users, one row per cycle.
+
+    With ``hot_rows``, the wedges of a hub pair ``(b, c)`` are spread over
+    several sub-keys by a hash of ``a``, and that pair's single closing edge
+    is replicated once per sub-key, so one pair never lands in one task.
+    """
     out_a = oriented.where(F.col("up")).select(
-        F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w_ab")
+        F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w_ab"),
+        F.col("deg_dst").alias("deg_b"),
     )
     in_a = plan.side(
         oriented.where(~F.col("up")).select(
-            F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca")
+            F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca"),
+            F.col("deg_src").alias("deg_c"),
         )
     )
-    wedges = out_a.join(in_a, "a")
+    wedges = out_a.join(in_a, "a").select(
+        "a", "b", "c", "w_ab", "w_ca",
+        F.pmod(F.xxhash64("a"), _pair_salts(F.col("deg_b"), F.col("deg_c"), hot_rows))
+        .cast("int")
+        .alias("salt"),
+    )
     closing = plan.side(
         oriented.where(F.col("up").isNotNull()).select(
-            F.col("src").alias("b"), F.col("dst").alias("c"), F.col("w").alias("w_bc")
+            F.col("src").alias("b"), F.col("dst").alias("c"), F.col("w").alias("w_bc"),
+            F.explode(
+                F.sequence(F.lit(0), _pair_salts(F.col("deg_src"), F.col("deg_dst"), hot_rows) - 1)
+            ).alias("salt"),
         )
     )
-    cycles = wedges.join(closing, ["b", "c"])
+    cycles = wedges.join(closing, ["b", "c", "salt"])
     return cycles.select(rotation_sum(mode, F.col("w_ab"), F.col("w_bc"), F.col("w_ca")).alias("c"))
 
 
@@ -187,7 +221,7 @@ def triangle_count(
         strategy, oriented, static_rows, broadcast_max_rows, known_rows=observation.get["rows"]
     )
 
-    parts = _simple_cycles(oriented, mode, plan)
+    parts = _simple_cycles(oriented, mode, plan, hot_rows if salt_hubs else None)
     if allow_loops:
         parts = parts.unionByName(_loop_cycles(oriented, mode, plan))
     total = parts.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("closings"))

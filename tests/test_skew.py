@@ -142,3 +142,23 @@ def test_wedge_join_hot_centre_is_split_by_aqe(spark):
     assert "SortMergeJoin(skew=true)" in text
     assert closings == ops.triangle_count(edges, "bag").first().closings
 
+
+
+def test_closing_join_spreads_a_hub_pair(spark):
+    # Users 1..n each follow hub 100000 and are followed by hub 100001, and
+    # 100000 follows 100001: every wedge closes on the same hub pair.
+    n = 1500
+    a = spark.range(1, n + 1)
+    edges = (
+        a.select(F.col("id").alias("follower"), F.lit(100000).cast("bigint").alias("followee"))
+        .unionByName(a.select(F.lit(100001).cast("bigint").alias("follower"), F.col("id").alias("followee")))
+        .unionByName(spark.createDataFrame([(100000, 100001)], "follower bigint, followee bigint"))
+    )
+    for hot in (100, 1_000_000):
+        row = ops.triangle_count(edges, "bag", strategy="shuffle", hot_rows=hot).first()
+        assert (row.closings, row.triangles) == (3 * n, n)
+    # Both hubs have degree n + 1, so the pair gets ceil((n + 1) / 100) sub-keys.
+    from quiver.operators.triangles import _pair_salts
+
+    salts = spark.range(1).select(_pair_salts(F.lit(n + 1), F.lit(n + 1), 100).alias("s")).first().s
+    assert salts == 16
