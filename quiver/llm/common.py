@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,8 +26,36 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+def text_key() -> Column:
+    """128 bits that stand for a row's text (null counts as empty): rows of
+    equal texts share it, so a verdict on a text reaches them all."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+
+
+# Slots of the prefilter in drop_rows_with: a bound on what is broadcast.
+DROP_SLOTS = 1 << 20
+
+
+def drop_rows_with(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """``df`` without the rows whose ``key`` (a struct with a hash ``a``) is
+    among ``keys`` (one struct column), whatever the number of keys.
+
+    Each key marks one of ``DROP_SLOTS`` slots, a table of bounded size that
+    is broadcast. Rows under no marked slot pass without a shuffle; only the
+    others meet the keys themselves in an anti join.
+    """
+    name = keys.columns[0]
+    keys = staged(keys.distinct(), "drop-keys")
+
+    def slot(column: Column) -> Column:
+        return F.pmod(column["a"], F.lit(DROP_SLOTS)).cast("int")
+
+    slots = F.broadcast(keys.select(slot(F.col(name)).alias("_drop_slot")).distinct())
+    marked = df.withColumn(name, key).withColumn("_drop_slot", slot(F.col(name)))
+    clear = marked.join(slots, "_drop_slot", "left_anti")
+    doubtful = marked.join(slots, "_drop_slot", "left_semi").join(keys, name, "left_anti")
+    return clear.select(*df.columns).unionByName(doubtful.select(*df.columns))
 
 
 def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:

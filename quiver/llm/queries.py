@@ -12,6 +12,7 @@ from quiver.llm.common import table
 from quiver.llm.exact_stream import stream_dedup
 from quiver.llm.kd_shards import kd_shards
 from quiver.llm.mixing import plan_mix
+from quiver.llm.spaced_seeds import leaks
 
 
 #: Mix of op2 and of the pipeline: weights by code-point order of the sources,
@@ -20,6 +21,12 @@ MIX = {"weight_cycle": (3.0, 1.0, 2.0), "share": 1.5, "max_repeats": 2.0}
 SHARDS = 8
 
 
+def op1_spaced_seeds(spark, sf_dir):
+    """Documents that hold a passage of ``benchmark``: a row per document and item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return leaks(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
 def op2_hypergeometric_mix(spark, sf_dir):
     """Words that the mix takes of every document of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
