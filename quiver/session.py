@@ -80,9 +80,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A new, unique folder below the shared checkpoint folder."""
+    """A new, unique folder below the shared checkpoint folder, deleted when
+    the application ends."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quiver-staging/{label}-{uuid.uuid4().hex}"
+    path = f"{base}/quiver-staging/{label}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration())
+    # Hadoop only marks a path that exists.
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
+    return f"{path}/data"
 
 
 def local_path(path: str) -> str:

@@ -8,7 +8,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from quiver.plans import QUERIES, oracle_sql
 from quiver.plans.compare import compare, duckdb_connection
 
 SF_DIR = os.environ.get("QUIVER_ORACLE_SF", "/root/testdata/sf0.001")
@@ -20,12 +21,12 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    out = compare(spark, con, name, queries()[name], oracle_sql()[name], SF_DIR)
+    out = compare(spark, con, name, QUERIES[name], oracle_sql()[name], SF_DIR)
     assert out.columns_match, out.detail
     assert out.rows_spark == out.rows_oracle, out.detail
     assert out.values_match, out.detail
