@@ -12,6 +12,7 @@ from quiver.llm.common import table
 from quiver.llm.exact_stream import stream_dedup
 from quiver.llm.kd_shards import kd_shards
 from quiver.llm.mixing import plan_mix
+from quiver.llm.near_dup import near_duplicates
 from quiver.llm.spaced_seeds import leaks
 
 
@@ -35,6 +36,11 @@ def op2_hypergeometric_mix(spark, sf_dir):
     )
 
 
+def op9_bayes_minhash(spark, sf_dir):
+    """Near-duplicate groups of ``documents`` over two-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op10_kd_shards(spark, sf_dir):
     """``documents`` in shards of near-equal bytes; equal texts share a shard."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
