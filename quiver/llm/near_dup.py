@@ -7,12 +7,11 @@
 2. *Candidates.* Classes that share a band key share a bucket. First, every
    member is paired with the bucket's smallest member only. Verified pairs
    give components; a bucket whose members all fell into one component is
-   done. In what is left, members of different components are paired in
-   full; a bucket with more than ``FULL_PAIRS`` members is first divided by
-   further minhashes (``SUB_KEYS`` overlapping divisions of ``SUB_ROWS`` rows
-   each, a similar pair misses all with probability below 1e-6), again and
-   again up to ``MAX_DEPTH``. So a large group of near copies costs a star
-   per band, not all of its pairs, and no bucket is capped.
+   done. In what is left, the members outside the bucket's largest component
+   are compared with all others, in blocks of ``BLOCK`` rows that are dealt
+   to tasks; only confirmed links leave a block. So a large
+   group of near copies costs a star per band, not all of its pairs, and no
+   bucket is capped.
 3. *Verification.* A pair's minhashes are compared ``BATCH`` at a time; with a
    uniform prior, it is pruned as soon as the posterior probability of a
    similarity of ``threshold`` or more falls below ``miss``. Survivors are
@@ -37,6 +36,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,9 +47,7 @@ from quiver.llm.components import components
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 BATCH = 40
-FULL_PAIRS = 128
-SUB_KEYS, SUB_ROWS = 20, 3
-MAX_DEPTH = 3
+BLOCK = 256
 BUCKET_SLOTS = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -164,27 +162,80 @@ def fewest_matches(threshold: float, miss: float) -> list[tuple[int, int]]:
     return out
 
 
+def _matrix(column) -> np.ndarray:
+    values = column.to_pylist()
+    return np.frombuffer(b"".join(values), np.uint16).reshape(len(values), HASHES)
+
+
+def _survivors(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, limits) -> np.ndarray:
+    """Which of the pairs ``(left[i], right[j])`` pass every batch."""
+    alive = np.arange(len(i))
+    matches = np.zeros(len(i), np.int64)
+    done = 0
+    for n, least in limits:
+        matches[alive] += (left[i[alive], done:n] == right[j[alive], done:n]).sum(axis=1)
+        alive = alive[matches[alive] >= least]
+        done = n
+    return alive
+
+
 def _bayes(limits: list[tuple[int, int]]):
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.num_rows
-            if rows == 0:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(rows, HASHES)
-                for c in ("ma", "mb")
-            )
-            alive = np.arange(rows)
-            matches = np.zeros(rows, np.int64)
-            done = 0
-            for n, least in limits:
-                matches[alive] += (left[alive, done:n] == right[alive, done:n]).sum(axis=1)
-                alive = alive[matches[alive] >= least]
-                done = n
-            yield batch.select(["a", "b"]).take(pa.array(alive))
+            if batch.num_rows:
+                at = np.arange(batch.num_rows)
+                alive = _survivors(_matrix(batch.column("ma")), _matrix(batch.column("mb")), at, at, limits)
+                yield batch.select(["a", "b"]).take(pa.array(alive))
     return prune
 
 
+def _similar(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs ``(left[i], right[j])`` have 100 * intersection >=
+    percent * union; ``i`` ascending."""
+    keep = np.zeros(len(i), bool)
+    for x in np.unique(i):
+        at = np.flatnonzero(i == x)
+        sizes = np.array([len(right[y]) for y in j[at]])
+        stacked = np.concatenate([right[y] for y in j[at]])
+        place = np.minimum(np.searchsorted(left[x], stacked), len(left[x]) - 1)
+        begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        both = np.add.reduceat((left[x][place] == stacked).astype(np.int64), begins)
+        keep[at] = 100 * both >= percent * (len(left[x]) + sizes - both)
+    return keep
+
+
+def _block(limits: list[tuple[int, int]], width: int, percent: int):
+    """Compare a block of a bucket's outsiders with a block of its members."""
+    def compare(rows: pa.Table) -> pa.Table:
+        key = np.int64(rows.column("key")[0].as_py())
+        outside = rows.filter(rows.column("outsider"))
+        inside = rows.filter(pa.compute.invert(rows.column("outsider")))
+        a, b = (np.asarray(t.column("id")) for t in (outside, inside))
+        ca, cb = (np.asarray(t.column("component")) for t in (outside, inside))
+        na, nb = (np.asarray(t.column("n"), dtype=np.int64) for t in (outside, inside))
+        apart = ca[:, None] != cb[None, :]
+        sized = 100 * np.minimum(na[:, None], nb[None, :]) >= percent * np.maximum(na[:, None], nb[None, :])
+        i, j = np.nonzero(apart & sized)
+        # A pair that shares several bands is compared under the first of them.
+        bands = [np.asarray(t.column("bands").combine_chunks().flatten()).reshape(-1, BANDS) for t in (outside, inside)]
+        first = (bands[0][i] == bands[1][j]).argmax(axis=1)
+        mine = bands[0][i, first] == key
+        i, j = i[mine], j[mine]
+        alive = _survivors(_matrix(outside.column("minhashes")), _matrix(inside.column("minhashes")), i, j, limits)
+        i, j = i[alive], j[alive]
+        if len(i):
+            used = [np.unique(i), np.unique(j)]
+            sets = []
+            for table, at in zip((outside, inside), used):
+                texts = table.column("text").combine_chunks().take(pa.array(at))
+                sets.append(dict(zip(at.tolist(), shingle_sets(texts, width))))
+            keep = _similar(sets[0], sets[1], i, j, percent)
+            i, j = i[keep], j[keep]
+        x, y = a[i], b[j]
+        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+    return compare
+
+
 def _exact(width: int, percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,82 +250,66 @@ def _exact(width: int, percent: int):
     return confirm
 
 
-def _sub_keys(depth: int):
-    """Divide buckets by further minhashes, chosen by depth and key."""
-    def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(100 + depth)
-        picks = np.stack([rng.choice(HASHES, SUB_ROWS, replace=False) for _ in range(SUB_KEYS)])
-        for batch in batches:
-            rows = batch.num_rows
-            if rows == 0:
-                continue
-            short = np.frombuffer(b"".join(batch.column("minhashes").to_pylist()), np.uint16).reshape(rows, HASHES)
-            parts = short[:, picks].astype(np.uint64)
-            keys = np.asarray(batch.column("key")).view(np.uint64)
-            sub = _combine(parts, keys[:, None] + np.arange(SUB_KEYS, dtype=np.uint64)).view(np.int64)
-            again = np.repeat(np.arange(rows), SUB_KEYS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sub.ravel()), *[batch.column(c).take(pa.array(again)) for c in ("id", "n", "component")]],
-                names=["key", "id", "n", "component"],
-            )
-    return divide
-
-
-class _Verifier:
-    """Confirms candidate pairs of classes."""
-
-    def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int, miss: float):
-        self.docs, self.classes, self.width, self.percent = docs, classes, width, percent
-        self.limits = fewest_matches(percent / 100, miss)
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """``pairs (a, b)`` whose shingle sets are similar."""
-        sides = self.classes.select("id", "minhashes")
-        met = pairs.join(sides.toDF("a", "ma"), "a").join(sides.toDF("b", "mb"), "b")
-        likely = staged(met.select("a", "b", "ma", "mb").mapInArrow(_bayes(self.limits), _PAIRS), "near-likely")
-        ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        # A bounded table of slots keeps texts without a pair out of the
-        # shuffle; the joins below decide.
-        slots = F.broadcast(ids.select(_slot(F.col("doc_id")).alias("slot")).distinct())
-        texts = self.docs.withColumn("slot", _slot(F.col("doc_id"))).join(slots, "slot", "left_semi")
-        texts = texts.select("doc_id", F.col("text"))
-        met = likely.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-        return met.select("a", "b", "ta", "tb").mapInArrow(_exact(self.width, self.percent), _PAIRS)
-
-
 def _slot(column):
     return F.pmod(F.xxhash64(column), F.lit(BUCKET_SLOTS)).cast("int")
 
 
-def _sized(percent: int):
-    """Sets of these sizes can be similar enough."""
-    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-
-
-def _full_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components within each bucket of ``members (key, id, n, component)``."""
-    found = None
-    for depth in range(MAX_DEPTH + 1):
-        sizes = staged(members.groupBy("key").agg(
-            F.count(F.lit(1)).alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")
-        ).where("c0 <> c1").select("key", "size"), "near-open")
-        small = sizes if depth == MAX_DEPTH else sizes.where(F.col("size") <= FULL_PAIRS)
-        here = staged(members.join(small, "key").select("key", "id", "n", "component"), "near-small")
-        left = here.toDF("key", "a", "na", "ca")
-        right = here.toDF("key", "b", "nb", "cb")
-        pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sized(percent))
-        pairs = pairs.select("a", "b")
-        found = pairs if found is None else found.unionByName(pairs)
-        large = sizes.where(F.col("size") > FULL_PAIRS)
-        if depth == MAX_DEPTH or large.isEmpty():
-            return found.distinct()
-        big = members.join(large.select("key"), "key").join(classes.select("id", "minhashes"), "id")
-        members = staged(
-            big.select("key", "id", "n", "component", "minhashes").mapInArrow(
-                _sub_keys(depth), "key bigint, id bigint, n int, component bigint"
-            ), "near-divided",
+def _likely(pairs: DataFrame, classes: DataFrame, limits) -> DataFrame:
+    """``pairs (a, b)`` that the sequential comparison does not prune."""
+    sides = classes.select("id", "minhashes")
+    met = pairs.join(sides.toDF("a", "ma"), "a").join(sides.toDF("b", "mb"), "b")
+    return met.select("a", "b", "ma", "mb").mapInArrow(_bayes(limits), _PAIRS)
+
+
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` of at least ``ids``: a bounded table of slots keeps
+    most other texts out of the shuffle of the join that follows."""
+    slots = F.broadcast(ids.select(_slot(F.col(ids.columns[0])).alias("slot")).distinct())
+    return docs.withColumn("slot", _slot(F.col("doc_id"))).join(slots, "slot", "left_semi").select("doc_id", "text")
+
+
+def _confirmed(likely: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``likely`` pairs whose full shingle sets are similar."""
+    likely = staged(likely, "near-likely")
+    texts = _texts_of(likely.select(F.explode(F.array("a", "b")).alias("id")), docs)
+    met = likely.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+    return met.select("a", "b", "ta", "tb").mapInArrow(_exact(width, percent), _PAIRS)
+
+
+def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, limits, width: int, percent: int) -> DataFrame:
+    """Links between different components of a bucket; ``members``:
+    ``(key, id, n, component)``.
+
+    Outsiders (all but the bucket's largest component) meet all members,
+    block by block; the pairs are compared and confirmed inside the block's
+    task and only links leave it.
+    """
+    per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
+    open_ = staged(
+        per.groupBy("key").agg(
+            F.sum("k").alias("size"), F.max(F.struct("k", "component")).alias("most"), F.count(F.lit(1)).alias("parts")
+        ).where("parts > 1").select(
+            "key", F.col("most.component").alias("main"),
+            F.ceil(F.col("size") / BLOCK).cast("int").alias("m_blocks"),
+            F.ceil((F.col("size") - F.col("most.k")) / BLOCK).cast("int").alias("o_blocks"),
+        ), "near-open",
+    )
+    rows = staged(members.join(open_, "key"), "near-open-rows")
+    texts = _texts_of(rows.select("id"), docs).withColumnRenamed("doc_id", "id")
+    rows = rows.join(classes.select("id", "bands", "minhashes"), "id").join(texts, "id")
+    at = F.xxhash64("id")
+
+    def dealt(rows, own, count, others, other_count):
+        return rows.withColumn(own, F.pmod(at, F.col(count)).cast("int")).withColumn(
+            others, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1))
         )
 
+    inside = dealt(rows, "mb", "m_blocks", "ob", "o_blocks").withColumn("outsider", F.lit(False))
+    outside = dealt(rows.where("component <> main"), "ob", "o_blocks", "mb", "m_blocks").withColumn("outsider", F.lit(True))
+    columns = ["key", "ob", "mb", "outsider", "id", "n", "component", "bands", "minhashes", "text"]
+    blocks = inside.select(columns).unionByName(outside.select(columns))
+    return blocks.groupBy("key", "ob", "mb").applyInArrow(_block(limits, width, percent), _PAIRS)
+
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
     """One row per document: ``(doc_id, n_shingles, component_id, kept)``.
@@ -304,14 +339,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
         .join(more.select("key", "first"), "key"), "near-crowded",
     )
     stars = crowded.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    verifier = _Verifier(docs, classes, width, percent, miss)
-    links = staged(verifier.links(twos.unionByName(stars).distinct()), "near-star-links")
+    limits = fewest_matches(percent / 100, miss)
+    near = _likely(twos.unionByName(stars).distinct(), classes, limits)
+    links = staged(_confirmed(near, docs, width, percent), "near-star-links")
     grouped = components(links)
 
     labelled = crowded.join(grouped.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "key", "id", "n", F.coalesce("component", "id").alias("component")
     )
-    rest = verifier.links(_full_pairs(staged(labelled, "near-labelled"), classes, percent))
+    rest = _across(staged(labelled, "near-labelled"), classes, docs, limits, width, percent)
     names = grouped.select("node", "component")
     of_a, of_b = names.toDF("a", "ca"), names.toDF("b", "cb")
     joined = staged(
