@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quiver.llm import langid, toxicity
 from quiver.llm.common import table
 from quiver.llm.exact_stream import stream_dedup
 from quiver.llm.kd_shards import kd_shards
@@ -50,6 +51,29 @@ def op10_kd_shards(spark, sf_dir):
     )
 
 
+def _remainder(n: int):
+    """crc32 of the doc_id's text modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op4_family_svm(spark, sf_dir):
+    """Language of every text of ``documents``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    identify = langid.identifier(spark, langid.fit(docs, _remainder(4) != 2))
+    found = docs.select("doc_id", (_remainder(4) == 2).alias("held_out"), identify(F.col("text")).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+def op6_text_cnn(spark, sf_dir):
+    """Toxicity score of every text of ``documents``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), _remainder(3) != 1)
+    scored = docs.select(
+        "doc_id", (_remainder(3) == 1).alias("held_out"), toxicity.scorer(spark, model)(F.col("text")).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
+
+
 def op7_exact_stream(spark, sf_dir):
     """Exact dedup of ``documents`` by streaming state; the largest doc_id of equal texts stays."""
     out = stream_dedup(spark, f"{sf_dir}/documents.parquet")
