@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from quiver.llm import langid, toxicity
 from quiver.llm.common import table
 from quiver.llm.exact_stream import stream_dedup
+from quiver.llm.host_reputation import judge
+from quiver.llm.html_blocks import extract_main_text
 from quiver.llm.kd_shards import kd_shards
+from quiver.llm.licenses import scan
 from quiver.llm.mixing import plan_mix
 from quiver.llm.near_dup import near_duplicates
 from quiver.llm.spaced_seeds import leaks
@@ -29,6 +32,15 @@ def op1_spaced_seeds(spark, sf_dir):
     return leaks(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
+#: Rules of op3, as (verdict, host/path).
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op3_host_reputation(spark, sf_dir):
+    """Verdict on the url of every row of ``pages``."""
+    return judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), RULES)
+
+
 def op2_hypergeometric_mix(spark, sf_dir):
     """Words that the mix takes of every document of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -37,6 +49,11 @@ def op2_hypergeometric_mix(spark, sf_dir):
     )
 
 
+def op8_license_digest(spark, sf_dir):
+    """Canonical digest of every text of ``documents``, and the licence that it is."""
+    return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_bayes_minhash(spark, sf_dir):
     """Near-duplicate groups of ``documents`` over two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=2)
@@ -56,6 +73,11 @@ def _remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
+def learnt_for_toxicity():
+    """Rows whose toxicity label may be learnt."""
+    return _remainder(3) != 1
+
+
 def op4_family_svm(spark, sf_dir):
     """Language of every text of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -64,10 +86,17 @@ def op4_family_svm(spark, sf_dir):
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
+def op5_line_blocks(spark, sf_dir):
+    """Main text of every row of ``pages``."""
+    pages = table(spark, sf_dir, "pages")
+    out = pages.select("page_id", "url", extract_main_text(F.col("html")).alias("text"))
+    return out.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op6_text_cnn(spark, sf_dir):
     """Toxicity score of every text of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), _remainder(3) != 1)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learnt_for_toxicity())
     scored = docs.select(
         "doc_id", (_remainder(3) == 1).alias("held_out"), toxicity.scorer(spark, model)(F.col("text")).alias("score")
     )
