@@ -38,8 +38,8 @@ from quiver.llm.common import staged
 
 OUTPUT = ("size", "text_crc32", "shard", "slot")
 COORDS = ("_kd_bytes", "_kd_chars", "_kd_lines", "_kd_sum")
-BINS = 1024
-TOLERANCE = 0.0005
+BINS = 1 << 14
+TOLERANCE = 0.001
 HEAVY = 0.01
 TIE_MAX = (1 << 62) - 1
 MAX_SHARDS = 65536
@@ -63,7 +63,7 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def _small(spark, rows: list[tuple], schema: str) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    return F.broadcast(spark.createDataFrame(rows, schema).coalesce(1))
 
 
 def _coordinate(dim: Column) -> Column:
@@ -113,14 +113,11 @@ class _Search:
             self.split = (self.node, self.dim, *at)
 
 
-def _split_level(points: DataFrame, nodes: dict[int, tuple[int, float]], tolerance: float) -> list[tuple]:
-    """Splits of one level; ``nodes``: node -> (dimension, weight wanted on its left)."""
+def _split_level(points: DataFrame, open_: list[_Search], tolerance: float) -> list[tuple]:
+    """Splits of the nodes of one level."""
     spark = points.sparkSession
-    here = points.join(
-        _small(spark, [(n, d) for n, (d, _) in nodes.items()], "_kd_node bigint, _kd_dim int"), "_kd_node"
-    ).withColumn("_kd_x", _coordinate(F.col("_kd_dim")))
-    bounds = here.groupBy("_kd_node").agg(F.min("_kd_x"), F.max("_kd_x")).collect()
-    open_ = [_Search(n, nodes[n][0], lo, hi, nodes[n][1]) for n, lo, hi in bounds]
+    here = points.join(_small(spark, [(s.node, s.dim) for s in open_], "_kd_node bigint, _kd_dim int"), "_kd_node")
+    here = here.withColumn("_kd_x", _coordinate(F.col("_kd_dim")))
     done: list[_Search] = []
     schema = "_kd_node bigint, lo bigint, hi bigint, step bigint, want double, exact bigint"
     while open_:
@@ -203,16 +200,14 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
 
     ranges = {1: (0, shards)}  # node -> its shards
     levels: list[list[tuple]] = []
-    extents = light.agg(*[F.max(c) - F.min(c) for c in COORDS]).first()
-    scale = [max(1, e or 0) for e in extents]
-    leaf_of: dict[int, int] = {}
+    scale: list[int] = []  # extents of the root
     while any(b - a > 1 for a, b in ranges.values()):
         at = _descend(light, levels)
         found = at.groupBy("_kd_node").agg(
-            F.sum("_kd_weight").alias("w"), *[(F.max(c) - F.min(c)).alias(c) for c in COORDS]
+            F.sum("_kd_weight").alias("w"), *[F.struct(F.min(c), F.max(c)).alias(c) for c in COORDS]
         ).collect()
         seen = {r["_kd_node"]: r for r in found}
-        wanted = {}
+        searches = []
         below = {}
         for node, (a, b) in ranges.items():
             if b - a == 1:
@@ -223,12 +218,14 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
                 below[node] = (a, a + 1)
                 continue
             r = seen[node]
-            widest = max(range(len(COORDS)), key=lambda i: (r[COORDS[i]] / scale[i], -i))
+            bounds = [tuple(r[c]) for c in COORDS]
+            scale = scale or [max(1, hi - lo) for lo, hi in bounds]
+            widest = max(range(len(COORDS)), key=lambda i: ((bounds[i][1] - bounds[i][0]) / scale[i], -i))
             share = sum(room[a:mid]) / (sum(room[a:b]) or 1.0)
-            wanted[node] = (widest, share * float(r["w"]))
+            searches.append(_Search(node, widest, *bounds[widest], share * float(r["w"])))
             below[2 * node], below[2 * node + 1] = (a, mid), (mid, b)
-        if wanted:
-            levels.append(_split_level(at, wanted, TOLERANCE * target))
+        if searches:
+            levels.append(_split_level(at, searches, TOLERANCE * target))
         ranges = below
     leaf_of = {node: a for node, (a, _) in ranges.items()}
 
