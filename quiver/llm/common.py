@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -58,6 +60,19 @@ def drop_rows_with(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
     return clear.select(*df.columns).unionByName(doubtful.select(*df.columns))
 
 
+def slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """``(begin, rows)`` of consecutive slices of about ``limit`` bytes of
+    text (a longer text is a slice of its own), so that what is derived from
+    a batch stays small however many texts it holds."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64))
+    begin = 0
+    while begin < len(ends):
+        base = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        yield begin, end - begin
+        begin = end
+
+
 def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Tokenise a batch: ``(vocabulary, codes, starts)``.
 
@@ -74,7 +89,7 @@ def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray,
     starts = np.asarray(lists.offsets, dtype=np.int64)
     starts = starts - starts[0]
     encoded = flat.dictionary_encode()
-    codes = np.asarray(encoded.indices, dtype=np.int64)
+    codes = np.asarray(encoded.indices, dtype=np.int32)
     # Leading or trailing white space yields empty pieces; they are no words.
     empty = pc.index(encoded.dictionary, pa.scalar("", encoded.dictionary.type)).as_py()
     if empty >= 0:

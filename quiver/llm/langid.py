@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quiver.llm.common import segment_ids, words_of
+from quiver.llm.common import segment_ids, slices, words_of
 
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -205,7 +205,12 @@ def identifier(spark, model: dict):
     shared = spark.sparkContext.broadcast(model)
 
     def answer(texts: pa.Array) -> pa.Array:
-        langs, scores = identify(shared.value, texts)
+        langs: list[str] = []
+        scores: list[float] = []
+        for part in slices(texts):
+            more, sure = identify(shared.value, texts.slice(*part))
+            langs += more
+            scores += sure.tolist()
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
     return F.arrow_udf(answer, "struct<lang: string, score: double>")

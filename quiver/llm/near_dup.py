@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiver.llm.common import staged, words_of
+from quiver.llm.common import slices, staged, words_of
 from quiver.llm.components import components
 
 BANDS, ROWS = 40, 6
@@ -124,7 +124,8 @@ def _combine(parts: np.ndarray, tag: np.ndarray) -> np.ndarray:
 
 def _signer(width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (whole.slice(*part) for whole in batches for part in slices(whole.column("text")))
+        for batch in parts:
             sets = shingle_sets(batch.column("text"), width)
             full = [i for i, s in enumerate(sets) if len(s)]
             minhashes = _minhashes([sets[i] for i in full])
@@ -238,7 +239,8 @@ def _block(limits: list[tuple[int, int]], width: int, percent: int):
 
 def _exact(width: int, percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (whole.slice(*part) for whole in batches for part in slices(whole.column("ta")))
+        for batch in parts:
             left = shingle_sets(batch.column("ta"), width)
             right = shingle_sets(batch.column("tb"), width)
             keep = []
