@@ -81,6 +81,9 @@ def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray,
     are the words of row ``i`` (none for a null text). Per-word work is then
     done once per distinct word instead of once per occurrence.
     """
+    if texts.offset:
+        # ascii_lower misreads the offsets of a sliced array: copy the slice.
+        texts = texts.take(pa.array(np.arange(len(texts))))
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     if isinstance(lists, pa.ChunkedArray):
