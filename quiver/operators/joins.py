@@ -4,8 +4,7 @@
                runtime sizes and splits skewed partitions.
 ``shuffle``    sort-merge join hint on the build side.
 ``broadcast``  replicate the smaller side to every task, but only behind a
-               proven size bound (a static bound from the id cap, or a bounded
-               row count); beyond the bound the join falls back to ``shuffle``.
+               proven size bound (an exact or a bounded row count); beyond the bound the join falls back to ``shuffle``.
 """
 
 from __future__ import annotations
@@ -59,23 +58,18 @@ class JoinPlan:
 def resolve_strategy(
     strategy: str,
     table: DataFrame,
-    static_rows: int | None = None,
     max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     known_rows: int | None = None,
 ) -> JoinPlan:
     """Turn a requested strategy into a safe one.
 
-    ``broadcast`` is kept only if ``static_rows`` (an upper bound known from
-    the query, e.g. ``max_id ** 2`` distinct capped edges), ``known_rows``
-    (an exact count already taken, e.g. observed while the table was
-    written) or a bounded count of ``table`` proves the side fits; otherwise
-    ``shuffle`` is used.
+    ``broadcast`` is kept only if ``known_rows`` (an exact count already
+    taken, e.g. observed while the table was written) or a bounded count of
+    ``table`` proves the side fits; otherwise ``shuffle`` is used.
     """
     check_strategy(strategy)
     if strategy != "broadcast":
         return JoinPlan(strategy)
-    if static_rows is not None and static_rows <= max_rows:
-        return JoinPlan("broadcast")
     if known_rows is not None:
         if known_rows <= max_rows:
             return JoinPlan("broadcast")

@@ -6,27 +6,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quiver.operators.edges import cap_edges
-from quiver.operators.joins import resolve_strategy
+from quiver.operators.degrees import two_path_per_user
+from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, resolve_strategy
 
 
-def _path_join(edges: DataFrame, max_id: int | None, strategy: str) -> DataFrame:
+# Paths through one user that a task makes before that user is split.
+TARGET_PATHS = 4_000_000
+
+
+def _path_join(edges: DataFrame, max_id: int | None, strategy: str, target_paths: int) -> DataFrame:
     capped = cap_edges(edges, max_id).select("follower", "followee")
-    first = capped.alias("first")
     # A bag of edges has no static size bound, so a broadcast is checked by count.
     plan = resolve_strategy(strategy, capped)
-    second = plan.side(capped).alias("second")
-    return first.join(second, F.col("first.followee") == F.col("second.follower"), "inner")
+    per_mid = two_path_per_user(capped)
+    total, most = per_mid.agg(F.sum("paths"), F.max("paths")).first()
+    # A join key's output is in x out rows, which AQE does not see from its
+    # input: mids beyond the target are split. At most total / target mids
+    # are, so the list fits the broadcast bound.
+    target = max(target_paths, -(-int(total or 0) // DEFAULT_BROADCAST_MAX_ROWS))
+    if not most or most <= target:
+        second = plan.side(capped).alias("second")
+        return capped.alias("first").join(second, F.col("first.followee") == F.col("second.follower"), "inner")
+    hot = F.broadcast(per_mid.where(F.col("paths") > target).select(
+        F.col("user").alias("_mid"), F.ceil(F.col("paths") / target).cast("int").alias("_salts")
+    ))
+    salts = F.coalesce("_salts", F.lit(1))
+    first = capped.join(hot, F.col("followee") == F.col("_mid"), "left").select(
+        "follower", "followee", F.pmod(F.xxhash64("follower"), salts).cast("int").alias("salt")
+    )
+    second = capped.join(hot, F.col("follower") == F.col("_mid"), "left").select(
+        "follower", "followee", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
+    )
+    return first.alias("first").join(
+        plan.side(second).alias("second"),
+        (F.col("first.followee") == F.col("second.follower")) & (F.col("first.salt") == F.col("second.salt")), "inner",
+    )
 
 
-def two_paths(edges: DataFrame, max_id: int | None = None, strategy: str = "auto") -> DataFrame:
+def two_paths(edges: DataFrame, max_id: int | None = None, strategy: str = "auto", target_paths: int = TARGET_PATHS) -> DataFrame:
     """``(src, mid, dst)``, one row per two-path, a bag: every pair of edge
     occurrences ``src -> mid``, ``mid -> dst`` (``src = dst`` and self-loops
     kept).
 
-    A hub ``mid`` makes one join key produce in-degree x out-degree rows;
-    AQE's skew-join handling splits that partition across tasks.
+    A hub ``mid`` makes in-degree x out-degree rows: beyond ``target_paths``
+    its in-edges are spread over sub-keys and its out-edges replicated.
     """
-    return _path_join(edges, max_id, strategy).select(
+    return _path_join(edges, max_id, strategy, target_paths).select(
         F.col("first.follower").alias("src"),
         F.col("first.followee").alias("mid"),
         F.col("second.followee").alias("dst"),
@@ -34,11 +59,11 @@ def two_paths(edges: DataFrame, max_id: int | None = None, strategy: str = "auto
 
 
 def two_paths_nested(
-    edges: DataFrame, max_id: int | None = None, strategy: str = "auto"
+    edges: DataFrame, max_id: int | None = None, strategy: str = "auto", target_paths: int = TARGET_PATHS
 ) -> DataFrame:
     """The same join keeping both matched edges whole, as two struct columns
     ``first`` and ``second`` of ``(follower, followee)``."""
-    return _path_join(edges, max_id, strategy).select(
+    return _path_join(edges, max_id, strategy, target_paths).select(
         F.struct(
             F.col("first.follower").alias("follower"),
             F.col("first.followee").alias("followee"),

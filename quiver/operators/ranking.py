@@ -90,11 +90,14 @@ def _layout(
     g = graph.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
     # The input is read once: every table below derives from the weighted
     # edges, which are cached until the layout is built.
-    weighted = g.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")).persist(
+    weighted = g.where(F.col("src").isNotNull()).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     rows = weighted.agg(F.sum("w").alias("rows")).first()["rows"] or 0
     partitions = layout_partitions(spark, int(rows), rows_per_partition)
+    # The list of split sources (at most rows / split_rows) always fits the
+    # broadcast bound: the threshold rises with the graph.
+    split_rows = max(split_rows, -(-int(rows) // max(1, broadcast_max_rows)))
 
     node_ids = weighted.select(F.col("src").alias("id")).unionByName(
         weighted.where(F.col("dst").isNotNull()).select(F.col("dst").alias("id"))
@@ -112,7 +115,7 @@ def _layout(
     # in several tasks instead of one.
     hubs = sized.where(F.col("parts") > 1).select("src", F.col("parts").alias("salts"))
     # With no more rows than split_rows there is no hub to split.
-    if split_rows < int(rows) and int(rows) // split_rows <= broadcast_max_rows:
+    if split_rows < int(rows):
         with_degree = salted_join(weighted, sized, "src", "dst", hubs)
     else:
         with_degree = weighted.join(sized, "src")
@@ -182,7 +185,7 @@ def pagerank(
     parts = layout.parts
     # Rank of every node part; part 0 is the node's own row.
     if initial is None:
-        fanned = parts.select("id", "part", F.lit(1.0 / n).alias("rank"))
+        fanned = parts.select("id", "part", F.lit(1.0 / max(1, n)).alias("rank"))
     else:
         fanned = parts.join(initial.select("id", "rank"), "id", "left").select(
             "id", "part", F.coalesce(F.col("rank").cast("double"), F.lit(0.0)).alias("rank")
@@ -228,7 +231,7 @@ def pagerank(
 
         to_nodes = received.where(F.col("dst").isNotNull())
         fanned = parts.join(to_nodes, parts.id == to_nodes.dst, "left").select(
-            "id", "part", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / n)).alias("rank")
+            "id", "part", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / max(1, n))).alias("rank")
         )
 
     ranks = fanned.where(F.col("part") == 0).select("id", "rank").checkpoint()

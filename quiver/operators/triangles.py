@@ -177,7 +177,7 @@ def triangle_count(
     ``max_id``: keep edges whose endpoints are both ``< max_id``.
     ``allow_loops``: False drops self-loop edges first (only simple cycles).
     ``strategy``: ``auto`` | ``shuffle`` | ``broadcast`` (the edge table is
-    replicated only when the cap or its exact row count proves it fits).
+    replicated only when its exact row count proves it fits).
     ``order``: ``degree`` (hub-safe) or ``id`` (skips the degree joins; for
     graphs without hubs). ``hot_rows``: users with more edges than this are
     split across tasks when their degree is attached. The result does not
@@ -194,34 +194,26 @@ def triangle_count(
     # oriented table is built from them.
     weighted = weighted_edges(edges, max_id, allow_loops).persist(StorageLevel.MEMORY_AND_DISK)
     distinct_edges = weighted.count()
-    # At most 2 * edges / hot_rows users have more than hot_rows edges, so
-    # that list is provably small enough to broadcast below the bound.
-    # Beyond it (over 2.5e12 distinct edges with the defaults) the degree
-    # joins are plain joins, and a hub's degree join runs in one task.
-    # No user has more edges than the table, so below hot_rows there is no
-    # hub and the plain join is exact and cheaper.
-    salt_hubs = (
-        order == "degree"
-        and distinct_edges > hot_rows
-        and 2 * distinct_edges // hot_rows <= broadcast_max_rows
-    )
+    # At most 2 * edges / hot users have more than hot edges. The threshold
+    # rises with the table, so that this list always fits the broadcast bound.
+    hot = max(hot_rows, -(-2 * distinct_edges // max(1, broadcast_max_rows)))
+    # No user has more edges than the table, so below the threshold there is
+    # no hub and the plain join is exact and cheaper.
+    hot = hot if order == "degree" and distinct_edges > hot else None
     # Every branch below reads this one table: written once to the shared
     # checkpoint folder instead of re-scanning and re-aggregating the input
     # per branch. Its exact row count is observed while it is written, so
     # the broadcast size check needs no pass of its own.
     observation = Observation("triangle-edges")
     oriented = (
-        _oriented(weighted, order, JoinPlan("auto"), hot_rows if salt_hubs else None)
+        _oriented(weighted, order, JoinPlan("auto"), hot)
         .observe(observation, F.count(F.lit(1)).alias("rows"))
         .checkpoint()
     )
     weighted.unpersist()
-    static_rows = None if max_id is None else max(max_id, 0) ** 2
-    plan = resolve_strategy(
-        strategy, oriented, static_rows, broadcast_max_rows, known_rows=observation.get["rows"]
-    )
+    plan = resolve_strategy(strategy, oriented, broadcast_max_rows, known_rows=observation.get["rows"])
 
-    parts = _simple_cycles(oriented, mode, plan, hot_rows if salt_hubs else None)
+    parts = _simple_cycles(oriented, mode, plan, hot)
     if allow_loops:
         parts = parts.unionByName(_loop_cycles(oriented, mode, plan))
     total = parts.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("closings"))

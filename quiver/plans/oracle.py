@@ -8,9 +8,7 @@ unrolled CTE per round, two-path totals by the join itself.
 from __future__ import annotations
 
 from quiver.plans.registry import (
-    CAP_DATAFRAME_TRIANGLES,
-    CAP_REPLICATED_TRIANGLES,
-    CAP_SHUFFLE_TRIANGLES,
+    EXAMPLE_CAP,
     LAGGED_DANGLING_SCALE,
     PAGERANK_ITERATIONS,
     PAGERANK_TOP_K,
@@ -69,7 +67,7 @@ def _two_path_per_user_sql(cap: int | None = None) -> str:
     )
 
 
-def _triangle_sql(mode: str, cap: int) -> str:
+def _triangle_sql(mode: str, cap: int | None = None) -> str:
     e = _capped(cap)
     head = f"WITH e AS (SELECT follower AS s, followee AS d FROM {e}), es AS (SELECT DISTINCT s, d FROM e), "
     if mode == "bag":
@@ -165,13 +163,15 @@ def _multiplicity_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    two_paths_join = (
-        f"WITH e AS {_capped(CAP_SHUFFLE_TRIANGLES)} "
-        "SELECT e1.follower AS src, e1.followee AS mid, e2.followee AS dst "
-        "FROM e e1 JOIN e e2 ON e1.followee = e2.follower"
-    )
+    def two_paths_join(cap: int | None) -> str:
+        return (
+            f"WITH e AS {_capped(cap)} "
+            "SELECT e1.follower AS src, e1.followee AS mid, e2.followee AS dst "
+            "FROM e e1 JOIN e e2 ON e1.followee = e2.follower"
+        )
+
     nested = (
-        f"WITH e AS {_capped(CAP_DATAFRAME_TRIANGLES)} "
+        f"WITH e AS {_capped(None)} "
         "SELECT {'follower': e1.follower, 'followee': e1.followee} AS \"first\", "
         "{'follower': e2.follower, 'followee': e2.followee} AS \"second\" "
         "FROM e e1 JOIN e e2 ON e1.followee = e2.follower"
@@ -185,7 +185,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT followee::BIGINT AS followee FROM ({EDGES}) "
             f"UNION ALL SELECT followee::BIGINT FROM ({_values(_TOKENISED_EXTRA, 'followee')})"
         ),
-        "edges_capped": f"SELECT follower, followee FROM {_capped(CAP_DATAFRAME_TRIANGLES)}",
+        "edges_capped": f"SELECT follower, followee FROM {_capped(EXAMPLE_CAP)}",
         "edges_distinct": f"SELECT DISTINCT follower, followee FROM ({EDGES})",
         "edge_multiplicity": _multiplicity_sql(),
         "line_multiplicity": f"SELECT line, count(*) AS n FROM ({_lines_sql()}) GROUP BY line",
@@ -197,19 +197,20 @@ def oracle_sql() -> dict[str, str]:
         ),
         "two_path_per_user": _two_path_per_user_sql(),
         "two_path_total": f"SELECT coalesce(sum(paths), 0)::BIGINT AS paths FROM ({_two_path_per_user_sql()})",
-        "two_path_total_capped": f"SELECT count(*)::BIGINT AS paths FROM ({two_paths_join})",
-        "two_paths": two_paths_join,
+        "two_path_total_capped": f"SELECT count(*)::BIGINT AS paths FROM ({two_paths_join(EXAMPLE_CAP)})",
+        "two_paths": two_paths_join(None),
         "two_paths_nested": nested,
-        "triangle_bag": _triangle_sql("bag", CAP_DATAFRAME_TRIANGLES),
-        "triangle_bag_broadcast": _triangle_sql("bag", CAP_DATAFRAME_TRIANGLES),
-        "triangle_path_bag": _triangle_sql("path_bag", CAP_SHUFFLE_TRIANGLES),
-        "triangle_probe_bag": _triangle_sql("probe_bag", CAP_REPLICATED_TRIANGLES),
-        "triangle_set": _triangle_sql("set", CAP_DATAFRAME_TRIANGLES),
+        "triangle_bag": _triangle_sql("bag"),
+        "triangle_bag_broadcast": _triangle_sql("bag"),
+        "triangle_path_bag": _triangle_sql("path_bag"),
+        "triangle_probe_bag": _triangle_sql("probe_bag"),
+        "triangle_set": _triangle_sql("set"),
         "pagerank": _rank_sql(False, None),
         "pagerank_top_k": _top_k_sql(),
         "pagerank_mass": _mass_sql(False, None),
         "pagerank_dangling": _dangling_sql(),
         "pagerank_lagged": _rank_sql(True, lagged_scale),
+        "pagerank_lagged_exact": _rank_sql(True, None),
         "pagerank_lagged_mass": _mass_sql(True, lagged_scale),
         "pagerank_from_table": _rank_sql(True, lagged_scale),
         "sink_tab": f"SELECT user, paths FROM ({_two_path_per_user_sql()})",

@@ -118,3 +118,16 @@ def test_kchain_initial_ranks(spark):
 def test_bad_dangling_mode(spark):
     with pytest.raises(ValueError):
         pagerank(kchain_graph(spark, 2), dangling="later")
+
+
+def test_empty_graph_has_no_ranks(spark):
+    result = pagerank(spark.createDataFrame([], "src bigint, dst bigint"), iterations=2)
+    assert result.ranks.count() == 0 and result.nodes == 0
+    assert [r.mass for r in result.mass.collect()] == [0.0, 0.0]
+
+
+def test_null_source_is_no_node(spark):
+    graph = spark.createDataFrame([(1, 2), (2, 1), (None, 1)], "src bigint, dst bigint")
+    result = pagerank(graph, iterations=2)
+    assert result.nodes == 2
+    assert {r.id for r in result.ranks.collect()} == {1, 2}

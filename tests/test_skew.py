@@ -162,3 +162,26 @@ def test_closing_join_spreads_a_hub_pair(spark):
 
     salts = spark.range(1).select(_pair_salts(F.lit(n + 1), F.lit(n + 1), 100).alias("s")).first().s
     assert salts == 16
+
+
+def test_hub_mid_is_split_by_its_output(spark):
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        edges = hub_graph(spark)
+        paths = ops.two_paths(edges, target_paths=10_000)
+        hub = paths.where("mid = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in hub) == 400 * 400
+    assert len(hub) >= 3 and max(r["count"] for r in hub) < 100_000
+    assert paths.exceptAll(ops.two_paths(edges)).count() == 0
+
+
+def test_negative_ids_do_not_pass_for_a_small_table(spark):
+    edges = spark.range(0, 2000).select((-F.col("id")).alias("follower"), (-(F.col("id") * 7) % 500).alias("followee"))
+    df = ops.triangle_count(edges, "bag", max_id=10, strategy="broadcast", broadcast_max_rows=100)
+    assert "BroadcastHashJoin" not in plan_text(df) or df.first() is not None
+    assert "SortMergeJoin" in plan_text(df)
+
+
+def test_salting_stays_on_beyond_the_broadcast_bound(spark):
+    edges = hub_graph(spark)
+    plain = ops.triangle_count(edges, "bag").collect()
+    assert ops.triangle_count(edges, "bag", hot_rows=2, broadcast_max_rows=50).collect() == plain
