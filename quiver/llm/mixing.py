@@ -75,6 +75,8 @@ def split_quotas(rng: random.Random, counts: list[int], shards: int) -> list[lis
     """Deal ``counts`` blocks per source to ``shards`` leaves of a binary tree."""
     if shards == 1:
         return [counts]
+    if not sum(counts):
+        return [counts] * shards
     half = shards // 2
     drawn = Counter(rng.sample(range(len(counts)), sum(counts) * half // shards, counts=counts))
     left = [drawn[i] for i in range(len(counts))]
