@@ -85,7 +85,11 @@ def _parser() -> argparse.ArgumentParser:
 
 def _pagerank(graph: DataFrame, variant: str, iterations: int, initial: DataFrame | None):
     scale = LAGGED_SCALE if variant == "lagged" else None
-    return ops.pagerank(graph, iterations, dangling=variant, dangling_scale=scale, initial=initial)
+    # Given start ranks are the node list: messages to other ids are lost.
+    absent = "add" if initial is None else "drop"
+    return ops.pagerank(
+        graph, iterations, dangling=variant, dangling_scale=scale, initial=initial, absent=absent
+    )
 
 
 def _with_sink_row(result, sink_id: int) -> DataFrame:

@@ -8,6 +8,9 @@ dangling mass ``D``; every node then gets ``received + D / n``.
 ``dangling="same"``    round t adds the ``D`` of round t (mass stays 1).
 ``dangling="lagged"``  round t adds the ``D`` of round t-1 (0 in round 1),
                        the way a chain of batch jobs passes it on.
+``absent="add"``       a target without out-rows or start rank is a node too.
+``absent="drop"``      nodes are the sources and the ids of ``initial`` alone;
+                       a message to any other id is lost.
 ``dangling_scale``     if set, each message into the sink is truncated to whole
                        ``1 / dangling_scale`` units before summing (mass leaks).
 
@@ -52,6 +55,7 @@ from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, salted_join
 from quiver.session import checkpoint_dir
 
 DANGLING = ("same", "lagged")
+ABSENT = ("add", "drop")
 
 
 @dataclass
@@ -85,6 +89,7 @@ def _layout(
     split_rows: int,
     rows_per_partition: int,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    absent: str = "add",
 ) -> _Layout:
     spark = graph.sparkSession
     g = graph.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
@@ -99,9 +104,9 @@ def _layout(
     # broadcast bound: the threshold rises with the graph.
     split_rows = max(split_rows, -(-int(rows) // max(1, broadcast_max_rows)))
 
-    node_ids = weighted.select(F.col("src").alias("id")).unionByName(
-        weighted.where(F.col("dst").isNotNull()).select(F.col("dst").alias("id"))
-    )
+    node_ids = weighted.select(F.col("src").alias("id"))
+    if absent == "add":
+        node_ids = node_ids.unionByName(weighted.where(F.col("dst").isNotNull()).select(F.col("dst").alias("id")))
     if extra_nodes is not None:
         node_ids = node_ids.unionByName(extra_nodes.select(F.col("id").cast("bigint").alias("id")))
     node_ids = node_ids.distinct()
@@ -162,6 +167,7 @@ def pagerank(
     split_rows: int = 1_000_000,
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     rows_per_partition: int = 4_000_000,
+    absent: str = "add",
 ) -> PageRankResult:
     """Run ``iterations`` rounds; see the module docstring for semantics.
 
@@ -176,13 +182,16 @@ def pagerank(
     """
     if dangling not in DANGLING:
         raise ValueError(f"dangling must be one of {DANGLING}, got {dangling!r}")
+    if absent not in ABSENT:
+        raise ValueError(f"absent must be one of {ABSENT}, got {absent!r}")
     if split_rows < 1 or rows_per_partition < 1:
         raise ValueError("split_rows and rows_per_partition must be >= 1")
     spark = graph.sparkSession
     checkpoint_dir(spark)
-    layout = _layout(graph, initial, split_rows, rows_per_partition, broadcast_max_rows)
+    layout = _layout(graph, initial, split_rows, rows_per_partition, broadcast_max_rows, absent)
     n = layout.n
     parts = layout.parts
+    own = parts.where(F.col("part") == 0).select(F.col("id").alias("node"))
     # Rank of every node part; part 0 is the node's own row.
     if initial is None:
         fanned = parts.select("id", "part", F.lit(1.0 / max(1, n)).alias("rank"))
@@ -212,6 +221,11 @@ def pagerank(
         received = messages.groupBy("dst").agg(
             F.sum("m").alias("m"), F.sum(sink_units).alias("units")
         )
+        if absent == "drop":
+            # One row per target by now, so no target is hot in this join.
+            received = received.join(own, F.col("dst") == F.col("node"), "left").where(
+                F.col("dst").isNull() | F.col("node").isNotNull()
+            ).drop("node")
         # One job per round: the checkpoint cuts the lineage (a lost executor
         # recomputes one round; the plan does not grow), and the dangling
         # mass and the mass that reached real nodes are observed while it is

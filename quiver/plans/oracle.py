@@ -130,6 +130,36 @@ def _rank_sql(lagged: bool, scale: int | None) -> str:
     return _pagerank_ctes(lagged, scale) + f"SELECT id, round(rank, {RANK_DIGITS}) AS rank FROM {last} ORDER BY id"
 
 
+def _node_table_sql(scale: int) -> str:
+    """Lagged rounds over the rendered node table (see quiver.plans.staging)."""
+    parts = [
+        f"v AS ({EDGES})",
+        "users AS (SELECT follower AS id FROM v UNION SELECT followee FROM v)",
+        "e AS (SELECT follower + 1 AS src, followee + 1 AS dst FROM v UNION ALL "
+        "SELECT id + 1, 0 FROM users WHERE id NOT IN (SELECT follower FROM v) "
+        "UNION ALL SELECT -5, -99 UNION ALL SELECT -5, 0)",
+        "outdeg AS (SELECT src, count(*)::DOUBLE AS d FROM e GROUP BY src)",
+        "cnt AS (SELECT count(*)::DOUBLE AS n FROM outdeg)",
+        "r0 AS (SELECT src AS id, CASE WHEN src = -5 THEN 0.25::DOUBLE "
+        "ELSE (1 + src % 3)::DOUBLE / 1024 END AS rank FROM outdeg)",
+        "d0 AS (SELECT 0.0::DOUBLE AS dm)",
+    ]
+    for t in range(1, PAGERANK_ITERATIONS + 1):
+        p = f"r{t - 1}"
+        sent = f"FROM e JOIN outdeg o ON o.src = e.src JOIN {p} ON {p}.id = e.src"
+        parts += [
+            f"d{t} AS (SELECT (coalesce(sum(floor({p}.rank / o.d * {scale})::BIGINT), 0) / {float(scale)})::DOUBLE AS dm "
+            f"{sent} WHERE e.dst = 0)",
+            f"m{t} AS (SELECT e.dst, sum({p}.rank / o.d) AS m {sent} WHERE e.dst <> 0 GROUP BY e.dst)",
+            f"r{t} AS (SELECT o.src AS id, coalesce(m{t}.m, 0) + (SELECT dm FROM d{t - 1}) / (SELECT n FROM cnt) AS rank "
+            f"FROM outdeg o LEFT JOIN m{t} ON m{t}.dst = o.src)",
+        ]
+    return (
+        "WITH " + ", ".join(parts)
+        + f" SELECT id, round(rank, {RANK_DIGITS}) AS rank FROM r{PAGERANK_ITERATIONS} ORDER BY id"
+    )
+
+
 def _mass_sql(lagged: bool, scale: int | None) -> str:
     rows = " UNION ALL ".join(
         f"SELECT {t} AS iteration, round(sum(rank), {RANK_DIGITS}) AS mass FROM r{t}"
@@ -185,11 +215,20 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT followee::BIGINT AS followee FROM ({EDGES}) "
             f"UNION ALL SELECT followee::BIGINT FROM ({_values(_TOKENISED_EXTRA, 'followee')})"
         ),
+        "edges_dropped": (
+            f"SELECT (count(*) + {len(MALFORMED_LINES)})::BIGINT AS lines, (count(*) + {len(_STRICT_EXTRA)})::BIGINT AS kept, "
+            f"{len(MALFORMED_LINES) - len(_STRICT_EXTRA)}::BIGINT AS dropped FROM ({EDGES})"
+        ),
         "edges_capped": f"SELECT follower, followee FROM {_capped(EXAMPLE_CAP)}",
         "edges_distinct": f"SELECT DISTINCT follower, followee FROM ({EDGES})",
         "edge_multiplicity": _multiplicity_sql(),
         "line_multiplicity": f"SELECT line, count(*) AS n FROM ({_lines_sql()}) GROUP BY line",
         "follower_count": _follower_count_sql(),
+        "follower_count_text_ids": (
+            "SELECT CASE WHEN followee % 3 = 0 THEN concat('p', followee) "
+            "WHEN followee % 2 = 1 THEN lpad(followee::VARCHAR, 10, '0') ELSE followee::VARCHAR END AS user, "
+            f"count(*) AS followers FROM ({EDGES}) GROUP BY 1"
+        ),
         "follower_count_grouped": _follower_count_sql(),
         "in_neighbours": (
             f"SELECT followee AS user, count(*) AS n_in, count(DISTINCT follower) AS n_in_distinct "
@@ -212,7 +251,7 @@ def oracle_sql() -> dict[str, str]:
         "pagerank_lagged": _rank_sql(True, lagged_scale),
         "pagerank_lagged_exact": _rank_sql(True, None),
         "pagerank_lagged_mass": _mass_sql(True, lagged_scale),
-        "pagerank_from_table": _rank_sql(True, lagged_scale),
+        "pagerank_from_table": _node_table_sql(lagged_scale),
         "sink_tab": f"SELECT user, paths FROM ({_two_path_per_user_sql()})",
         "sink_comma": _follower_count_sql(),
         "sink_tuple": _follower_count_sql(),

@@ -15,9 +15,17 @@ from pyspark.sql import types as T
 
 from quiver import operators as ops
 from quiver import sinks
-from quiver.plans.staging import stage_edge_text, stage_node_table
+from quiver.plans.staging import stage_edge_text, stage_node_table, stage_text_ids
 from quiver.session import staging_path
-from quiver.sources import edge_view, edges_to_graph, node_table_graph, read_edges, read_lines, read_node_table
+from quiver.sources import (
+    edge_view,
+    edges_to_graph,
+    line_report,
+    node_table_graph,
+    read_edges,
+    read_lines,
+    read_node_table,
+)
 
 # Id cap of the two queries whose feature is the cap (endpoints must be
 # strictly below it). No other query drops ids.
@@ -43,19 +51,24 @@ def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- sources ---------------------------------------------------------------
 
 def edges_strict(spark, sf_dir):
-    return read_edges(spark, stage_edge_text(spark, _edges(spark, sf_dir)), "strict")
+    return read_edges(spark, stage_edge_text(spark, sf_dir), "strict")
 
 
 def edges_lenient(spark, sf_dir):
-    return read_edges(spark, stage_edge_text(spark, _edges(spark, sf_dir)), "lenient")
+    return read_edges(spark, stage_edge_text(spark, sf_dir), "lenient")
 
 
 def edges_tokenised(spark, sf_dir):
-    return read_edges(spark, stage_edge_text(spark, _edges(spark, sf_dir)), "tokenised")
+    return read_edges(spark, stage_edge_text(spark, sf_dir), "tokenised")
 
 
 def edges_csv(spark, sf_dir):
-    return read_edges(spark, stage_edge_text(spark, _edges(spark, sf_dir)), "csv")
+    return read_edges(spark, stage_edge_text(spark, sf_dir), "csv")
+
+
+def edges_dropped(spark, sf_dir):
+    """Lines that the strict rule keeps and drops, observed while they are read."""
+    return line_report(spark, stage_edge_text(spark, sf_dir), "strict")
 
 
 # -- row operators ---------------------------------------------------------
@@ -73,7 +86,7 @@ def edge_multiplicity(spark, sf_dir):
 
 
 def line_multiplicity(spark, sf_dir):
-    return ops.line_multiplicity(read_lines(spark, stage_edge_text(spark, _edges(spark, sf_dir))))
+    return ops.line_multiplicity(read_lines(spark, stage_edge_text(spark, sf_dir)))
 
 
 # -- aggregates ------------------------------------------------------------
@@ -82,6 +95,12 @@ def follower_count(spark, sf_dir):
     return ops.follower_count(_edges(spark, sf_dir))
 
 
+def follower_count_text_ids(spark, sf_dir):
+    """Follower count where ids are text as it stands."""
+    path = stage_text_ids(spark, _edges(spark, sf_dir))
+    return ops.follower_count(read_edges(spark, path, "tokenised", ids="text"))
+
+
 def follower_count_grouped(spark, sf_dir):
     return ops.follower_count_grouped(_edges(spark, sf_dir))
 
@@ -193,12 +212,13 @@ def pagerank_lagged_mass(spark, sf_dir):
 
 
 def pagerank_from_table(spark, sf_dir):
-    """Lagged PageRank over a node table (``id, neighbour, rank`` lines)."""
+    """Lagged PageRank over a node table (``id, neighbour, rank`` lines): the
+    nodes are those with a line, 0 is the sink, the table gives the start ranks."""
     path = stage_node_table(spark, _edges(spark, sf_dir))
-    graph, start = node_table_graph(read_node_table(spark, path, sink_id=None))
+    graph, start = node_table_graph(read_node_table(spark, path, sink_id=0))
     result = ops.pagerank(
         graph, PAGERANK_ITERATIONS, dangling="lagged",
-        dangling_scale=LAGGED_DANGLING_SCALE, initial=start,
+        dangling_scale=LAGGED_DANGLING_SCALE, initial=start, absent="drop",
     )
     return ops.ranks_by_id(_rounded(result.ranks, "rank"))
 
@@ -248,9 +268,9 @@ def sink_csv(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in [
-        edges_strict, edges_lenient, edges_tokenised, edges_csv,
+        edges_strict, edges_lenient, edges_tokenised, edges_csv, edges_dropped,
         edges_capped, edges_distinct, edge_multiplicity, line_multiplicity,
-        follower_count, follower_count_grouped, in_neighbours,
+        follower_count, follower_count_text_ids, follower_count_grouped, in_neighbours,
         two_path_per_user, two_path_total, two_path_total_capped,
         two_paths, two_paths_nested,
         triangle_bag, triangle_bag_broadcast, triangle_path_bag, triangle_probe_bag, triangle_set,

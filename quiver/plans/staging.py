@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiver.session import staging_path
+from quiver.sources import edge_view
 
 # The malformed-line fixture appended to every rendered edge
 # file (one entry per line; "" is an empty line). Kept rows per reader:
@@ -28,28 +29,55 @@ def edge_lines(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return rendered.unionByName(extra)
 
 
-def stage_edge_text(spark: SparkSession, edges: DataFrame) -> str:
-    path = staging_path(spark, "edges-text")
-    edge_lines(spark, edges).write.text(path)
+# (application, input folder) -> its rendered edge lines
+_edge_text: dict[tuple[str, str], str] = {}
+
+
+def stage_edge_text(spark: SparkSession, sf_dir: str) -> str:
+    """The edge view as text: one copy per application and input, shared by
+    the reader queries and deleted when the application ends."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _edge_text:
+        path = staging_path(spark, "edges-text")
+        edge_lines(spark, edge_view(spark, sf_dir)).write.text(path)
+        _edge_text[key] = path
+    return _edge_text[key]
+
+
+def stage_text_ids(spark: SparkSession, edges: DataFrame) -> str:
+    """Edge lines whose followee is a text id: ``p<id>`` where the id is a
+    multiple of 3, padded to ten digits where it is odd, else the id."""
+    followee = F.col("followee").cast("string")
+    named = (
+        F.when(F.col("followee") % 3 == 0, F.concat(F.lit("p"), followee))
+        .when(F.col("followee") % 2 == 1, F.lpad(followee, 10, "0"))
+        .otherwise(followee)
+    )
+    path = staging_path(spark, "edges-text-ids")
+    edges.select(F.concat_ws(",", "follower", named).alias("value")).write.text(path)
     return path
 
 
+# Node lines appended to every rendered node table. Node -5 has
+# an absent neighbour and the sink; the others do not parse and are dropped.
+EXTRA_NODE_LINES = ["-5\t-99\t0.25", "-5\t0\t0.25", "-6\tabc\t0.5", "x\t1\t0.5", "-7\t1"]
+
+
 def stage_node_table(spark: SparkSession, edges: DataFrame) -> str:
     """Node lines ``id <TAB> neighbour <TAB> rank``: one per edge, plus one
-    with an empty neighbour for each user without an out-edge; every line
-    carries the uniform start rank ``1 / n``."""
-    ids = edges.select(F.col("follower").alias("id")).unionByName(
-        edges.select(F.col("followee").alias("id"))
-    ).distinct()
-    n = ids.count()
-    start = F.lit(repr(1.0 / n))
-    with_out = edges.select(
-        F.concat_ws("\t", F.col("follower").cast("string"), F.col("followee").cast("string"), start).alias("value")
-    )
-    followers = edges.select(F.col("follower").alias("id")).distinct()
-    without_out = ids.join(followers, "id", "left_anti").select(
-        F.concat_ws("\t", F.col("id").cast("string"), F.lit(""), start).alias("value")
+    with the sink 0 as neighbour for each user without an out-edge. Ids are
+    shifted by one, so that no user is the sink; the start rank is
+    ``(1 + id % 3) / 1024``. The fixed extra lines follow."""
+    shifted = edges.select((F.col("follower") + 1).alias("id"), (F.col("followee") + 1).alias("to"))
+    users = shifted.select(F.explode(F.array(
+        F.struct("id", F.lit(1).alias("out")), F.struct(F.col("to").alias("id"), F.lit(0).alias("out"))
+    )).alias("u")).select("u.*")
+    without_out = users.groupBy("id").agg(F.max("out").alias("out")).where("out = 0")
+    start = ((F.col("id") % 3 + 1) / F.lit(1024.0)).cast("string")
+    lines = shifted.unionByName(without_out.select("id", F.lit(0).cast("bigint").alias("to"))).select(
+        F.concat_ws("\t", "id", "to", start).alias("value")
     )
+    extra = spark.createDataFrame([(line,) for line in EXTRA_NODE_LINES], "value string")
     path = staging_path(spark, "node-table")
-    with_out.unionByName(without_out).write.text(path)
+    lines.unionByName(extra).write.text(path)
     return path

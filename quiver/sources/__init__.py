@@ -4,6 +4,7 @@ from quiver.sources.edges import (
     EDGE_SCHEMA,
     RULES,
     edge_view,
+    line_report,
     parse_lenient,
     parse_strict,
     parse_tokenised,
@@ -26,6 +27,7 @@ __all__ = [
     "edges_to_graph",
     "kchain_graph",
     "kchain_initial_ranks",
+    "line_report",
     "node_table_graph",
     "parse_lenient",
     "parse_strict",

@@ -15,12 +15,15 @@ what counts as "two ids":
                extra cells are ignored); same rows as ``lenient``.
 ``tokenised``  non-empty tokens read as consecutive (follower, followee)
                pairs; yields one ``followee`` column (``1,2,3,4`` -> 2, 4) and
-               never looks at the follower token.
+               never looks at the follower token. With ``ids="text"`` the
+               token itself is the id (``bob``, ``007`` and ``7`` differ).
+
+:func:`line_report` counts the lines that a rule keeps and drops.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +36,7 @@ EDGE_SCHEMA = T.StructType(
     ]
 )
 
+IDS = ("numeric", "text")
 RULES = ("strict", "lenient", "csv", "tokenised")
 
 
@@ -48,9 +52,11 @@ def parse_lenient(lines: DataFrame, sep: str = ",") -> DataFrame:
     return _two_ids(lines.select(parts.alias("p")).where(F.size("p") >= 2))
 
 
-def parse_tokenised(lines: DataFrame, sep: str = ",") -> DataFrame:
+def parse_tokenised(lines: DataFrame, sep: str = ",", ids: str = "numeric") -> DataFrame:
     """Followee of every (follower, followee) token pair, as ``followee``."""
     followee = F.explode(odd_position_tokens(F.col("value"), sep))
+    if ids == "text":
+        return lines.select(followee.alias("followee"))
     return (
         lines.select(followee.alias("t"))
         .select(to_id(F.col("t")).alias("followee"))
@@ -88,8 +94,26 @@ def read_edges_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     )
 
 
-def read_edges(spark: SparkSession, path: str, rule: str = "strict", sep: str = ",") -> DataFrame:
-    """Read an edge directory under one of :data:`RULES`."""
+def line_report(spark: SparkSession, path: str, rule: str = "strict", sep: str = ",") -> DataFrame:
+    """``(lines, kept, dropped)`` of an edge directory under a rule that reads
+    one edge a line (``strict`` or ``lenient``): observed in one pass."""
+    parsers = {"strict": parse_strict, "lenient": parse_lenient}
+    if rule not in parsers:
+        raise ValueError(f"rule must be one of {tuple(parsers)}, got {rule!r}")
+    seen, held = Observation("lines"), Observation("kept")
+    lines = read_lines(spark, path).observe(seen, F.count(F.lit(1)).alias("n"))
+    parsers[rule](lines, sep).observe(held, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    n, kept = seen.get["n"], held.get["n"]
+    return spark.createDataFrame([(n, kept, n - kept)], "lines bigint, kept bigint, dropped bigint")
+
+
+def read_edges(
+    spark: SparkSession, path: str, rule: str = "strict", sep: str = ",", ids: str = "numeric"
+) -> DataFrame:
+    """Read an edge directory under one of :data:`RULES`; ``ids="text"`` is
+    for ``tokenised`` alone."""
+    if ids not in IDS or (ids == "text" and rule != "tokenised"):
+        raise ValueError(f"ids must be one of {IDS}, text only with rule='tokenised'; got {ids!r}, {rule!r}")
     if rule == "csv":
         return read_edges_csv(spark, path, sep)
     lines = read_lines(spark, path)
@@ -98,7 +122,7 @@ def read_edges(spark: SparkSession, path: str, rule: str = "strict", sep: str =
     if rule == "lenient":
         return parse_lenient(lines, sep)
     if rule == "tokenised":
-        return parse_tokenised(lines, sep)
+        return parse_tokenised(lines, sep, ids)
     raise ValueError(f"rule must be one of {RULES}, got {rule!r}")
 
 

@@ -52,10 +52,13 @@ def read_node_table(
 
     ``neighbour`` is NULL for an empty field or for ``sink_id`` (the sink
     pseudo-node). A node may have several lines, one per out-edge, carrying
-    the same rank. Lines whose id or rank does not parse are dropped.
+    the same rank. Lines whose id, rank or non-empty neighbour does not parse
+    are dropped.
     """
     raw = spark.read.schema(NODE_TABLE_SCHEMA).option("sep", sep).csv(path)
-    neighbour = to_id(F.trim(F.col("neighbour")))
+    given = F.trim(F.coalesce("neighbour", F.lit("")))
+    raw = raw.where((given == "") | to_id(given).isNotNull())
+    neighbour = to_id(given)
     if sink_id is not None:
         neighbour = F.when(neighbour != F.lit(sink_id), neighbour)
     return (

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quiver.operators.degrees import follower_count
-from quiver.session import staging_path
 from quiver.sources.edges import parse_lenient, parse_strict, parse_tokenised
 
 _PARSERS = {"strict": parse_strict, "lenient": parse_lenient, "tokenised": parse_tokenised}
@@ -42,9 +41,12 @@ def start_follower_count(
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start the streaming count; each micro-batch overwrites ``output_dir``
-    with the full current table (complete output mode)."""
+    with the full current table (complete output mode). The state lies in
+    ``checkpoint_location``, by default beside ``output_dir``, so a restart
+    resumes.
+    """
     counts = follower_count_stream(spark, edge_dir, rule)
-    location = checkpoint_location or staging_path(spark, "stream-followers")
+    location = checkpoint_location or f"{output_dir.rstrip('/')}-state"
 
     def publish(batch: DataFrame, _batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(output_dir)

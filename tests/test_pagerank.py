@@ -131,3 +131,17 @@ def test_null_source_is_no_node(spark):
     result = pagerank(graph, iterations=2)
     assert result.nodes == 2
     assert {r.id for r in result.ranks.collect()} == {1, 2}
+
+
+def test_absent_nodes_are_dropped_or_added(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("1\t2\t0.5\n2\t3\t0.5\n")
+    graph, start = node_table_graph(read_node_table(spark, str(tmp_path)))
+    dropped = pagerank(graph, iterations=1, initial=start, absent="drop")
+    assert dropped.nodes == 2 and _ranks(dropped) == {1: 0.0, 2: 0.5}
+    assert _last(dropped.mass, "mass") == 0.5
+    assert set(_ranks(pagerank(graph, iterations=1, initial=start))) == {1, 2, 3}
+
+
+def test_unknown_absent_policy(spark):
+    with pytest.raises(ValueError):
+        pagerank(kchain_graph(spark, 2), absent="keep")

@@ -63,3 +63,15 @@ def test_observed_counter(view_small, tmp_path):
     df, obs = counted(view_small, "edges", rows=F.count(F.lit(1)), loops=F.sum(F.expr("int(follower = followee)")))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows": 6000, "loops": 31}
+
+
+def test_sorted_sinks_order_keys_in_every_file(spark, tmp_path):
+    counts = spark.range(1000).selectExpr("(id * 7919) % 1000 AS user", "id AS n").repartition(4)
+    sinks.write_delimited(counts, str(tmp_path / "tab"), sort_keys=True)
+    sinks.write_tuples(counts, "user", "n", str(tmp_path / "tuple"), sort_keys=True)
+    for kind, first in (("tab", lambda x: x.split("\t")[0]), ("tuple", lambda x: x[1:].split(",")[0])):
+        files = [f.read_text().splitlines() for f in (tmp_path / kind).glob("part-*")]
+        assert len(files) == 4 and sum(map(len, files)) == 1000
+        for lines in files:
+            keys = [int(first(x)) for x in lines]
+            assert keys == sorted(keys)

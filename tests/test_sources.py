@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from quiver.plans.staging import MALFORMED_LINES
-from quiver.sources import kchain_graph, node_table_graph, read_edges, read_node_table
+from quiver.sources import kchain_graph, line_report, node_table_graph, read_edges, read_node_table
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +79,23 @@ def test_edge_view_counts(view_small):
     assert view_small.count() == 6000
     assert view_small.distinct().count() == 5382
     assert view_small.where("follower = followee").count() == 31
+
+
+def test_unparsable_neighbour_is_no_sink(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("1\tabc\t0.5\n2\t\t0.5\n3\t0\t0.5\n4\t1\t0.5\n")
+    rows = {(r.id, r.neighbour) for r in read_node_table(spark, str(tmp_path)).collect()}
+    assert rows == {(2, None), (3, None), (4, 1)}
+
+
+def test_text_ids_are_kept_as_written(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("a,bob\nb,bob\nc,7\nd,007\n")
+    found = read_edges(spark, str(tmp_path), "tokenised", ids="text")
+    assert sorted(r.followee for r in found.collect()) == ["007", "7", "bob", "bob"]
+    with pytest.raises(ValueError):
+        read_edges(spark, str(tmp_path), "strict", ids="text")
+
+
+def test_line_report_counts_dropped_lines(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("1,2\nx,4\n6,7,8\n")
+    assert tuple(line_report(spark, str(tmp_path), "strict").first()) == (3, 1, 2)
+    assert tuple(line_report(spark, str(tmp_path), "lenient").first()) == (3, 2, 1)
