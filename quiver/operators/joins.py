@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import logging
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -103,3 +104,56 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, spread: str, hot: D
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)).alias("_salt"),
     )
     return salted_rows.join(replicated, [key, "_salt"]).drop("_salt")
+
+
+def hot_products(per_key: DataFrame, key: str, target: int, max_keys: int) -> DataFrame | None:
+    """Keys of a many-to-many join that make more than ``target`` rows, as
+    ``(key, left_parts, right_parts)``; None if there is none.
+
+    ``per_key``: ``(key, n_left, n_right)``, the rows of each key on either
+    side. At most ``total / target`` keys can exceed the target; it rises
+    until that is at most ``max_keys``, so the list may be broadcast.
+    """
+    product = F.col("n_left").cast("double") * F.col("n_right")
+    total, most = per_key.agg(F.sum(product), F.max(product)).first()
+    target = max(target, math.ceil((total or 0) / max(1, max_keys)))
+    if not most or most <= target:
+        return None
+    side = math.isqrt(target)
+    return per_key.where(product > target).select(
+        key,
+        F.ceil(F.col("n_left") / side).cast("int").alias("left_parts"),
+        F.ceil(F.col("n_right") / side).cast("int").alias("right_parts"),
+    )
+
+
+def grid_join(
+    left: DataFrame, right: DataFrame, key: str, left_spread: str, right_spread: str, hot: DataFrame, plan: JoinPlan
+) -> DataFrame:
+    """``left JOIN right USING (key)`` with the keys of ``hot`` (see
+    :func:`hot_products`) cut into a grid of cells.
+
+    A hot key's left rows fall into ``left_parts`` by a hash of
+    ``left_spread`` and are copied to every right part, and the other way
+    round, so each pair of rows meets in one cell. With sides of
+    ``sqrt(target)`` rows the copies stay few next to the join's output,
+    whichever side is the larger one. Rows equal in key and spread column
+    share a part.
+    """
+    marks = F.broadcast(hot)
+    grid = [key, "_left_parts", "_right_parts"]
+    # A cell is small in bytes: with a count of its own, AQE does not merge
+    # the shuffle's partitions again.
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def cells(rows: DataFrame, spread: str, own: str, other: str) -> DataFrame:
+        one = F.lit(1)
+        return rows.join(marks, key, "left").select(
+            *rows.columns,
+            F.pmod(F.xxhash64(spread), F.coalesce(own, one)).cast("int").alias(f"_{own}"),
+            F.explode(F.sequence(F.lit(0), F.coalesce(other, one) - 1)).alias(f"_{other}"),
+        ).repartition(partitions, *grid)
+
+    first = cells(left, left_spread, "left_parts", "right_parts")
+    second = cells(right, right_spread, "right_parts", "left_parts")
+    return first.join(plan.side(second), grid).drop("_left_parts", "_right_parts")

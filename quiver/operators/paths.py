@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quiver.operators.edges import cap_edges
 from quiver.operators.degrees import two_path_per_user
-from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, resolve_strategy
+from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, grid_join, hot_products, resolve_strategy
 
 
 # Paths through one user that a task makes before that user is split.
@@ -15,32 +15,23 @@ TARGET_PATHS = 4_000_000
 
 
 def _path_join(edges: DataFrame, max_id: int | None, strategy: str, target_paths: int) -> DataFrame:
-    capped = cap_edges(edges, max_id).select("follower", "followee")
+    """``(src, mid, dst)``: the edge self-join on the middle user."""
+    capped = cap_edges(edges, max_id)
+    first = capped.select(F.col("follower").alias("src"), F.col("followee").alias("mid"))
+    second = capped.select(F.col("follower").alias("mid"), F.col("followee").alias("dst"))
     # A bag of edges has no static size bound, so a broadcast is checked by count.
     plan = resolve_strategy(strategy, capped)
-    per_mid = two_path_per_user(capped)
-    total, most = per_mid.agg(F.sum("paths"), F.max("paths")).first()
     # A join key's output is in x out rows, which AQE does not see from its
-    # input: mids beyond the target are split. At most total / target mids
-    # are, so the list fits the broadcast bound.
-    target = max(target_paths, -(-int(total or 0) // DEFAULT_BROADCAST_MAX_ROWS))
-    if not most or most <= target:
-        second = plan.side(capped).alias("second")
-        return capped.alias("first").join(second, F.col("first.followee") == F.col("second.follower"), "inner")
-    hot = F.broadcast(per_mid.where(F.col("paths") > target).select(
-        F.col("user").alias("_mid"), F.ceil(F.col("paths") / target).cast("int").alias("_salts")
-    ))
-    salts = F.coalesce("_salts", F.lit(1))
-    first = capped.join(hot, F.col("followee") == F.col("_mid"), "left").select(
-        "follower", "followee", F.pmod(F.xxhash64("follower"), salts).cast("int").alias("salt")
-    )
-    second = capped.join(hot, F.col("follower") == F.col("_mid"), "left").select(
-        "follower", "followee", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
-    )
-    return first.alias("first").join(
-        plan.side(second).alias("second"),
-        (F.col("first.followee") == F.col("second.follower")) & (F.col("first.salt") == F.col("second.salt")), "inner",
-    )
+    # input. A broadcast join has no key to split: its tasks follow the scan.
+    hot = None
+    if plan.strategy != "broadcast":
+        per_mid = two_path_per_user(capped).select(
+            F.col("user").alias("mid"), F.col("n_in").alias("n_left"), F.col("n_out").alias("n_right")
+        )
+        hot = hot_products(per_mid, "mid", target_paths, DEFAULT_BROADCAST_MAX_ROWS)
+    if hot is None:
+        return first.join(plan.side(second), "mid")
+    return grid_join(first, second, "mid", "src", "dst", hot, plan)
 
 
 def two_paths(edges: DataFrame, max_id: int | None = None, strategy: str = "auto", target_paths: int = TARGET_PATHS) -> DataFrame:
@@ -49,13 +40,9 @@ def two_paths(edges: DataFrame, max_id: int | None = None, strategy: str = "auto
     kept).
 
     A hub ``mid`` makes in-degree x out-degree rows: beyond ``target_paths``
-    its in-edges are spread over sub-keys and its out-edges replicated.
+    its in-edges and out-edges are cut into a grid of sub-keys.
     """
-    return _path_join(edges, max_id, strategy, target_paths).select(
-        F.col("first.follower").alias("src"),
-        F.col("first.followee").alias("mid"),
-        F.col("second.followee").alias("dst"),
-    )
+    return _path_join(edges, max_id, strategy, target_paths).select("src", "mid", "dst")
 
 
 def two_paths_nested(
@@ -64,12 +51,6 @@ def two_paths_nested(
     """The same join keeping both matched edges whole, as two struct columns
     ``first`` and ``second`` of ``(follower, followee)``."""
     return _path_join(edges, max_id, strategy, target_paths).select(
-        F.struct(
-            F.col("first.follower").alias("follower"),
-            F.col("first.followee").alias("followee"),
-        ).alias("first"),
-        F.struct(
-            F.col("second.follower").alias("follower"),
-            F.col("second.followee").alias("followee"),
-        ).alias("second"),
+        F.struct(F.col("src").alias("follower"), F.col("mid").alias("followee")).alias("first"),
+        F.struct(F.col("mid").alias("follower"), F.col("dst").alias("followee")).alias("second"),
     )

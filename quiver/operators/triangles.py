@@ -9,14 +9,15 @@ Plan (one write of the oriented edge table, then one lazy final aggregate):
 
 1. Cap and pre-aggregate the edge bag to ``(src, dst, w)``: later joins see
    each distinct edge once. Orient each edge (up / down / loop) and write
-   the result once to the checkpoint folder; every later branch reads it.
+   the result once below the checkpoint folder; every later branch reads it.
 2. Rank users by ``(degree, id)`` and enumerate every cycle on three distinct
    users exactly once, from its lowest-ranked user ``a``: join ``a``'s
    out-edges to higher-ranked users with ``a``'s in-edges from higher-ranked
    users (the wedge ``c -> a -> b``), then probe the closing edge ``b -> c``
    on its two-column key. Under a degree order a user has at most
    ``sqrt(2 * edges)`` higher-ranked neighbours, so no join key fans out
-   more than that however large a hub is.
+   more than that however large a hub is; a centre with many wedges is cut
+   into a grid of sub-keys.
 3. Add the mode's weight summed over the cycle's three rotations.
 4. With self-loops allowed, add the degenerate cycles: a loop alone
    (``a -> a``, one rotation) and a loop plus a 2-cycle (``x -> x``,
@@ -35,13 +36,18 @@ from quiver.operators.joins import (
     DEFAULT_BROADCAST_MAX_ROWS,
     JoinPlan,
     check_strategy,
+    grid_join,
+    hot_products,
     resolve_strategy,
     salted_join,
 )
-from quiver.session import checkpoint_dir
+from quiver.session import checkpoint_dir, staging_path
 
 ORDERS = ("degree", "id")
 
+# Wedges of one centre that a task makes before that centre is split.
+TARGET_WEDGES = 4_000_000
+
 
 def _ranks_before(deg_u: Column, u: Column, deg_v: Column, v: Column) -> Column:
     """``u`` ranks below ``v`` in the total order ``(degree, id)``."""
@@ -106,11 +112,30 @@ def _pair_salts(deg_b: Column, deg_c: Column, hot_rows: int | None) -> Column:
     return F.when(smaller > hot_rows, F.ceil(smaller / hot_rows)).otherwise(1).cast("int")
 
 
+def _hot_centres(
+    oriented: DataFrame, order: str, edges: int, target_wedges: int, max_keys: int
+) -> DataFrame | None:
+    """Centres ``a`` with more than ``target_wedges`` wedges, and their parts
+    (see :func:`hot_products`); None if there is none."""
+    # With h edges to higher-ranked users a centre makes at most (h / 2) ** 2
+    # wedges. Under the degree order these are at least h / 2 users of degree
+    # h or more, so h * h / 2 <= 2 * edges and the wedges are at most `edges`.
+    if (edges if order == "degree" else edges * edges // 4) <= target_wedges:
+        return None
+    lower = F.when(F.col("up"), F.col("src")).otherwise(F.col("dst"))
+    per_centre = oriented.where(F.col("up").isNotNull()).groupBy(lower.alias("a")).agg(
+        F.count_if("up").alias("n_left"), F.count_if(~F.col("up")).alias("n_right")
+    )
+    return hot_products(per_centre, "a", target_wedges, max_keys)
+
+
 def _simple_cycles(
-    oriented: DataFrame, mode: str, plan: JoinPlan, hot_rows: int | None = None
+    oriented: DataFrame, mode: str, plan: JoinPlan, hot_rows: int | None = None, hot_centres: DataFrame | None = None
 ) -> DataFrame:
     """Contribution of cycles on three distinct users, one row per cycle.
 
+    The wedges of each of ``hot_centres`` are made in a grid of sub-keys.
+
     With ``hot_rows``, the wedges of a hub pair ``(b, c)`` are spread over
     several sub-keys by a hash of ``a``, and that pair's single closing edge
     is replicated once per sub-key, so one pair never lands in one task.
@@ -119,13 +144,15 @@ def _simple_cycles(
         F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w_ab"),
         F.col("deg_dst").alias("deg_b"),
     )
-    in_a = plan.side(
-        oriented.where(~F.col("up")).select(
-            F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca"),
-            F.col("deg_src").alias("deg_c"),
-        )
+    in_a = oriented.where(~F.col("up")).select(
+        F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca"),
+        F.col("deg_src").alias("deg_c"),
     )
-    wedges = out_a.join(in_a, "a").select(
+    if hot_centres is None:
+        met = out_a.join(plan.side(in_a), "a")
+    else:
+        met = grid_join(out_a, in_a, "a", "b", "c", hot_centres, plan)
+    wedges = met.select(
         "a", "b", "c", "w_ab", "w_ca",
         F.pmod(F.xxhash64("a"), _pair_salts(F.col("deg_b"), F.col("deg_c"), hot_rows))
         .cast("int")
@@ -170,6 +197,7 @@ def triangle_count(
     order: str = "degree",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     hot_rows: int = 1_000_000,
+    target_wedges: int = TARGET_WEDGES,
 ) -> DataFrame:
     """``(closings, triangles)`` of a follower edge bag, one row.
 
@@ -180,8 +208,9 @@ def triangle_count(
     replicated only when its exact row count proves it fits).
     ``order``: ``degree`` (hub-safe) or ``id`` (skips the degree joins; for
     graphs without hubs). ``hot_rows``: users with more edges than this are
-    split across tasks when their degree is attached. The result does not
-    depend on strategy, order or ``hot_rows``.
+    split across tasks when their degree is attached. ``target_wedges``:
+    centres with more wedges are split across tasks. The result does not
+    depend on strategy, order, ``hot_rows`` or ``target_wedges``.
     """
     check_mode(mode)
     if hot_rows < 1:
@@ -200,20 +229,26 @@ def triangle_count(
     # No user has more edges than the table, so below the threshold there is
     # no hub and the plain join is exact and cheaper.
     hot = hot if order == "degree" and distinct_edges > hot else None
-    # Every branch below reads this one table: written once to the shared
-    # checkpoint folder instead of re-scanning and re-aggregating the input
-    # per branch. Its exact row count is observed while it is written, so
+    # Every branch below reads this one table: written once below the shared
+    # checkpoint folder, split by `up`, so that a branch reads its own part
+    # and columns. Its exact row count is observed while it is written, so
     # the broadcast size check needs no pass of its own.
     observation = Observation("triangle-edges")
-    oriented = (
-        _oriented(weighted, order, JoinPlan("auto"), hot)
-        .observe(observation, F.count(F.lit(1)).alias("rows"))
-        .checkpoint()
-    )
+    table = _oriented(weighted, order, JoinPlan("auto"), hot).observe(observation, F.count(F.lit(1)).alias("rows"))
+    path = staging_path(edges.sparkSession, "triangle-edges")
+    table.write.partitionBy("up").parquet(path)
+    oriented = edges.sparkSession.read.schema(table.schema).parquet(path)
     weighted.unpersist()
-    plan = resolve_strategy(strategy, oriented, broadcast_max_rows, known_rows=observation.get["rows"])
+    rows = observation.get["rows"]
+    plan = resolve_strategy(strategy, oriented, broadcast_max_rows, known_rows=rows)
 
-    parts = _simple_cycles(oriented, mode, plan, hot)
+    if plan.strategy == "broadcast":
+        # Its tasks follow the scan, not the keys; the proven row count holds
+        # for the sides as they are, without copies.
+        parts = _simple_cycles(oriented, mode, plan)
+    else:
+        centres = _hot_centres(oriented, order, rows, target_wedges, broadcast_max_rows)
+        parts = _simple_cycles(oriented, mode, plan, hot, centres)
     if allow_loops:
         parts = parts.unionByName(_loop_cycles(oriented, mode, plan))
     total = parts.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("closings"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quiver import operators as ops
 from quiver.operators.ranking import _layout
 from quiver.operators.triangles import _oriented
-from quiver.operators.joins import JoinPlan, salted_join
+from quiver.operators.joins import JoinPlan, grid_join, hot_products, salted_join
 from quiver.operators.edges import weighted_edges
 from quiver.plans import plan_text
 
@@ -174,6 +174,45 @@ def test_hub_mid_is_split_by_its_output(spark):
     assert paths.exceptAll(ops.two_paths(edges)).count() == 0
 
 
+def test_hub_mid_is_split_under_default_settings(spark):
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        paths = ops.two_paths(hub_graph(spark, fan=2500))
+        hub = paths.where("mid = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in hub) == 2500 * 2500
+    assert len(hub) > 1 and max(r["count"] for r in hub) <= 0.8 * 2500 * 2500
+
+
+def test_grid_join_copies_little_and_keeps_the_result(spark):
+    # One key with 30 left and 9,000 right rows, and repeated rows.
+    left = spark.range(30).select(F.lit(1).alias("k"), (F.col("id") % 20).alias("x"))
+    right = spark.range(9000).select(F.lit(1).alias("k"), F.col("id").alias("y"))
+    left, right = left.union(left.select(F.lit(2), "x")), right.union(right.limit(5).select(F.lit(2), "y"))
+    per_key = left.groupBy("k").agg(F.count("x").alias("n_left")).join(right.groupBy("k").agg(F.count("y").alias("n_right")), "k")
+    hot = hot_products(per_key, "k", 10_000, 100)
+    assert [tuple(r) for r in hot.collect()] == [(1, 1, 90)]
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        out = grid_join(left, right, "k", "x", "y", hot, JoinPlan("auto"))
+        assert out.exceptAll(left.join(right, "k")).count() == 0 and out.count() == 30 * 9005
+    assert hot_products(per_key, "k", 1_000_000, 100) is None
+    assert hot_products(per_key, "k", 1, 1) is None  # the target rises beyond every key
+    assert hot_products(per_key.limit(0), "k", 1, 1) is None
+
+
+def test_hot_wedge_centres_are_split(spark, view_small):
+    edges = hub_graph(spark, fan=100, background=300).unionByName(view_small)
+    for order in ("degree", "id"):
+        plain = ops.triangle_count(edges, "bag", order=order, strategy="shuffle").first()
+        split = ops.triangle_count(edges, "bag", order=order, strategy="shuffle", target_wedges=9)
+        assert split.first() == plain and "_left_parts" in plan_text(split)
+
+
+def test_triangle_branches_read_their_own_columns(spark, view_small):
+    text = plan_text(ops.triangle_count(view_small, "bag", strategy="shuffle"))
+    assert "PartitionFilters: [isnotnull(up" in text
+    schemas = [line for line in text.splitlines() if "ReadSchema" in line]
+    assert schemas and all(line.count(":") <= 6 for line in schemas)
+
+
 def test_negative_ids_do_not_pass_for_a_small_table(spark):
     edges = spark.range(0, 2000).select((-F.col("id")).alias("follower"), (-(F.col("id") * 7) % 500).alias("followee"))
     df = ops.triangle_count(edges, "bag", max_id=10, strategy="broadcast", broadcast_max_rows=100)
