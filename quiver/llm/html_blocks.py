@@ -3,11 +3,13 @@
 Markup is stripped into lines, one per block element. A line's length counts
 its visible characters outside links; lines inside menus, headers, footers,
 sidebars, notices, adverts, forms, comments and the like have none. Lengths
-are summed over sliding windows of ``WINDOW`` lines: the text begins where
-the sum first surges over a bound and ends where it last dives under it, and
-everything visible between the two points is kept. Where the page marks an
-``article`` or ``main`` with text in it, only its lines count and the bound
-is a single character; otherwise it is a share of the largest window.
+are summed over sliding windows of ``WINDOW`` lines: the text surges at the
+first line whose sum reaches a bound (a share of the largest one) and dives
+after the last such line; from there both points move on over adjoining lines
+until the length falls to zero. Everything visible between the two points is
+kept. Where the page marks an ``article`` or ``main`` with text in it, that
+mark only weighs the lines: a character in it counts ``MARKED`` times, a line
+of links in it as one character, and a line outside it not at all.
 
 Defined cases: a null or empty page gives an empty text; unclosed elements
 end with their parent, unclosed scripts, styles and comments with the page;
@@ -25,6 +27,7 @@ from pyspark.sql.types import StringType
 
 WINDOW = 3
 BOUND_SHARE, BOUND_CHARS = 0.1, 80
+MARKED = 8
 
 # Fixed values of HTML: elements that end a line, elements without content,
 # elements whose content is not text.
@@ -147,23 +150,26 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     return out
 
 
+def _weights(lines: list[tuple[str, int, bool]]) -> list[int]:
+    if not any(length for _, length, inside in lines if inside):
+        return [length for _, length, _ in lines]
+    return [max(MARKED * length, 1) if inside and text else 0 for text, length, inside in lines]
+
+
 def main_text(html: str | None) -> str:
     lines = lines_of(html or "")
-    inside = [x for x in lines if x[2]]
-    marked = any(length for _, length, _ in inside)
-    if marked:
-        lines = inside
-    lengths = [length for _, length, _ in lines]
-    sums = [sum(lengths[i:i + WINDOW]) for i in range(len(lengths))]
-    if not any(lengths):
+    weights = _weights(lines)
+    if not any(weights):
         return ""
-    bound = 1 if marked else max(1, min(BOUND_CHARS, BOUND_SHARE * max(sums)))
-    before = [sum(lengths[max(0, i - WINDOW + 1):i + 1]) for i in range(len(lengths))]
-    surge = next(i for i, n in enumerate(lengths) if n and sums[i] >= bound)
-    dive = max(i for i, n in enumerate(lengths) if n and before[i] >= bound)
-    if marked:
-        # Links at the edges of a marked article are its own.
-        surge, dive = 0, len(lines) - 1
+    after = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
+    before = [sum(weights[max(0, i - WINDOW + 1):i + 1]) for i in range(len(weights))]
+    bound = max(1, min(BOUND_CHARS, BOUND_SHARE * max(after)))
+    surge = next(i for i, n in enumerate(weights) if n and after[i] >= bound)
+    dive = max(i for i, n in enumerate(weights) if n and before[i] >= bound)
+    while surge and weights[surge - 1]:
+        surge -= 1
+    while dive + 1 < len(weights) and weights[dive + 1]:
+        dive += 1
     return " ".join(text for text, _, _ in lines[surge:dive + 1] if text)
 
 
