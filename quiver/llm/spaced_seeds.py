@@ -8,7 +8,13 @@ other without gaps and compared token by token. A document is contaminated
 by an item if some window of ``window`` tokens (the whole item, if shorter)
 that holds the seed agrees in at least ``similarity`` of its tokens.
 
-Tokens are runs of letters, marks and digits, lower-cased.
+Tokens are runs of letters, marks and digits, lower-cased; of scripts written
+without spaces, single characters with their marks.
+
+The masks of an item depend on its length (see ``MASKS``). At the default
+window and similarity every overlap that the rule accepts holds a seed, down
+to items of a single token; other values have no such guarantee. Masks that
+no item needs are not run over the documents.
 
 The benchmark's seeds are broadcast only while they number at most
 ``max_broadcast``; beyond that, document seeds are first thinned by a bounded
@@ -16,25 +22,39 @@ table of hash slots and then meet the benchmark in a shuffle join. Texts are
 never shuffled: a hit carries only the tokens around its seed.
 
 Defined cases: null and empty texts have no seeds and are clean; benchmark
-items of equal tokens count as one, under their smallest id; items shorter
-than every mask are left out (they are too short to tell a leak from common
-speech); repeated rows are judged alike; an empty documents or benchmark
+items of equal tokens count as one, under their smallest id; items without a
+token are left out; an item of fewer than 5 tokens must occur verbatim, so a
+one-word item is found wherever its word is; repeated rows are judged alike; an empty documents or benchmark
 table gives no hits; of the input's other columns none is read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quiver.llm.common import drop_rows_with, staged, text_key
 
-TOKEN = r"[\p{L}\p{M}\p{N}]+"
-
-# Three masks of weight 6. In a simulation of gap-free overlaps with a sixth
-# of the tokens substituted at random (and 0.8 of them equal), they hit every
-# overlap of 14 tokens and 0.9997 of those of 20.
-MASKS = ("11010111", "100011111", "11101011")
+# Fixed value: blocks of Thai, Lao, Myanmar, Khmer, kana and Han.
+UNSPACED = (
+    r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3040-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF"
+    r"\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}"
+)
+TOKEN = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]+|[{UNSPACED}&&[\p{{L}}\p{{M}}\p{{N}}]]\p{{M}}*"
+
+# Masks by the least number of tokens (of an item, at most of the window) they
+# are for. Enumerated: none of the substitution patterns that leave 0.8 of the
+# tokens equal misses every mask, at any length up to 20.
+MASKS = {
+    1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",),
+    5: ("111", "10011"),
+    8: ("111101", "11000111"),
+    10: ("11101001", "100011011", "1100111"),
+    14: ("101010000011", "101100100001", "111011"),
+}
+LONGEST = max(len(m) for masks in MASKS.values() for m in masks)
 SLOTS = 1 << 21
 
 
@@ -43,35 +63,42 @@ def token_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _mask_hashes(tokens: Column, number: int) -> Column:
-    """Hashes of mask ``number`` at each position where it fits."""
-    mask = MASKS[number]
+def _mask_hashes(tokens: Column, least: int, number: int) -> Column:
+    """Hashes of mask ``number`` of ``MASKS[least]`` at each position where it fits."""
+    mask = MASKS[least][number]
     ones = [i for i, c in enumerate(mask) if c == "1"]
     last = F.size(tokens) - len(mask)
     hashes = F.transform(
         F.sequence(F.lit(0), last),
-        lambda i: F.xxhash64(F.lit(number), *[F.get(tokens, i + k) for k in ones]),
+        lambda i: F.xxhash64(F.lit(least), F.lit(number), *[F.get(tokens, i + k) for k in ones]),
     )
     return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
-def _seeds(df: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` + ``(tokens, hash, pos)``: a row for each mask and position."""
-    n = F.size("tokens")
-    fits = [F.greatest(n - len(m) + 1, F.lit(0)) for m in MASKS]
-    listed = df.withColumn("seeds", F.concat(*[_mask_hashes(F.col("tokens"), i) for i in range(len(MASKS))]))
+def _seeds(df: DataFrame, keep: list[str], used: list[int]) -> DataFrame:
+    """``keep`` + ``(tokens, hash, pos)``: a row for each mask of the lengths
+    ``used`` and position."""
+    masks = [(least, i) for least in used for i in range(len(MASKS[least]))]
+    listed = df.withColumn("seeds", F.concat(*[_mask_hashes(F.col("tokens"), *m) for m in masks]))
     # The outer form, as the inner one makes Spark infer a filter on the array,
     # which computes all hashes a second time.
     rows = listed.select(*keep, "tokens", F.posexplode_outer("seeds").alias("at", "hash")).where("hash IS NOT NULL")
-    first, second = fits[0], fits[0] + fits[1]
-    pos = (
-        F.when(F.col("at") < first, F.col("at"))
-        .when(F.col("at") < second, F.col("at") - first)
-        .otherwise(F.col("at") - second)
-    )
+    n = F.size("tokens")
+    pos, before = F.col("at"), F.lit(0)
+    for least, i in masks[:-1]:
+        before = before + F.greatest(n - len(MASKS[least][i]) + 1, F.lit(0))
+        pos = F.when(F.col("at") >= before, F.col("at") - before).otherwise(pos)
     return rows.select(*keep, "tokens", "hash", pos.alias("pos"))
 
 
+def _least(length: Column) -> Column:
+    """The key of ``MASKS`` for items of ``length`` tokens."""
+    out = F.lit(min(MASKS))
+    for least in sorted(MASKS)[1:]:
+        out = F.when(length >= least, F.lit(least)).otherwise(out)
+    return out
+
+
 def _slot(h: Column) -> Column:
     return F.pmod(h, F.lit(SLOTS)).cast("int")
 
@@ -87,19 +114,24 @@ def leaks(
     """``keys`` + ``(item_id, seeds, doc_start, item_start, matched, compared)``:
     one row per contaminated document and item, with its best window."""
     items = benchmark.select(F.col("item_id"), token_hashes(F.col("text")).alias("tokens")).where(
-        F.size("tokens") >= min(len(m) for m in MASKS)
+        F.size("tokens") > 0
     ).groupBy("tokens").agg(F.min("item_id").alias("item_id"))
-    items = staged(items.select("item_id", "tokens"), "benchmark-items")
+    least = _least(F.least(F.size("tokens"), F.lit(window)))
+    items = staged(items.select("item_id", "tokens", least.alias("least")), "benchmark-items")
+    # At most one row per key of MASKS; an empty benchmark takes any masks.
+    used = sorted(r.least for r in items.select("least").distinct().collect()) or [max(MASKS)]
+    bench = [_seeds(items.where(F.col("least") == k), ["item_id"], [k]) for k in used]
+    items = items.drop("least")
     bench = staged(
-        _seeds(items, ["item_id"]).select("hash", "item_id", F.col("pos").alias("item_pos")), "benchmark-seeds"
+        reduce(DataFrame.unionByName, bench).select("hash", "item_id", F.col("pos").alias("item_pos")), "benchmark-seeds"
     )
     small = bench.count() <= max_broadcast
 
-    seeds = _seeds(docs.select(*keys, token_hashes(F.col("text")).alias("tokens")), keys)
+    seeds = _seeds(docs.select(*keys, token_hashes(F.col("text")).alias("tokens")), keys, used)
     # Tokens around the seed: all that a window of `window` tokens can reach.
     around = F.greatest(F.col("pos") - window, F.lit(0))
     seeds = seeds.select(
-        *keys, "hash", "pos", around.alias("lo"), F.slice("tokens", around + 1, 2 * window + max(map(len, MASKS))).alias("near")
+        *keys, "hash", "pos", around.alias("lo"), F.slice("tokens", around + 1, 2 * window + LONGEST).alias("near")
     )
     if small:
         hits = seeds.join(F.broadcast(bench), "hash").join(F.broadcast(items), "item_id")

@@ -2,9 +2,11 @@
 
 import re
 from html import unescape
+from itertools import combinations
 
 from quiver.llm.common import table
 from quiver.llm.html_blocks import main_text
+from quiver.llm.spaced_seeds import MASKS, leaks
 
 SF = "/root/testdata/sf0.01"
 
@@ -22,3 +24,31 @@ def test_line_blocks_find_the_article_without_its_tags(spark):
     gap = "<aside>" + "<p>x</p>" * 4 + "</aside>"
     far = "<p>0</p>" + gap + "<p>" + "long text " * 30 + "</p><p>end</p>" + gap + "<p>9</p>"
     assert main_text(f"<article>{far}</article><p>{'other ' * 50}</p>") == "long text " * 30 + "end"
+
+
+def test_masks_miss_no_accepted_pattern():
+    for n in range(1, 21):
+        masks = MASKS[max(k for k in MASKS if k <= n)]
+        seeds = [{s + i for i, c in enumerate(m) if c == "1"} for m in masks for s in range(n - len(m) + 1)]
+        allowed = n - -(-8 * n // 10)
+        assert all(any(not seed & set(p) for seed in seeds) for p in combinations(range(n), allowed)), n
+
+
+def test_short_and_unspaced_items_are_found(spark):
+    docs, items, truth = [], [], set()
+    for n in range(1, 21):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        # Each single substitution, and the verbatim copy.
+        for k in range(-1, n):
+            doc = 100 * n + k
+            docs.append((doc, " ".join(["own"] * 3 + [f"s{i}" if i == k else w for i, w in enumerate(words)] + ["text"])))
+            if k < 0 or n - 1 >= 0.8 * n:
+                truth.add((doc, n))
+    items += [(50, "今天天气很好我们去公园散步吧"), (51, "สวัสดีครับ"), (52, "!"), (53, None)]
+    docs += [(9000, "他说今天天气真好我们去公园散步吧。"), (9001, "คำว่าสวัสดีครับนะ"), (9002, "今天下雨")]
+    truth |= {(9000, 50), (9001, 51)}
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in leaks(docs, bench, ["doc_id"]).collect()} == truth
+    assert {(r.doc_id, r.item_id) for r in leaks(docs, bench, ["doc_id"], max_broadcast=10).collect()} == truth
