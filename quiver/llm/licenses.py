@@ -1,10 +1,13 @@
 """Licence scan by canonical digest lookup.
 
-A text is brought to a canonical form - lower case, no copyright lines, one
-spelling of each equivalent word, runs of anything but letters and digits as
-one space - and its SHA-256 is looked up among the digests of known licence
+A text is brought to a canonical form - lower case, no copyright or "all
+rights reserved" lines, no list numbers at line starts, one spelling of each
+equivalent word, runs of anything but letters and digits as one space - and its SHA-256 is looked up among the digests of known licence
 texts. Entire texts are compared: a document matches if it is a licence, not
-if it mentions one. Known texts take the same path, so any text can be added
+if it mentions one or holds one among other text. The known texts are the
+files of ``license_texts`` (named by SPDX id, one full text each) and the
+short ones below, each with its usual titles, with and without its appendix,
+with the usual addresses, and with its lines joined. Known texts take the same path, so any text can be added
 to the list. The list is a table of the caller's; it is broadcast while it
 has at most ``MAX_BROADCAST`` rows and else joined by shuffle.
 
@@ -16,6 +19,9 @@ count once, under their first name; repeated rows are looked up alike; only
 
 from __future__ import annotations
 
+import re
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +32,17 @@ SPELLINGS = {
     "license": "licence", "licenses": "licences", "licensed": "licenced", "licensing": "licencing",
     "sublicense": "sublicence|sub licence|sub license", "organization": "organisation",
     "authorization": "authorisation", "merchantability": "merchantibility", "noninfringement": "non infringement",
-    "percent": "per cent", "copyright holder": "copyright owner", "fulfill": "fulfil", "favor": "favour",
+    "http": "https", "percent": "per cent", "copyright holder": "copyright owner", "fulfill": "fulfil", "favor": "favour",
     "initialize": "initialise", "recognize": "recognise", "whilst": "while", "acknowledgment": "acknowledgement",
 }
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*$"
+# A line of the text proper may begin with "copyright" too, as in "copyright notice",
+# and "(c)" without a year is a list letter.
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b(?!\s+(?:notices?|holders?|owners?|laws?|licen[cs]es?|and|or|in|on|is|to|for|as|"
+    r"claims?|treat(?:y|ies)|protection|permission|restrictions?|disclaimers?|interest|statements?|resulting)\b)[^\n]*"
+    r"|(?:©|\(c\)(?=[^\n]*\d{4}|\s*copyright\b|\s*[\[<{]))[^\n]*|all rights reserved[^\p{L}\p{N}\n]*)$"
+)
+LIST_NUMBER = r"(?m)^[ \t]*\(?(?:\d{1,2}|[a-z])[.)][ \t]+"
 OTHER = r"[^\p{L}\p{N}]+"
 
 # Texts of public licences.
@@ -74,20 +87,14 @@ _BSD_TAIL = (
     "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
     "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
-KNOWN = [
-    ("MIT", "MIT License\n" + _MIT_GRANT),
+SHORT = [
     ("MIT", _MIT_GRANT),
-    ("ISC", "ISC License\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without "
-            "fee is hereby granted, provided that the above copyright notice and this permission notice appear in all "
-            "copies.\n" + _ISC_TAIL),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies.\n" + _ISC_TAIL),
     ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
              "granted.\n" + _ISC_TAIL),
     ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL),
-    ("BSD-2-Clause", "BSD 2-Clause License\n" + _BSD_HEAD + _BSD_TAIL),
     ("BSD-3-Clause", _BSD_HEAD + _BSD_THIRD + _BSD_TAIL),
-    ("BSD-3-Clause", "BSD 3-Clause License\n" + _BSD_HEAD + _BSD_THIRD + _BSD_TAIL),
     ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
              "held liable for any damages arising from the use of this software.\nPermission is granted to anyone to use "
              "this software for any purpose, including commercial applications, and to alter it and redistribute it "
@@ -100,6 +107,47 @@ KNOWN = [
     ("MIT notice", "Released under the MIT License."),
     ("GPL-3.0 notice", "This work is licensed under the GNU General Public License, version 3."),
 ]
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License", "BSD Zero-Clause License (0BSD)", "0BSD"],
+    "BSD-2-Clause": [
+        "BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License",
+        "Simplified BSD License", "The 2-Clause BSD License", "BSD License",
+    ],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License",
+        "New BSD License", "Modified BSD License", "The 3-Clause BSD License", "BSD License",
+    ],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License", "zlib/libpng license"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+# Notices inside the full texts: licence, first and last words.
+_NOTICES = [
+    ("Apache-2.0", r"Licensed under the Apache License, Version 2\.0 \(the.*?limitations under the License\."),
+    ("GPL-2.0", r"This program is free software; you can redistribute.*?02110-1301 USA\."),
+    ("GPL-3.0", r"This program is free software: you can redistribute.*?licenses/>\."),
+    ("LGPL-2.1", r"This library is free software; you can redistribute.*?02110-1301  USA"),
+    ("MPL-2.0", r"This Source Code Form is subject to the terms.*?MPL/2\.0/\."),
+]
+_END = re.compile(r"[ \t]*END OF TERMS AND CONDITIONS[ \t]*\n")
+_ADDRESS = re.compile(r"51 Franklin St(?:reet)?,\s+Fifth\s+Floor,\s+Boston,?\s+MA\s+02110-1301,?\s+USA")
+_ADDRESSES = ["59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "675 Mass Ave, Cambridge, MA 02139, USA"]
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """``(license, text)`` of every known text in its usual forms."""
+    full = {f.name[:-4]: f.read_text("utf-8") for f in files(__package__).joinpath("license_texts").iterdir() if f.name.endswith(".txt")}
+    texts = SHORT + list(full.items())
+    for name, notice in _NOTICES:
+        texts.append((f"{name} notice", re.search(notice, full[name], re.S).group()))
+    for name, text in full.items():
+        if end := _END.search(text):
+            texts += [(name, text[:end.start()]), (name, text[:end.end()])]
+    texts += [(name, f"{title}\n{text}") for name, text in texts for title in TITLES.get(name, ())]
+    texts += [(name, _ADDRESS.sub(a, text)) for name, text in texts if _ADDRESS.search(text) for a in _ADDRESSES]
+    # List numbers and copyright lines are only seen at line starts.
+    return texts + [(name, " ".join(text.split())) for name, text in texts]
 
 
 def canonical(text: Column) -> Column:
@@ -107,6 +155,7 @@ def canonical(text: Column) -> Column:
     # Lines end in \n only, so that "line" means the same everywhere.
     out = F.translate(F.lower(F.coalesce(text, F.lit(""))), "\r", "\n")
     out = F.regexp_replace(out, COPYRIGHT_LINE, " ")
+    out = F.regexp_replace(out, LIST_NUMBER, " ")
     out = F.concat(F.lit(" "), F.regexp_replace(out, OTHER, " "), F.lit(" "))
     # One pass finds the few texts that hold any variant spelling.
     variants = "|".join(SPELLINGS.values())
@@ -121,7 +170,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     the text is none of ``known (license, text)``."""
     spark = docs.sparkSession
     if known is None:
-        known = spark.createDataFrame(KNOWN, "license string, text string")
+        known = spark.createDataFrame(known_texts(), "license string, text string")
     form = canonical(F.col("text"))
     listed = known.select("license", form.alias("form")).where("form <> ''").groupBy(
         F.sha2("form", 256).alias("digest")

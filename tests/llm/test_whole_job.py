@@ -3,9 +3,12 @@
 import re
 from html import unescape
 from itertools import combinations
+from pathlib import Path
+from textwrap import fill
 
 from quiver.llm.common import table
 from quiver.llm.html_blocks import main_text
+from quiver.llm.licenses import _BSD_HEAD, _BSD_TAIL, _BSD_THIRD, _MIT_GRANT, scan
 from quiver.llm.spaced_seeds import MASKS, leaks
 
 SF = "/root/testdata/sf0.01"
@@ -52,3 +55,24 @@ def test_short_and_unspaced_items_are_found(spark):
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     assert {(r.doc_id, r.item_id) for r in leaks(docs, bench, ["doc_id"]).collect()} == truth
     assert {(r.doc_id, r.item_id) for r in leaks(docs, bench, ["doc_id"], max_broadcast=10).collect()} == truth
+
+
+def test_full_licences_and_their_usual_forms_match(spark):
+    texts = {f.stem: f.read_text() for f in (Path(__file__).parents[2] / "quiver/llm/license_texts").glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "Unlicense", "CC0-1.0", "BSL-1.0"} <= set(texts)
+    bsd = _BSD_HEAD + _BSD_THIRD + _BSD_TAIL
+    cases = [(name, text) for name, text in texts.items()]
+    cases += [
+        ("Apache-2.0", texts["Apache-2.0"].split("   APPENDIX")[0]), ("GPL-3.0", texts["GPL-3.0"].replace("https:", "http:")),
+        ("GPL-2.0", texts["GPL-2.0"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301", "59 Temple Place, Suite 330, Boston, MA  02111-1307")),
+        ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2015 Some One\nAll rights reserved.\n\n" + fill(_MIT_GRANT, 70)),
+        ("BSD-3-Clause", "Copyright 2015, X\nAll rights reserved.\n\n" + bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")),
+        ("BSD-3-Clause", bsd.replace("1. ", " (a) ").replace("2. ", " (b) ").replace("3. ", " (c) ")),
+        ("BSD-2-Clause", " ".join((_BSD_HEAD + _BSD_TAIL).split())),
+        # A wrapped line that begins with "copyright" belongs to the text.
+        ("BSD-3-Clause", bsd.replace("retain the above copyright", "retain the above\n   copyright")),
+        (None, "My program.\n" + texts["Unlicense"]), (None, "All rights reserved."),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id bigint, text string")
+    found = {r.doc_id: r.license for r in scan(docs).collect()}
+    assert [found[i] for i in range(len(cases))] == [name for name, _ in cases]
