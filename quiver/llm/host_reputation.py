@@ -9,6 +9,9 @@ parents', and kept within ``STRENGTH``. A host is blocked if even the upper
 bound of its posterior (normal, ``Z`` standard deviations) stays under
 ``LEAST``; hosts without labels stand on their domain's or suffix's share.
 
+A label belongs to the pages whose key (``page_id``, or the caller's column)
+equals its ``doc_id``; a page with a null key has no label.
+
 Rules ``host/path`` come first: a rule fits its host and all subdomains if
 the url's path starts with the rule's path; the longest rule wins.
 
@@ -93,14 +96,21 @@ def _shrunk(groups: DataFrame) -> DataFrame:
     })
 
 
-def reputations(pages: DataFrame, labels: DataFrame) -> DataFrame:
+def document_in_url(url: Column) -> Column:
+    """The number in the last part of a url's path, or null."""
+    number = F.regexp_extract(F.coalesce(url_path(url), F.lit("")), r"^[^?#]*/[^/0-9?#]*([0-9]{1,18})[^/0-9?#]*/?(?:[?#]|$)", 1)
+    return F.nullif(number, F.lit("")).cast("bigint")
+
+
+def reputations(pages: DataFrame, labels: DataFrame, labelled_by: Column | None = None) -> DataFrame:
     """``(host, labelled, good, posterior_mean, upper, blocked)`` per host."""
     known = labels.where("quality IS NOT NULL OR toxic IS NOT NULL").select(
-        F.col("doc_id").alias("page_id"),
+        F.col("doc_id").alias("label_id"),
         ((F.coalesce("quality", F.lit(1)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int").alias("ok"),
     )
-    seen = pages.select("page_id", url_host(F.col("url")).alias("host"))
-    counted = seen.join(known, "page_id", "left").groupBy("host").agg(
+    key = F.col("page_id") if labelled_by is None else labelled_by
+    seen = pages.select(key.alias("label_id"), url_host(F.col("url")).alias("host"))
+    counted = seen.join(known, "label_id", "left").groupBy("host").agg(
         F.count("ok").cast("double").alias("n"), F.coalesce(F.sum("ok"), F.lit(0)).cast("double").alias("good")
     )
     hosts = staged(host_levels(counted), "hosts")
@@ -124,9 +134,10 @@ def reputations(pages: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]], labelled_by: Column | None = None) -> DataFrame:
     """``(page_id, host, path, rule, verdict, posterior_mean, upper)``;
-    ``rules``: ``(verdict, "host/path")``."""
+    ``rules``: ``(verdict, "host/path")``; ``labelled_by``: the label's
+    ``doc_id`` of a page, its ``page_id`` by default."""
     if len(rules) > MAX_RULES:
         raise ValueError(f"at most {MAX_RULES} rules are supported")
     spark = pages.sparkSession
@@ -134,7 +145,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]) ->
         [(v, r, r.split("/", 1)[0], "/" + r.split("/", 1)[1]) for v, r in rules],
         "rule_verdict string, rule string, rule_host string, rule_path string",
     ))
-    hosts = reputations(pages, labels)
+    hosts = reputations(pages, labels, labelled_by)
     parts = F.split("host", r"\.")
     ends = hosts.select("host", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(parts)), lambda k: _last_labels(F.col("host"), k)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quiver.llm import langid, toxicity
 from quiver.llm.common import table
 from quiver.llm.exact_stream import stream_dedup
-from quiver.llm.host_reputation import judge
+from quiver.llm.host_reputation import document_in_url, judge
 from quiver.llm.html_blocks import extract_main_text
 from quiver.llm.kd_shards import kd_shards
 from quiver.llm.licenses import scan
@@ -38,7 +38,8 @@ RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 
 def op3_host_reputation(spark, sf_dir):
     """Verdict on the url of every row of ``pages``."""
-    return judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), RULES)
+    # Labels are of documents; a page's url holds the number of its document.
+    return judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), RULES, document_in_url(F.col("url")))
 
 
 def op2_hypergeometric_mix(spark, sf_dir):

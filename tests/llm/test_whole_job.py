@@ -6,7 +6,10 @@ from itertools import combinations
 from pathlib import Path
 from textwrap import fill
 
+from pyspark.sql import functions as F
+
 from quiver.llm.common import table
+from quiver.llm.host_reputation import document_in_url, reputations
 from quiver.llm.html_blocks import main_text
 from quiver.llm.licenses import _BSD_HEAD, _BSD_TAIL, _BSD_THIRD, _MIT_GRANT, scan
 from quiver.llm.spaced_seeds import MASKS, leaks
@@ -76,3 +79,12 @@ def test_full_licences_and_their_usual_forms_match(spark):
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id bigint, text string")
     found = {r.doc_id: r.license for r in scan(docs).collect()}
     assert [found[i] for i in range(len(cases))] == [name for name, _ in cases]
+
+
+def test_labels_reach_pages_by_the_number_in_the_url(spark):
+    rows = [(1, "http://a.com/en/7?x=9"), (7, "http://b.com/x"), (2, "http://c.com/p-8.html/"), (3, None), (4, "http://d.com/")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    labels = spark.createDataFrame([(7, 1, 0), (8, 0, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
+    found = {r.host: r.labelled for r in reputations(pages, labels, document_in_url(F.col("url"))).collect()}
+    assert found["a.com"] == found["c.com"] == 1 and found["b.com"] == found["d.com"] == 0
+    assert {r.host: r.labelled for r in reputations(pages, labels).collect()}["b.com"] == 1
