@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quiver.llm import langid, toxicity
+from quiver.llm import bpe, langid, merkle, toxicity
 from quiver.llm.common import table
 from quiver.llm.exact_stream import stream_dedup
 from quiver.llm.host_reputation import document_in_url, judge
@@ -17,6 +17,7 @@ from quiver.llm.kd_shards import kd_shards
 from quiver.llm.licenses import scan
 from quiver.llm.mixing import plan_mix
 from quiver.llm.near_dup import near_duplicates
+from quiver.llm.reversed_search import search
 from quiver.llm.spaced_seeds import leaks
 
 
@@ -112,6 +113,31 @@ def op7_exact_stream(spark, sf_dir):
     )
 
 
+def op11_path_copying(spark, sf_dir):
+    """Proof of every row of ``documents`` in the tree over all sources, and
+    the root that it folds to once line ends are taken out of every other text."""
+    forged = F.when(_remainder(2) == 0, F.translate("text", "\n", ""))
+    return merkle.manifest(table(spark, sf_dir, "documents"), forged)
+
+
+def vocabulary_path():
+    """The public vocabulary that op12 encodes with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op12_forced_boundaries(spark, sf_dir):
+    """Digests of the ids of every text of ``documents``, and of what they decode to."""
+    found = bpe.digester(spark, vocabulary_path())(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", found.alias("found")).select("doc_id", "found.*")
+
+
+def op13_reversed_search(spark, sf_dir):
+    """The ten best ``documents`` of every item of ``benchmark``."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLE_SQL = {
     "op7_exact_stream": """
         SELECT doc_id,
@@ -122,6 +148,97 @@ ORACLE_SQL = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    # Levels below 99 are of a source's tree, those from 100 of the tree over the sources.
+    "op11_path_copying": """
+        WITH RECURSIVE rows AS (
+            SELECT *, coalesce('=' || source, '') AS g,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                   list_reduce(list_prepend(4294967295::BIGINT, flatten([
+                       [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')])),
+                       lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END
+                   ) % 2 AS odd_crc
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, g, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY g) AS n,
+                   sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN odd_crc = 1 AND text IS NOT NULL
+                        THEN sha256(head || strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''))
+                   END AS forged
+            FROM rows
+        ), tree AS (
+            SELECT g, 0 AS l, i, n, leaf AS h FROM leaves
+            UNION ALL
+            SELECT g, l + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM tree WHERE n > 1
+            GROUP BY g, l, i // 3, n
+        ), subroots AS (
+            SELECT g, h, row_number() OVER (ORDER BY encode(g)) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1
+        ), crown AS (
+            SELECT 100 AS l, i, n, h FROM subroots
+            UNION ALL
+            SELECT l + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM crown WHERE n > 1
+            GROUP BY l, i // 3, n
+        ), nodes AS (
+            SELECT g, l, i, n, h FROM tree WHERE n > 1
+            UNION ALL
+            SELECT g.g, c.l, c.i, c.n, c.h FROM crown c CROSS JOIN (SELECT DISTINCT g FROM leaves) g WHERE c.n > 1
+        ), steps AS (
+            SELECT g, l, i // 3 AS run, i AS own, k.h AS h,
+                   coalesce((SELECT string_agg(s.h, '' ORDER BY s.i) FROM nodes s
+                             WHERE s.g = k.g AND s.l = k.l AND s.i // 3 = k.i // 3 AND s.i < k.i), '') AS before,
+                   coalesce((SELECT string_agg(s.h, '' ORDER BY s.i) FROM nodes s
+                             WHERE s.g = k.g AND s.l = k.l AND s.i // 3 = k.i // 3 AND s.i > k.i), '') AS behind
+            FROM nodes k
+        ), climb AS (
+            SELECT v.doc_id, v.leaf, v.g, 0 AS l, v.i, coalesce(v.forged, v.leaf) AS h, '' AS proof, false AS done
+            FROM leaves v
+            UNION ALL
+            SELECT c.doc_id, c.leaf, c.g,
+                   CASE WHEN s.g IS NOT NULL THEN c.l + 1 ELSE 100 END,
+                   CASE WHEN s.g IS NOT NULL THEN c.i // 3 ELSE r.i END,
+                   CASE WHEN s.g IS NOT NULL THEN sha256(s.before || c.h || s.behind) ELSE c.h END,
+                   c.proof || coalesce(s.before || s.behind, ''),
+                   s.g IS NULL AND c.l >= 100
+            FROM climb c JOIN subroots r ON r.g = c.g
+            LEFT JOIN steps s ON s.g = c.g AND s.l = c.l AND s.own = c.i
+            WHERE NOT c.done
+        )
+        SELECT c.doc_id, c.leaf, s.h AS subroot, t.h AS root, sha256(c.proof) AS proof_sha256, c.h AS folded_root,
+               c.h = t.h AS verified
+        FROM climb c JOIN subroots s ON s.g = c.g CROSS JOIN (SELECT h FROM crown WHERE n = 1) t
+        WHERE c.done
+    """,
+    "op13_reversed_search": """
+        WITH docs AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL
+        ), sizes AS (
+            SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs WHERE len(terms) > 0
+        ), counts AS (
+            SELECT doc_id, n, term, count(*)::BIGINT AS tf
+            FROM (SELECT doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM docs) GROUP BY ALL
+        ), items AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM benchmark
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM counts, sizes GROUP BY term, n_docs
+        ), scores AS (
+            SELECT item_id, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM items JOIN weights USING (term) JOIN counts USING (term), sizes GROUP BY item_id, doc_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
 }
 
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)}
