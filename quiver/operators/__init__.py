@@ -1,5 +1,7 @@
 """Graph operators over ``(follower, followee)`` edge DataFrames."""
 
+from quiver.operators.adjacency import adjacency_blocks
+from quiver.operators.closures import edge_closures
 from quiver.operators.degrees import (
     follower_count,
     follower_count_grouped,
@@ -15,23 +17,32 @@ from quiver.operators.edges import (
     line_multiplicity,
     weighted_edges,
 )
+from quiver.operators.ids import decode_ids, encode_edges, id_dictionary
 from quiver.operators.joins import STRATEGIES, resolve_strategy
 from quiver.operators.ranking import PageRankResult, pagerank, ranks_by_id, top_k
-from quiver.operators.paths import two_paths, two_paths_nested
+from quiver.operators.paths import closed_paths, two_paths, two_paths_nested
+from quiver.operators.rounds import pagerank_rounds
 from quiver.operators.triangles import triangle_count
 
 __all__ = [
     "STRATEGIES",
     "PageRankResult",
+    "adjacency_blocks",
     "cap_edges",
+    "closed_paths",
+    "decode_ids",
     "distinct_edges",
     "drop_loops",
+    "edge_closures",
     "edge_multiplicity",
+    "encode_edges",
     "follower_count",
     "follower_count_grouped",
+    "id_dictionary",
     "in_neighbours",
     "line_multiplicity",
     "pagerank",
+    "pagerank_rounds",
     "ranks_by_id",
     "resolve_strategy",
     "top_k",

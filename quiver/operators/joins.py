@@ -128,7 +128,8 @@ def hot_products(per_key: DataFrame, key: str, target: int, max_keys: int) -> Da
 
 
 def grid_join(
-    left: DataFrame, right: DataFrame, key: str, left_spread: str, right_spread: str, hot: DataFrame, plan: JoinPlan
+    left: DataFrame, right: DataFrame, key: str, left_spread: str | tuple[str, ...], right_spread: str | tuple[str, ...],
+    hot: DataFrame, plan: JoinPlan,
 ) -> DataFrame:
     """``left JOIN right USING (key)`` with the keys of ``hot`` (see
     :func:`hot_products`) cut into a grid of cells.
@@ -137,7 +138,7 @@ def grid_join(
     ``left_spread`` and are copied to every right part, and the other way
     round, so each pair of rows meets in one cell. With sides of
     ``sqrt(target)`` rows the copies stay few next to the join's output,
-    whichever side is the larger one. Rows equal in key and spread column
+    whichever side is the larger one. Rows equal in key and spread column(s)
     share a part.
     """
     marks = F.broadcast(hot)
@@ -146,11 +147,11 @@ def grid_join(
     # the shuffle's partitions again.
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def cells(rows: DataFrame, spread: str, own: str, other: str) -> DataFrame:
-        one = F.lit(1)
+    def cells(rows: DataFrame, spread: str | tuple[str, ...], own: str, other: str) -> DataFrame:
+        one, spread = F.lit(1), (spread,) if isinstance(spread, str) else spread
         return rows.join(marks, key, "left").select(
             *rows.columns,
-            F.pmod(F.xxhash64(spread), F.coalesce(own, one)).cast("int").alias(f"_{own}"),
+            F.pmod(F.xxhash64(*spread), F.coalesce(own, one)).cast("int").alias(f"_{own}"),
             F.explode(F.sequence(F.lit(0), F.coalesce(other, one) - 1)).alias(f"_{other}"),
         ).repartition(partitions, *grid)
 

@@ -1,37 +1,67 @@
-"""Materialised two-paths ``a -> b -> c`` (the edge self-join)."""
+"""Materialised two-paths ``a -> b -> c`` (the edge self-join).
+
+Repeated edges are counted first, so the join sees each distinct edge once
+and its copies are made afterwards. An edge of very many copies is cut into
+chunks, which the grid of a hub spreads like different edges.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quiver.operators.edges import cap_edges
-from quiver.operators.degrees import two_path_per_user
+from quiver.operators.edges import weighted_edges
 from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, grid_join, hot_products, resolve_strategy
-
+from quiver.operators.numbering import written
 
 # Paths through one user that a task makes before that user is split.
 TARGET_PATHS = 4_000_000
 
+# Bits of the prefilter of closed paths: 64 in a word, at most so many words
+# are broadcast.
+FILTER_WORDS = 1 << 21
 
-def _path_join(edges: DataFrame, max_id: int | None, strategy: str, target_paths: int) -> DataFrame:
-    """``(src, mid, dst)``: the edge self-join on the middle user."""
-    capped = cap_edges(edges, max_id)
-    first = capped.select(F.col("follower").alias("src"), F.col("followee").alias("mid"))
-    second = capped.select(F.col("follower").alias("mid"), F.col("followee").alias("dst"))
+
+def _path_join(weighted: DataFrame, strategy: str, target_paths: int) -> DataFrame:
+    """``(src, mid, dst, copies)``: the join of the distinct edges ``(src,
+    dst, w)`` on the middle user; ``copies`` of each path in the bag."""
     # A bag of edges has no static size bound, so a broadcast is checked by count.
-    plan = resolve_strategy(strategy, capped)
-    # A join key's output is in x out rows, which AQE does not see from its
-    # input. A broadcast join has no key to split: its tasks follow the scan.
+    plan = resolve_strategy(strategy, weighted)
     hot = None
     if plan.strategy != "broadcast":
-        per_mid = two_path_per_user(capped).select(
-            F.col("user").alias("mid"), F.col("n_in").alias("n_left"), F.col("n_out").alias("n_right")
-        )
+        # A join key's output is in x out rows, which AQE does not see from its
+        # input. A broadcast join has no key to split: its tasks follow the scan.
+        ends = weighted.select(F.explode(F.array(
+            F.struct(F.col("src").alias("mid"), F.lit(0).cast("bigint").alias("i"), F.col("w").alias("o")),
+            F.struct(F.col("dst").alias("mid"), F.col("w").alias("i"), F.lit(0).cast("bigint").alias("o")),
+        )).alias("e")).select("e.*")
+        per_mid = ends.groupBy("mid").agg(F.sum("i").alias("n_left"), F.sum("o").alias("n_right"))
         hot = hot_products(per_mid, "mid", target_paths, DEFAULT_BROADCAST_MAX_ROWS)
+    edges = weighted.withColumn("chunk", F.lit(0))
+    if hot is not None:
+        size = max(1, math.isqrt(target_paths))
+        chunks = F.explode(F.sequence(F.lit(0), F.expr(f"(w - 1) div {size}").cast("int"))).alias("chunk")
+        edges = weighted.select("src", "dst", "w", chunks).withColumn("w", F.least(F.lit(size), F.col("w") - F.col("chunk") * size))
+    first = edges.select("src", F.col("dst").alias("mid"), F.col("w").alias("w1"), F.col("chunk").alias("chunk1"))
+    second = edges.select(F.col("src").alias("mid"), "dst", F.col("w").alias("w2"), F.col("chunk").alias("chunk2"))
     if hot is None:
-        return first.join(plan.side(second), "mid")
-    return grid_join(first, second, "mid", "src", "dst", hot, plan)
+        met = first.join(plan.side(second), "mid")
+    else:
+        met = grid_join(first, second, "mid", ("src", "chunk1"), ("dst", "chunk2"), hot, plan)
+    return met.select("src", "mid", "dst", (F.col("w1") * F.col("w2")).alias("copies"))
+
+
+def _copied(paths: DataFrame, *columns: Column) -> DataFrame:
+    """One row per copy of each path."""
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return paths.select(*columns, copies.alias("_copy")).drop("_copy")
+
+
+def _weighted(edges: DataFrame, max_id: int | None) -> DataFrame:
+    """The distinct edges with their multiplicities, written once."""
+    return written(weighted_edges(edges, max_id), "path-edges")
 
 
 def two_paths(edges: DataFrame, max_id: int | None = None, strategy: str = "auto", target_paths: int = TARGET_PATHS) -> DataFrame:
@@ -42,7 +72,8 @@ def two_paths(edges: DataFrame, max_id: int | None = None, strategy: str = "auto
     A hub ``mid`` makes in-degree x out-degree rows: beyond ``target_paths``
     its in-edges and out-edges are cut into a grid of sub-keys.
     """
-    return _path_join(edges, max_id, strategy, target_paths).select("src", "mid", "dst")
+    paths = _path_join(_weighted(edges, max_id), strategy, target_paths)
+    return _copied(paths, F.col("src"), F.col("mid"), F.col("dst"))
 
 
 def two_paths_nested(
@@ -50,7 +81,47 @@ def two_paths_nested(
 ) -> DataFrame:
     """The same join keeping both matched edges whole, as two struct columns
     ``first`` and ``second`` of ``(follower, followee)``."""
-    return _path_join(edges, max_id, strategy, target_paths).select(
+    return _copied(
+        _path_join(_weighted(edges, max_id), strategy, target_paths),
         F.struct(F.col("src").alias("follower"), F.col("mid").alias("followee")).alias("first"),
         F.struct(F.col("mid").alias("follower"), F.col("dst").alias("followee")).alias("second"),
     )
+
+
+def _may_close(paths: DataFrame, weighted: DataFrame, rows: int, words: int) -> DataFrame:
+    """Paths whose closing edge passes a one-hash Bloom filter: a bit per
+    slot of the pair ``(dst, src)``, 64 in a word. At most ``words`` words are
+    broadcast, so they are few whatever the graph; with about eight bits an
+    edge one path in eight passes by chance, with fewer bits more pass."""
+    words = min(words, max(1, -(-rows // 8)))
+    slots = F.lit(64 * words)
+
+    def slot(start: str, end: str) -> Column:
+        return F.pmod(F.xxhash64(start, end), slots)
+
+    bits = weighted.select(slot("src", "dst").alias("slot")).select(
+        F.expr("slot div 64").alias("word"), F.expr("shiftleft(1L, cast(slot % 64 AS int))").alias("bit")
+    ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    marked = paths.withColumn("slot", slot("dst", "src")).withColumn("word", F.expr("slot div 64"))
+    passed = marked.join(F.broadcast(bits), "word").where(F.expr("shiftright(bits, cast(slot % 64 AS int)) & 1L = 1"))
+    return passed.select(*paths.columns)
+
+
+def closed_paths(
+    edges: DataFrame, max_id: int | None = None, strategy: str = "auto", target_paths: int = TARGET_PATHS,
+    filter_words: int = FILTER_WORDS,
+) -> DataFrame:
+    """``(src, mid, dst)`` of the two-paths that an edge ``dst -> src``
+    closes: the paths are a bag, the closing edges a set (a left semi join).
+
+    Paths that cannot close are dropped by a broadcast bit filter in the
+    stage that makes them, so only likely ones are shuffled to the semi join.
+    ``filter_words=0`` shuffles all of them.
+    """
+    weighted = _weighted(edges, max_id)
+    paths = _path_join(weighted, strategy, target_paths)
+    if filter_words:
+        paths = _may_close(paths, weighted, weighted.count(), filter_words)
+    closing = weighted.select(F.col("src").alias("dst"), F.col("dst").alias("src"))
+    closed = paths.join(closing, ["src", "dst"], "left_semi")
+    return _copied(closed, F.col("src"), F.col("mid"), F.col("dst"))

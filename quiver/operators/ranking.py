@@ -72,6 +72,7 @@ class _Layout:
     parts: DataFrame  # (id, part): one row per node part, partitioned by id
     n: int
     part_rows: int
+    fingerprint: str  # of the weighted edges
 
 
 def layout_partitions(spark, rows: int, rows_per_partition: int) -> int:
@@ -98,7 +99,8 @@ def _layout(
     weighted = g.where(F.col("src").isNotNull()).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")).persist(
         StorageLevel.MEMORY_AND_DISK
     )
-    rows = weighted.agg(F.sum("w").alias("rows")).first()["rows"] or 0
+    read = weighted.agg(F.sum("w").alias("rows"), F.bit_xor(F.xxhash64("src", "dst", "w")).alias("mark")).first()
+    rows = read["rows"] or 0
     partitions = layout_partitions(spark, int(rows), rows_per_partition)
     # The list of split sources (at most rows / split_rows) always fits the
     # broadcast bound: the threshold rises with the graph.
@@ -155,7 +157,7 @@ def _layout(
     ).first()
     routed.count()  # build the graph layout now, so the weighted edges can go
     weighted.unpersist()
-    return _Layout(routed, parts, int(counts["nodes"] or 0), int(counts["rows"]))
+    return _Layout(routed, parts, int(counts["nodes"] or 0), int(counts["rows"]), f"{rows}/{read['mark'] or 0}")
 
 
 def pagerank(
@@ -180,80 +182,93 @@ def pagerank(
     128 MB of graph rows per partition).
     The returned ranks are checkpointed and every cache is released.
     """
-    if dangling not in DANGLING:
-        raise ValueError(f"dangling must be one of {DANGLING}, got {dangling!r}")
-    if absent not in ABSENT:
-        raise ValueError(f"absent must be one of {ABSENT}, got {absent!r}")
-    if split_rows < 1 or rows_per_partition < 1:
-        raise ValueError("split_rows and rows_per_partition must be >= 1")
+    _check(dangling, absent, split_rows, rows_per_partition)
     spark = graph.sparkSession
     checkpoint_dir(spark)
     layout = _layout(graph, initial, split_rows, rows_per_partition, broadcast_max_rows, absent)
-    n = layout.n
-    parts = layout.parts
-    own = parts.where(F.col("part") == 0).select(F.col("id").alias("node"))
-    # Rank of every node part; part 0 is the node's own row.
-    if initial is None:
-        fanned = parts.select("id", "part", F.lit(1.0 / max(1, n)).alias("rank"))
-    else:
-        fanned = parts.join(initial.select("id", "rank"), "id", "left").select(
-            "id", "part", F.coalesce(F.col("rank").cast("double"), F.lit(0.0)).alias("rank")
-        )
-    if dangling_scale is None:
-        d_col = F.col("m")
-    else:
-        d_col = F.col("units") / F.lit(float(dangling_scale))
-
-    replicate_ranks = layout.part_rows <= broadcast_max_rows
+    fanned = _start(layout, initial)
     carried = 0.0
     stats: list[tuple[int, float, float]] = []
     for it in range(1, iterations + 1):
-        # The rank side is small (one row per node part): build the hash
-        # table on it and stream the graph, which is never sorted or moved.
-        messages = layout.graph.join(
-            F.broadcast(fanned) if replicate_ranks else fanned.hint("shuffle_hash"),
-            (layout.graph.src == fanned.id) & (layout.graph.part == fanned.part),
-        ).select("dst", (F.col("share") * F.col("rank")).alias("m"))
-        if dangling_scale is None:
-            sink_units = F.lit(None).cast("bigint")
-        else:
-            sink_units = F.when(F.col("dst").isNull(), truncate_units(F.col("m"), dangling_scale))
-        received = messages.groupBy("dst").agg(
-            F.sum("m").alias("m"), F.sum(sink_units).alias("units")
-        )
-        if absent == "drop":
-            # One row per target by now, so no target is hot in this join.
-            received = received.join(own, F.col("dst") == F.col("node"), "left").where(
-                F.col("dst").isNull() | F.col("node").isNotNull()
-            ).drop("node")
-        # One job per round: the checkpoint cuts the lineage (a lost executor
-        # recomputes one round; the plan does not grow), and the dangling
-        # mass and the mass that reached real nodes are observed while it is
-        # written, with no second pass.
-        observation = Observation(f"pagerank-round-{it}")
-        received = received.observe(
-            observation,
-            F.coalesce(F.sum(F.when(F.col("dst").isNull(), d_col)), F.lit(0.0)).alias("dangling"),
-            F.coalesce(F.sum(F.when(F.col("dst").isNotNull(), F.col("m"))), F.lit(0.0)).alias("reached"),
-        ).checkpoint()
-        row = observation.get
-        d_now = float(row["dangling"])
+        received, d_now, reached = _round(layout, fanned, it, dangling_scale, broadcast_max_rows, absent)
         spread = d_now if dangling == "same" else carried
         carried = d_now
         # Every node gets spread / n, so the total is reached + spread.
-        stats.append((it, d_now, float(row["reached"]) + spread))
-
-        to_nodes = received.where(F.col("dst").isNotNull())
-        fanned = parts.join(to_nodes, parts.id == to_nodes.dst, "left").select(
-            "id", "part", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / max(1, n))).alias("rank")
-        )
+        stats.append((it, d_now, reached + spread))
+        fanned = _delivered(layout, received, spread)
 
     ranks = fanned.where(F.col("part") == 0).select("id", "rank").checkpoint()
     for frame in (layout.graph, layout.parts):
         frame.unpersist()
     per_round = spark.createDataFrame(stats, "iteration int, dangling double, mass double")
     return PageRankResult(
-        ranks, per_round.select("iteration", "dangling"), per_round.select("iteration", "mass"), n
+        ranks, per_round.select("iteration", "dangling"), per_round.select("iteration", "mass"), layout.n
+    )
+
+
+def _check(dangling: str, absent: str, split_rows: int, rows_per_partition: int) -> None:
+    if dangling not in DANGLING:
+        raise ValueError(f"dangling must be one of {DANGLING}, got {dangling!r}")
+    if absent not in ABSENT:
+        raise ValueError(f"absent must be one of {ABSENT}, got {absent!r}")
+    if split_rows < 1 or rows_per_partition < 1:
+        raise ValueError("split_rows and rows_per_partition must be >= 1")
+
+
+def _start(layout: _Layout, initial: DataFrame | None) -> DataFrame:
+    """Start rank of every node part; part 0 is the node's own row."""
+    if initial is None:
+        return layout.parts.select("id", "part", F.lit(1.0 / max(1, layout.n)).alias("rank"))
+    return layout.parts.join(initial.select("id", "rank"), "id", "left").select(
+        "id", "part", F.coalesce(F.col("rank").cast("double"), F.lit(0.0)).alias("rank")
+    )
+
+
+def _round(
+    layout: _Layout, fanned: DataFrame, it: int, dangling_scale: int | None, broadcast_max_rows: int, absent: str
+) -> tuple[DataFrame, float, float]:
+    """Send one round of messages: ``(dst, m)`` checkpointed, the dangling
+    mass and the mass that reached real nodes."""
+    # The rank side is small (one row per node part): build the hash
+    # table on it and stream the graph, which is never sorted or moved.
+    messages = layout.graph.join(
+        F.broadcast(fanned) if layout.part_rows <= broadcast_max_rows else fanned.hint("shuffle_hash"),
+        (layout.graph.src == fanned.id) & (layout.graph.part == fanned.part),
+    ).select("dst", (F.col("share") * F.col("rank")).alias("m"))
+    if dangling_scale is None:
+        d_col, sink_units = F.col("m"), F.lit(None).cast("bigint")
+    else:
+        d_col = F.col("units") / F.lit(float(dangling_scale))
+        sink_units = F.when(F.col("dst").isNull(), truncate_units(F.col("m"), dangling_scale))
+    received = messages.groupBy("dst").agg(
+        F.sum("m").alias("m"), F.sum(sink_units).alias("units")
+    )
+    if absent == "drop":
+        # One row per target by now, so no target is hot in this join.
+        own = layout.parts.where(F.col("part") == 0).select(F.col("id").alias("node"))
+        received = received.join(own, F.col("dst") == F.col("node"), "left").where(
+            F.col("dst").isNull() | F.col("node").isNotNull()
+        ).drop("node")
+    # One job per round: the checkpoint cuts the lineage (a lost executor
+    # recomputes one round; the plan does not grow), and the dangling
+    # mass and the mass that reached real nodes are observed while it is
+    # written, with no second pass.
+    observation = Observation(f"pagerank-round-{it}")
+    received = received.observe(
+        observation,
+        F.coalesce(F.sum(F.when(F.col("dst").isNull(), d_col)), F.lit(0.0)).alias("dangling"),
+        F.coalesce(F.sum(F.when(F.col("dst").isNotNull(), F.col("m"))), F.lit(0.0)).alias("reached"),
+    ).checkpoint()
+    row = observation.get
+    return received, float(row["dangling"]), float(row["reached"])
+
+
+def _delivered(layout: _Layout, received: DataFrame, spread: float) -> DataFrame:
+    """Rank of every node part after a round."""
+    parts = layout.parts
+    to_nodes = received.where(F.col("dst").isNotNull())
+    return parts.join(to_nodes, parts.id == to_nodes.dst, "left").select(
+        "id", "part", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / max(1, layout.n))).alias("rank")
     )
 
 

@@ -8,6 +8,7 @@ unrolled CTE per round, two-path totals by the join itself.
 from __future__ import annotations
 
 from quiver.plans.registry import (
+    ADJACENCY_LENGTH,
     EXAMPLE_CAP,
     LAGGED_DANGLING_SCALE,
     PAGERANK_ITERATIONS,
@@ -192,6 +193,15 @@ def _multiplicity_sql() -> str:
     return f"SELECT follower, followee, count(*) AS n FROM ({EDGES}) GROUP BY follower, followee"
 
 
+# Edges with text ids (see quiver.plans.staging) and their dictionary.
+_TEXT_EDGES = (
+    "WITH t AS (SELECT follower::VARCHAR AS follower, CASE WHEN followee % 3 = 0 THEN concat('p', followee) "
+    "WHEN followee % 2 = 1 THEN lpad(followee::VARCHAR, 10, '0') ELSE followee::VARCHAR END AS followee "
+    f"FROM ({EDGES})), d AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS id FROM "
+    "(SELECT follower AS token FROM t UNION SELECT followee FROM t))"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     def two_paths_join(cap: int | None) -> str:
         return (
@@ -234,11 +244,32 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT followee AS user, count(*) AS n_in, count(DISTINCT follower) AS n_in_distinct "
             f"FROM ({EDGES}) GROUP BY followee"
         ),
+        "adjacency_blocks": (
+            f"WITH p AS (SELECT DISTINCT followee AS user, follower AS c FROM ({EDGES})), "
+            "n AS (SELECT *, row_number() OVER (PARTITION BY user ORDER BY c) - 1 AS i FROM p) "
+            f"SELECT user, i // {ADJACENCY_LENGTH} AS block, min(c) AS \"first\", max(c) AS \"last\", count(*) AS n, "
+            f"string_agg(c::VARCHAR, ',' ORDER BY c) AS neighbours FROM n GROUP BY user, i // {ADJACENCY_LENGTH}"
+        ),
+        "id_dictionary": f"{_TEXT_EDGES} SELECT token, id FROM d",
+        "edges_encoded": (
+            f"{_TEXT_EDGES} SELECT a.id AS follower, b.id AS followee FROM t "
+            "JOIN d a ON a.token = t.follower JOIN d b ON b.token = t.followee"
+        ),
         "two_path_per_user": _two_path_per_user_sql(),
         "two_path_total": f"SELECT coalesce(sum(paths), 0)::BIGINT AS paths FROM ({_two_path_per_user_sql()})",
         "two_path_total_capped": f"SELECT count(*)::BIGINT AS paths FROM ({two_paths_join(EXAMPLE_CAP)})",
         "two_paths": two_paths_join(None),
         "two_paths_nested": nested,
+        "closed_paths": (
+            two_paths_join(None) + " WHERE EXISTS (SELECT 1 FROM e e3 "
+            "WHERE e3.follower = e2.followee AND e3.followee = e1.follower)"
+        ),
+        "edge_closures": (
+            f"WITH e AS (SELECT DISTINCT follower, followee FROM ({EDGES})) "
+            "SELECT e.follower, e.followee, count(b.follower) AS closures FROM e "
+            "LEFT JOIN (e a JOIN e b ON b.followee = a.follower) ON a.followee = e.follower AND b.follower = e.followee "
+            "GROUP BY e.follower, e.followee"
+        ),
         "triangle_bag": _triangle_sql("bag"),
         "triangle_bag_broadcast": _triangle_sql("bag"),
         "triangle_path_bag": _triangle_sql("path_bag"),
@@ -251,6 +282,10 @@ def oracle_sql() -> dict[str, str]:
         "pagerank_lagged": _rank_sql(True, lagged_scale),
         "pagerank_lagged_exact": _rank_sql(True, None),
         "pagerank_lagged_mass": _mass_sql(True, lagged_scale),
+        "pagerank_rounds": _pagerank_ctes(True, lagged_scale) + " UNION ALL ".join(
+            f"SELECT {t}::INTEGER AS iteration, id, round(rank, {RANK_DIGITS}) AS rank FROM r{t}"
+            for t in range(1, PAGERANK_ITERATIONS + 1)
+        ),
         "pagerank_from_table": _node_table_sql(lagged_scale),
         "sink_tab": f"SELECT user, paths FROM ({_two_path_per_user_sql()})",
         "sink_comma": _follower_count_sql(),

@@ -31,6 +31,10 @@ from quiver.sources import (
 # strictly below it). No other query drops ids.
 EXAMPLE_CAP = 1000
 
+# Neighbours in a block of the adjacency query; shorter than the operator's
+# default, so that lists of the test tables take several blocks.
+ADJACENCY_LENGTH = 16
+
 # PageRank rounds, top-k size, truncation of dangling mass
 # (1e-4 units) in the lagged variant.
 PAGERANK_ITERATIONS = 10
@@ -109,6 +113,31 @@ def in_neighbours(spark, sf_dir):
     return ops.in_neighbours(_edges(spark, sf_dir))
 
 
+def adjacency_blocks(spark, sf_dir):
+    """In-neighbour lists in sorted blocks; a block's neighbours as text."""
+    blocks = ops.adjacency_blocks(_edges(spark, sf_dir), "in", ADJACENCY_LENGTH)
+    listed = F.concat_ws(",", F.col("neighbours").cast("array<string>"))
+    return blocks.select("user", "block", "first", "last", "n", listed.alias("neighbours"))
+
+
+# -- text ids --------------------------------------------------------------
+
+def _text_edges(spark, sf_dir):
+    """Edges with text ids, read by the lenient rule."""
+    return read_edges(spark, stage_text_ids(spark, _edges(spark, sf_dir)), "lenient", ids="text")
+
+
+def id_dictionary(spark, sf_dir):
+    """A dense number for every text id."""
+    return ops.id_dictionary(_text_edges(spark, sf_dir)).select("token", "id")
+
+
+def edges_encoded(spark, sf_dir):
+    """Edges with text ids, encoded by their dictionary."""
+    edges = _text_edges(spark, sf_dir)
+    return ops.encode_edges(edges, ops.id_dictionary(edges))
+
+
 def two_path_per_user(spark, sf_dir):
     return ops.two_path_per_user(_edges(spark, sf_dir))
 
@@ -131,6 +160,16 @@ def two_paths_nested(spark, sf_dir):
     return ops.two_paths_nested(_edges(spark, sf_dir))
 
 
+def closed_paths(spark, sf_dir):
+    """Two-paths that some edge closes; each path as often as it occurs."""
+    return ops.closed_paths(_edges(spark, sf_dir))
+
+
+def edge_closures(spark, sf_dir):
+    """How many users close each distinct edge to a directed triangle."""
+    return ops.edge_closures(_edges(spark, sf_dir)).select("follower", "followee", "closures")
+
+
 def triangle_bag(spark, sf_dir):
     """Bag semantics (every edge occurrence counts), sort-merge (shuffle) joins."""
     return ops.triangle_count(_edges(spark, sf_dir), "bag", strategy="shuffle")
@@ -211,6 +250,15 @@ def pagerank_lagged_mass(spark, sf_dir):
     return _rounded(_pagerank_lagged(spark, sf_dir).mass, "mass")
 
 
+def pagerank_rounds(spark, sf_dir):
+    """Ranks after every round of the lagged variant, each committed as a table of its own."""
+    out = ops.pagerank_rounds(
+        edges_to_graph(_edges(spark, sf_dir)), staging_path(spark, "pagerank-rounds"), PAGERANK_ITERATIONS,
+        dangling="lagged", dangling_scale=LAGGED_DANGLING_SCALE,
+    )
+    return _rounded(out, "rank")
+
+
 def pagerank_from_table(spark, sf_dir):
     """Lagged PageRank over a node table (``id, neighbour, rank`` lines): the
     nodes are those with a line, 0 is the sink, the table gives the start ranks."""
@@ -271,11 +319,12 @@ QUERIES: dict[str, Query] = {
         edges_strict, edges_lenient, edges_tokenised, edges_csv, edges_dropped,
         edges_capped, edges_distinct, edge_multiplicity, line_multiplicity,
         follower_count, follower_count_text_ids, follower_count_grouped, in_neighbours,
+        adjacency_blocks, id_dictionary, edges_encoded,
         two_path_per_user, two_path_total, two_path_total_capped,
-        two_paths, two_paths_nested,
+        two_paths, two_paths_nested, closed_paths, edge_closures,
         triangle_bag, triangle_bag_broadcast, triangle_path_bag, triangle_probe_bag, triangle_set,
         pagerank, pagerank_top_k, pagerank_mass, pagerank_dangling,
-        pagerank_lagged, pagerank_lagged_exact, pagerank_lagged_mass, pagerank_from_table,
+        pagerank_lagged, pagerank_lagged_exact, pagerank_lagged_mass, pagerank_rounds, pagerank_from_table,
         sink_tab, sink_comma, sink_tuple, sink_csv,
     ]
 }

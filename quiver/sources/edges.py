@@ -15,8 +15,11 @@ what counts as "two ids":
                extra cells are ignored); same rows as ``lenient``.
 ``tokenised``  non-empty tokens read as consecutive (follower, followee)
                pairs; yields one ``followee`` column (``1,2,3,4`` -> 2, 4) and
-               never looks at the follower token. With ``ids="text"`` the
-               token itself is the id (``bob``, ``007`` and ``7`` differ).
+               never looks at the follower token.
+
+With ``ids="text"`` the token itself is the id (``bob``, ``007`` and ``7``
+differ; an empty token is no id); :func:`quiver.operators.ids.encode_edges`
+makes such edges numeric.
 
 :func:`line_report` counts the lines that a rule keeps and drops.
 """
@@ -40,16 +43,16 @@ IDS = ("numeric", "text")
 RULES = ("strict", "lenient", "csv", "tokenised")
 
 
-def parse_strict(lines: DataFrame, sep: str = ",") -> DataFrame:
-    """Lines with exactly two integer fields."""
+def parse_strict(lines: DataFrame, sep: str = ",", ids: str = "numeric") -> DataFrame:
+    """Lines with exactly two ids."""
     parts = split_fields(F.col("value"), sep)
-    return _two_ids(lines.select(parts.alias("p")).where(F.size("p") == 2))
+    return _two_ids(lines.select(parts.alias("p")).where(F.size("p") == 2), ids)
 
 
-def parse_lenient(lines: DataFrame, sep: str = ",") -> DataFrame:
+def parse_lenient(lines: DataFrame, sep: str = ",", ids: str = "numeric") -> DataFrame:
     """The first two fields of lines that have at least two."""
     parts = split_fields(F.col("value"), sep)
-    return _two_ids(lines.select(parts.alias("p")).where(F.size("p") >= 2))
+    return _two_ids(lines.select(parts.alias("p")).where(F.size("p") >= 2), ids)
 
 
 def parse_tokenised(lines: DataFrame, sep: str = ",", ids: str = "numeric") -> DataFrame:
@@ -64,11 +67,14 @@ def parse_tokenised(lines: DataFrame, sep: str = ",", ids: str = "numeric") -> D
     )
 
 
-def _two_ids(parts: DataFrame) -> DataFrame:
+def _two_ids(parts: DataFrame, ids: str = "numeric") -> DataFrame:
+    def read(token):
+        return F.when(token != "", token) if ids == "text" else to_id(token)
+
     return (
         parts.select(
-            to_id(F.col("p")[0]).alias("follower"),
-            to_id(F.col("p")[1]).alias("followee"),
+            read(F.col("p")[0]).alias("follower"),
+            read(F.col("p")[1]).alias("followee"),
         )
         .where(F.col("follower").isNotNull() & F.col("followee").isNotNull())
     )
@@ -111,16 +117,16 @@ def read_edges(
     spark: SparkSession, path: str, rule: str = "strict", sep: str = ",", ids: str = "numeric"
 ) -> DataFrame:
     """Read an edge directory under one of :data:`RULES`; ``ids="text"`` is
-    for ``tokenised`` alone."""
-    if ids not in IDS or (ids == "text" and rule != "tokenised"):
-        raise ValueError(f"ids must be one of {IDS}, text only with rule='tokenised'; got {ids!r}, {rule!r}")
+    not for ``csv``, whose schema is numeric."""
+    if ids not in IDS or (ids == "text" and rule == "csv"):
+        raise ValueError(f"ids must be one of {IDS}, text not with rule='csv'; got {ids!r}, {rule!r}")
     if rule == "csv":
         return read_edges_csv(spark, path, sep)
     lines = read_lines(spark, path)
     if rule == "strict":
-        return parse_strict(lines, sep)
+        return parse_strict(lines, sep, ids)
     if rule == "lenient":
-        return parse_lenient(lines, sep)
+        return parse_lenient(lines, sep, ids)
     if rule == "tokenised":
         return parse_tokenised(lines, sep, ids)
     raise ValueError(f"rule must be one of {RULES}, got {rule!r}")

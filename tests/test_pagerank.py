@@ -3,7 +3,7 @@
 import pytest
 
 from quiver.operators import pagerank, top_k
-from quiver.sources import kchain_graph, kchain_initial_ranks, node_table_graph, read_node_table
+from quiver.sources import edges_to_graph, kchain_graph, kchain_initial_ranks, node_table_graph, read_node_table
 
 
 def closed_form(k, T):
@@ -145,3 +145,42 @@ def test_absent_nodes_are_dropped_or_added(spark, tmp_path):
 def test_unknown_absent_policy(spark):
     with pytest.raises(ValueError):
         pagerank(kchain_graph(spark, 2), absent="keep")
+
+
+def _files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in sorted(folder.rglob("*")) if p.is_file()}
+
+
+@pytest.mark.parametrize("options", [{}, {"dangling": "lagged", "dangling_scale": 1000}])
+def test_rounds_restart_after_the_last_commit(spark, edges_of, tmp_path, monkeypatch, options):
+    import quiver.operators.rounds as module
+
+    graph = edges_to_graph(edges_of([(a, (a * 7 + k) % 30) for a in range(20) for k in range(3)]))
+    folder = tmp_path / "run"
+    commit, stopped = module._commit, []
+
+    def stop_in_round_5(spark, where, it, row):
+        if it == 5 and not stopped:
+            stopped.append(it)
+            raise RuntimeError("the driver is lost")
+        commit(spark, where, it, row)
+
+    monkeypatch.setattr(module, "_commit", stop_in_round_5)
+    with pytest.raises(RuntimeError):
+        module.pagerank_rounds(graph, str(folder), 10, **options)
+    kept = {p: t for p, t in _files(folder).items() if "round=5" not in p}
+    assert len({p.split("round=")[1][0] for p in kept}) == 4
+    rows = module.pagerank_rounds(graph, str(folder), 10, **options).collect()
+    assert {p: t for p, t in _files(folder).items() if p in kept} == kept
+    for t in (1, 4, 5, 10):
+        want = {r.id: r.rank for r in pagerank(graph, t, **options).ranks.collect()}
+        assert {r.id: r.rank for r in rows if r.iteration == t} == pytest.approx(want)
+    # A finished run is read, not repeated; more rounds continue it.
+    before = _files(folder)
+    assert module.pagerank_rounds(graph, str(folder), 3, **options).count() == 3 * 30
+    assert _files(folder) == before
+    assert module.pagerank_rounds(graph, str(folder), 11, **options).where("iteration = 11").count() == 30
+    stats = module.commits(spark, str(folder)).orderBy("round").collect()
+    assert [r.rows for r in stats] == [30] * 11
+    with pytest.raises(ValueError):
+        module.pagerank_rounds(edges_to_graph(edges_of([(1, 2)])), str(folder), 10, **options)
