@@ -61,6 +61,10 @@ SCANNED = 24
 SLICE = 2 << 20
 
 
+# No merge; the part of a merge that is the new id.
+_NONE, _ID = 1 << 63, (1 << 32) - 1
+
+
 def _byte_of() -> dict[str, int]:
     """The printable character that stands for each byte in vocabulary files:
     itself where it is printable, else the next free one from U+0100."""
@@ -92,10 +96,11 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         ids = {raw(t): i for t, i in model["vocab"].items() if t not in self.special}
         self.base = [ids[bytes([b])] for b in range(256)]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: Pair of ids -> rank of their merge and the id that it makes.
+        self.merges: dict[tuple[int, int], int] = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = map(raw, pair.split(" ") if isinstance(pair, str) else pair)
-            self.merges[ids[a], ids[b]] = rank, ids[a + b]
+            self.merges[ids[a], ids[b]] = rank << 32 | ids[a + b]
         self.inside = allowed_pairs(list(ids))
         known = {i: t for t, i in ids.items()} | {i: t.encode() for t, i in self.special.items()}
         parts = [known.get(i, b"") for i in range(max(known) + 1)]
@@ -122,38 +127,40 @@ class Vocabulary:
 
     def _scanned(self, ids: list[int]) -> list[int]:
         """Merge a short fragment: the best pair by a scan, again and again."""
-        merges, none = self.merges, (len(self.merges), -1)
-        while len(ids) > 1:
-            found = [merges.get(p, none) for p in zip(ids, ids[1:])]
+        get = self.merges.get
+        found = [get(p, _NONE) for p in zip(ids, ids[1:])]
+        while found:
             best = min(found)
-            if best is none:
+            if best == _NONE:
                 break
             i = found.index(best)
-            ids[i:i + 2] = [best[1]]
+            ids[i] = best & _ID
+            del ids[i + 1], found[i]
+            # Only the pairs next to the merged one have changed.
+            if i < len(found):
+                found[i] = get((ids[i], ids[i + 1]), _NONE)
+            if i:
+                found[i - 1] = get((ids[i - 1], ids[i]), _NONE)
         return ids
 
     def _heaped(self, ids: list[int]) -> list[int]:
         """Merge a long fragment: a heap by rank and place over a linked list."""
-        n, merges = len(ids), self.merges
+        n, get = len(ids), self.merges.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*merges[p], i, *p) for i in range(n - 1) if (p := (ids[i], ids[i + 1])) in merges]
+        heap = [(m, i, *p) for i, p in enumerate(zip(ids, ids[1:])) if (m := get(p, _NONE)) != _NONE]
         heapq.heapify(heap)
         while heap:
-            _, made, i, a, b = heapq.heappop(heap)
+            best, i, a, b = heapq.heappop(heap)
             j = after[i] if ids[i] == a else n
             if j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j] = made, -1
+            ids[i], ids[j] = best & _ID, -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
-                p = made, ids[after[i]]
-                if p in merges:
-                    heapq.heappush(heap, (*merges[p], i, *p))
-            if before[i] >= 0:
-                p = ids[before[i]], made
-                if p in merges:
-                    heapq.heappush(heap, (*merges[p], before[i], *p))
+            for left, right in ((before[i], i), (i, after[i])):
+                if 0 <= left and right < n and (m := get((ids[left], ids[right]), _NONE)) != _NONE:
+                    heapq.heappush(heap, (m, left, ids[left], ids[right]))
         return [k for k in ids if k >= 0]
 
     def pieces(self, text: str) -> list[str]:
@@ -256,7 +263,7 @@ def encoder(spark: SparkSession, path: str):
 
     def encode(texts: pa.Array) -> pa.Array:
         vocabulary, parts = _loaded(shared), []
-        for begin, rows in slices(texts, SLICE):
+        for begin, rows in slices(texts, limit=SLICE):
             ids, starts = vocabulary.encode(texts.slice(begin, rows).to_pylist())
             parts.append(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32())))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
@@ -285,7 +292,7 @@ def digester(spark: SparkSession, path: str):
     def digests(texts: pa.Array) -> pa.Array:
         vocabulary = _loaded(shared)
         counts, of_ids, of_text = [], [], []
-        for begin, rows in slices(texts, SLICE):
+        for begin, rows in slices(texts, limit=SLICE):
             ids, starts = vocabulary.encode(texts.slice(begin, rows).to_pylist())
             for s, e in zip(starts[:-1], starts[1:]):
                 own = ids[s:e]
