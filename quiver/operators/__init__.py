@@ -1,6 +1,7 @@
 """Graph operators over ``(follower, followee)`` edge DataFrames."""
 
 from quiver.operators.adjacency import adjacency_blocks
+from quiver.operators.bucketed import BucketedEdges, bucketed_closings, bucketed_messages, bucketed_paths, write_bucketed
 from quiver.operators.closures import edge_closures
 from quiver.operators.degrees import (
     follower_count,
@@ -25,9 +26,13 @@ from quiver.operators.rounds import pagerank_rounds
 from quiver.operators.triangles import triangle_count
 
 __all__ = [
+    "BucketedEdges",
     "STRATEGIES",
     "PageRankResult",
     "adjacency_blocks",
+    "bucketed_closings",
+    "bucketed_messages",
+    "bucketed_paths",
     "cap_edges",
     "closed_paths",
     "decode_ids",
@@ -52,4 +57,5 @@ __all__ = [
     "two_paths",
     "two_paths_nested",
     "weighted_edges",
+    "write_bucketed",
 ]

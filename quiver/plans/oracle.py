@@ -15,7 +15,7 @@ from quiver.plans.registry import (
     PAGERANK_TOP_K,
     RANK_DIGITS,
 )
-from quiver.plans.staging import MALFORMED_LINES
+from quiver.plans.staging import BAD_FILES, MALFORMED_LINES
 
 EDGES = (
     "SELECT o.o_custkey AS follower, l.l_partkey AS followee "
@@ -38,6 +38,8 @@ def _values(rows: list[tuple], names: str) -> str:
 # Rows the readers keep from MALFORMED_LINES (see quiver.plans.staging).
 _STRICT_EXTRA = [(1, 2), (3, 1), (3, 1), (1, 2)]
 _LENIENT_EXTRA = [(1, 2), (3, 1), (3, 1), (6, 7), (1, 2), (1, 2)]
+# Second cells of the lines that are not empty; NULL where it is missing.
+_PERMISSIVE_EXTRA = [(2,), (1,), (1,), (4,), ("NULL",), (7,), ("NULL",), (9,), (2,), (2,)]
 _TOKENISED_EXTRA = [(2,), (1,), (1,), (4,), (7,), (2,), (4,), (2,)]
 
 
@@ -229,6 +231,13 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT (count(*) + {len(MALFORMED_LINES)})::BIGINT AS lines, (count(*) + {len(_STRICT_EXTRA)})::BIGINT AS kept, "
             f"{len(MALFORMED_LINES) - len(_STRICT_EXTRA)}::BIGINT AS dropped FROM ({EDGES})"
         ),
+        "edges_until_bad": (
+            f"WITH e AS (SELECT *, follower % {BAD_FILES} AS file FROM ({EDGES})), "
+            "b AS (SELECT file, min(follower * 1000000000 + followee) AS first FROM e "
+            "WHERE file % 4 <> 0 AND follower % 7 = 0 AND followee % 11 = 0 GROUP BY file) "
+            "SELECT follower, followee FROM e LEFT JOIN b USING (file) "
+            "WHERE first IS NULL OR follower * 1000000000 + followee <= first"
+        ),
         "edges_capped": f"SELECT follower, followee FROM {_capped(EXAMPLE_CAP)}",
         "edges_distinct": f"SELECT DISTINCT follower, followee FROM ({EDGES})",
         "edge_multiplicity": _multiplicity_sql(),
@@ -239,6 +248,10 @@ def oracle_sql() -> dict[str, str]:
             "WHEN followee % 2 = 1 THEN lpad(followee::VARCHAR, 10, '0') ELSE followee::VARCHAR END AS user, "
             f"count(*) AS followers FROM ({EDGES}) GROUP BY 1"
         ),
+        "follower_count_csv": (
+            f"SELECT followee AS user, count(*) AS followers FROM (SELECT followee FROM ({EDGES}) UNION ALL "
+            f"SELECT followee::BIGINT FROM ({_values(_PERMISSIVE_EXTRA, 'followee')})) GROUP BY followee"
+        ),
         "follower_count_grouped": _follower_count_sql(),
         "in_neighbours": (
             f"SELECT followee AS user, count(*) AS n_in, count(DISTINCT follower) AS n_in_distinct "
@@ -273,6 +286,7 @@ def oracle_sql() -> dict[str, str]:
         "triangle_bag": _triangle_sql("bag"),
         "triangle_bag_broadcast": _triangle_sql("bag"),
         "triangle_path_bag": _triangle_sql("path_bag"),
+        "triangle_path_bag_bucketed": _triangle_sql("path_bag"),
         "triangle_probe_bag": _triangle_sql("probe_bag"),
         "triangle_set": _triangle_sql("set"),
         "pagerank": _rank_sql(False, None),
@@ -291,4 +305,7 @@ def oracle_sql() -> dict[str, str]:
         "sink_comma": _follower_count_sql(),
         "sink_tuple": _follower_count_sql(),
         "sink_csv": _multiplicity_sql(),
+        "sink_ordered": (
+            f"SELECT user, followers, row_number() OVER (ORDER BY user) - 1 AS place FROM ({_follower_count_sql()})"
+        ),
     }

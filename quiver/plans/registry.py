@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from quiver import operators as ops
 from quiver import sinks
-from quiver.plans.staging import stage_edge_text, stage_node_table, stage_text_ids
+from quiver.plans.staging import stage_edge_text, stage_files_with_bad_lines, stage_node_table, stage_text_ids
 from quiver.session import staging_path
 from quiver.sources import (
     edge_view,
@@ -23,6 +23,7 @@ from quiver.sources import (
     line_report,
     node_table_graph,
     read_edges,
+    read_edges_permissive,
     read_lines,
     read_node_table,
 )
@@ -75,6 +76,11 @@ def edges_dropped(spark, sf_dir):
     return line_report(spark, stage_edge_text(spark, sf_dir), "strict")
 
 
+def edges_until_bad(spark, sf_dir):
+    """Edges before the first bad line of each of several files."""
+    return read_edges(spark, stage_files_with_bad_lines(spark, _edges(spark, sf_dir)), "strict", bad="stop")
+
+
 # -- row operators ---------------------------------------------------------
 
 def edges_capped(spark, sf_dir):
@@ -105,6 +111,11 @@ def follower_count_text_ids(spark, sf_dir):
     return ops.follower_count(read_edges(spark, path, "tokenised", ids="text"))
 
 
+def follower_count_csv(spark, sf_dir):
+    """Follower count of a CSV whose bad or missing ids are a group, NULL."""
+    return ops.follower_count(read_edges_permissive(spark, stage_edge_text(spark, sf_dir)))
+
+
 def follower_count_grouped(spark, sf_dir):
     return ops.follower_count_grouped(_edges(spark, sf_dir))
 
@@ -188,6 +199,12 @@ def triangle_path_bag(spark, sf_dir):
     return ops.triangle_count(_edges(spark, sf_dir), "path_bag", strategy="shuffle")
 
 
+def triangle_path_bag_bucketed(spark, sf_dir):
+    """The same count over edges laid out in buckets."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ops.bucketed_closings(spark, ops.write_bucketed(_edges(spark, sf_dir), buckets))
+
+
 def triangle_probe_bag(spark, sf_dir):
     """Probing edges counted as a bag, the two table edges as sets; broadcast
     joins behind the size check."""
@@ -313,18 +330,25 @@ def sink_csv(spark, sf_dir):
     return sinks.read_delimited(spark, path, _EDGE_COUNT, sep=",")
 
 
+def sink_ordered(spark, sf_dir):
+    """Written in one global order, read back with each row's place over all files."""
+    path = staging_path(spark, "sink-ordered")
+    sinks.write_ordered(ops.follower_count(_edges(spark, sf_dir)), path, "user")
+    return sinks.read_ordered(spark, path, _USER_COUNT).drop("file")
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in [
-        edges_strict, edges_lenient, edges_tokenised, edges_csv, edges_dropped,
+        edges_strict, edges_lenient, edges_tokenised, edges_csv, edges_dropped, edges_until_bad,
         edges_capped, edges_distinct, edge_multiplicity, line_multiplicity,
-        follower_count, follower_count_text_ids, follower_count_grouped, in_neighbours,
+        follower_count, follower_count_text_ids, follower_count_csv, follower_count_grouped, in_neighbours,
         adjacency_blocks, id_dictionary, edges_encoded,
         two_path_per_user, two_path_total, two_path_total_capped,
         two_paths, two_paths_nested, closed_paths, edge_closures,
-        triangle_bag, triangle_bag_broadcast, triangle_path_bag, triangle_probe_bag, triangle_set,
+        triangle_bag, triangle_bag_broadcast, triangle_path_bag, triangle_path_bag_bucketed, triangle_probe_bag, triangle_set,
         pagerank, pagerank_top_k, pagerank_mass, pagerank_dangling,
         pagerank_lagged, pagerank_lagged_exact, pagerank_lagged_mass, pagerank_rounds, pagerank_from_table,
-        sink_tab, sink_comma, sink_tuple, sink_csv,
+        sink_tab, sink_comma, sink_tuple, sink_csv, sink_ordered,
     ]
 }

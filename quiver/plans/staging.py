@@ -29,14 +29,24 @@ def edge_lines(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return rendered.unionByName(extra)
 
 
-# (application, input folder) -> its rendered edge lines
-_edge_text: dict[tuple[str, str], str] = {}
+# (application, input folder, state of its tables) -> its rendered edge lines
+_edge_text: dict[tuple, str] = {}
+
+
+def _table_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and time of change: another table at the same path differs."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(context._jsc.hadoopConfiguration())
+    return fs.getContentSummary(where).getLength(), fs.getFileStatus(where).getModificationTime()
 
 
 def stage_edge_text(spark: SparkSession, sf_dir: str) -> str:
     """The edge view as text: one copy per application and input, shared by
-    the reader queries and deleted when the application ends."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    the reader queries and deleted when the application ends. A table that
+    was replaced in the meantime is rendered anew."""
+    states = [_table_state(spark, f"{sf_dir}/{name}.parquet") for name in ("lineitem", "orders")]
+    key = (spark.sparkContext.applicationId, sf_dir, *states)
     if key not in _edge_text:
         path = staging_path(spark, "edges-text")
         edge_lines(spark, edge_view(spark, sf_dir)).write.text(path)
@@ -58,6 +68,25 @@ def stage_text_ids(spark: SparkSession, edges: DataFrame) -> str:
     return path
 
 
+def stage_files_with_bad_lines(spark: SparkSession, edges: DataFrame) -> str:
+    """Edge lines in one file per remainder of the follower modulo
+    ``BAD_FILES``, sorted by edge. In files whose number is no multiple of 4, a
+    bad line follows the edges with a follower divisible by 7 and a followee
+    divisible by 11."""
+    file = F.pmod("follower", F.lit(BAD_FILES))
+    lines = edges.select(file.alias("file"), "follower", "followee", F.lit(0).alias("bad"), F.concat_ws(",", "follower", "followee").alias("value"))
+    bad = lines.where("file % 4 <> 0 AND follower % 7 = 0 AND followee % 11 = 0").distinct()
+    bad = bad.withColumn("bad", F.lit(1)).withColumn("value", F.lit("no edge"))
+    path = staging_path(spark, "edges-bad-lines")
+    lines.unionByName(bad).repartition("file").sortWithinPartitions("file", "follower", "followee", "bad").select(
+        "file", "value"
+    ).write.partitionBy("file").text(path)
+    return path
+
+
+# Files of the rendering with bad lines.
+BAD_FILES = 32
+
 # Node lines appended to every rendered node table. Node -5 has
 # an absent neighbour and the sink; the others do not parse and are dropped.
 EXTRA_NODE_LINES = ["-5\t-99\t0.25", "-5\t0\t0.25", "-6\tabc\t0.5", "x\t1\t0.5", "-7\t1"]

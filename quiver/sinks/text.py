@@ -7,7 +7,7 @@ file, like a reducer's key-ordered output, without a global sort.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,32 @@ def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "error
     df.write.mode(mode).option("header", str(header).lower()).csv(path)
 
 
+def write_ordered(df: DataFrame, path: str, key: str, sep: str = "\t", files: int | None = None) -> None:
+    """Delimited text in one global order: range-partitioned and sorted files
+    whose names ascend with the key. Equal keys share a file."""
+    ranged = df.repartitionByRange(files, key) if files else df.repartitionByRange(key)
+    ranged.sortWithinPartitions(key).write.option("sep", sep).option("header", "false").csv(path)
+
+
+def read_ordered(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t") -> DataFrame:
+    """Read back what :func:`write_ordered` wrote, with ``file`` (the number
+    in the file's name) and ``place``: the row's number over all files, taken
+    from the files' row counts and the order of their lines."""
+    rows = spark.read.schema(schema).option("sep", sep).option("header", "false").csv(path)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int")
+    rows = rows.select(
+        "*", number.alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at")
+    )
+    # One row per block of a file; within a block lines come in order.
+    blocks = rows.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.orderBy("file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    met = rows.join(blocks.drop("_n"), ["file", "_block"])
+    return met.select(
+        *[f.name for f in schema], "file", (F.col("_before") + F.col("_at") - F.col("_first")).alias("place")
+    )
+
+
 def read_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t", header: bool = False
 ) -> DataFrame:

@@ -8,8 +8,10 @@ from quiver.sources.edges import (
     parse_lenient,
     parse_strict,
     parse_tokenised,
+    placed_lines,
     read_edges,
     read_edges_csv,
+    read_edges_permissive,
     read_lines,
 )
 from quiver.sources.graphs import (
@@ -33,7 +35,9 @@ __all__ = [
     "parse_strict",
     "parse_tokenised",
     "read_edges",
+    "placed_lines",
     "read_edges_csv",
+    "read_edges_permissive",
     "read_lines",
     "read_node_table",
 ]

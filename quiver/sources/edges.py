@@ -21,7 +21,11 @@ With ``ids="text"`` the token itself is the id (``bob``, ``007`` and ``7``
 differ; an empty token is no id); :func:`quiver.operators.ids.encode_edges`
 makes such edges numeric.
 
-:func:`line_report` counts the lines that a rule keeps and drops.
+:func:`line_report` counts the lines that a rule keeps and drops. What else to
+do with a bad line is the ``bad`` option of :func:`read_edges` (``strict`` and
+``lenient``): ``drop`` it, ``fail`` with its file and place, or ``stop``, which
+keeps the rows before the first bad line of each file.
+:func:`read_edges_permissive` keeps the rows of a CSV whose ids are NULL.
 """
 
 from __future__ import annotations
@@ -41,6 +45,7 @@ EDGE_SCHEMA = T.StructType(
 
 IDS = ("numeric", "text")
 RULES = ("strict", "lenient", "csv", "tokenised")
+BAD = ("drop", "fail", "stop")
 
 
 def parse_strict(lines: DataFrame, sep: str = ",", ids: str = "numeric") -> DataFrame:
@@ -100,6 +105,77 @@ def read_edges_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     )
 
 
+def read_edges_permissive(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """CSV with an explicit schema, no row dropped: ``(follower, followee,
+    corrupt)``. A missing or bad cell is NULL; ``corrupt`` is the whole line if
+    a cell did not parse or the number of cells was wrong, else NULL.
+
+    The three columns are read together, so the reader parses every cell
+    whatever is selected later (it would prune the columns otherwise).
+    """
+    schema = T.StructType([
+        T.StructField("follower", T.LongType()), T.StructField("followee", T.LongType()),
+        T.StructField("corrupt", T.StringType()),
+    ])
+    rows = (
+        spark.read.schema(schema).option("sep", sep).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "corrupt")
+        .option("spark.sql.csv.parser.columnPruning.enabled", "false").option("columnPruning", "false").csv(path)
+    )
+    whole = rows.select(F.struct("follower", "followee", "corrupt").alias("row"))
+    return whole.where(F.col("row").isNotNull()).select("row.*")
+
+
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, file, block, at)``: every line with its file, the start of the
+    block it was read in, and its order in that block. Within a file, lines
+    are ordered by ``(block, at)``."""
+    lines = spark.read.text(path)
+    return lines.select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+
+
+def _ids_of(lines: DataFrame, rule: str, sep: str, ids: str) -> DataFrame:
+    """``lines`` with ``follower`` and ``followee``, both NULL on a bad line."""
+    fields = split_fields(F.col("value"), sep)
+    fits = F.size(fields) == 2 if rule == "strict" else F.size(fields) >= 2
+    first, second = (
+        F.when(F.get(fields, F.lit(k)) != "", F.get(fields, F.lit(k))) if ids == "text" else to_id(F.get(fields, F.lit(k)))
+        for k in (0, 1)
+    )
+    good = F.coalesce(fits & first.isNotNull() & second.isNotNull(), F.lit(False))
+    return lines.withColumns({"follower": F.when(good, first), "followee": F.when(good, second)})
+
+
+def _fail_on_bad(spark: SparkSession, path: str, rule: str, sep: str, ids: str) -> DataFrame:
+    """The edges of ``path``; the first bad line that a task meets ends the job."""
+    rows = _ids_of(placed_lines(spark, path), rule, sep, ids)
+    message = F.concat(
+        F.lit("bad edge line in "), F.col("file"), F.lit(", block at byte "), F.col("block").cast("string"),
+        F.lit(", line "), (F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("string"), F.lit(" of its task: "),
+        F.col("value"),
+    )
+    # Both ids carry the check, so that neither can be pruned past it.
+    checked = [
+        F.when(F.col("follower").isNull(), F.raise_error(message).cast(kind)).otherwise(F.col(c)).alias(c)
+        for c, kind in rows.select("follower", "followee").dtypes
+    ]
+    return rows.select(*checked)
+
+
+def _until_bad(spark: SparkSession, path: str, rule: str, sep: str, ids: str) -> DataFrame:
+    """The edges before the first bad line of each file: one row per file
+    with a bad line is found first, then lines are compared with its place."""
+    rows = _ids_of(placed_lines(spark, path), rule, sep, ids)
+    first = rows.where(F.col("follower").isNull()).groupBy("file").agg(F.min(F.struct("block", "at")).alias("bad"))
+    before = rows.where(F.col("follower").isNotNull()).join(first, "file", "left").where(
+        F.col("bad").isNull() | (F.struct("block", "at") < F.col("bad"))
+    )
+    return before.select("follower", "followee")
+
+
 def line_report(spark: SparkSession, path: str, rule: str = "strict", sep: str = ",") -> DataFrame:
     """``(lines, kept, dropped)`` of an edge directory under a rule that reads
     one edge a line (``strict`` or ``lenient``): observed in one pass."""
@@ -114,12 +190,16 @@ def line_report(spark: SparkSession, path: str, rule: str = "strict", sep: str =
 
 
 def read_edges(
-    spark: SparkSession, path: str, rule: str = "strict", sep: str = ",", ids: str = "numeric"
+    spark: SparkSession, path: str, rule: str = "strict", sep: str = ",", ids: str = "numeric", bad: str = "drop"
 ) -> DataFrame:
     """Read an edge directory under one of :data:`RULES`; ``ids="text"`` is
     not for ``csv``, whose schema is numeric."""
     if ids not in IDS or (ids == "text" and rule == "csv"):
         raise ValueError(f"ids must be one of {IDS}, text not with rule='csv'; got {ids!r}, {rule!r}")
+    if bad not in BAD or (bad != "drop" and rule not in ("strict", "lenient")):
+        raise ValueError(f"bad must be one of {BAD}, other than drop only with strict or lenient; got {bad!r}, {rule!r}")
+    if bad != "drop":
+        return (_fail_on_bad if bad == "fail" else _until_bad)(spark, path, rule, sep, ids)
     if rule == "csv":
         return read_edges_csv(spark, path, sep)
     lines = read_lines(spark, path)

@@ -10,7 +10,7 @@ import pytest
 
 from __spark_entry__ import entry
 from quiver.plans import QUERIES, oracle_sql
-from quiver.plans.compare import compare, duckdb_connection
+from oracle_compare import compare, duckdb_connection
 
 SF_DIR = os.environ.get("QUIVER_ORACLE_SF", "/root/testdata/sf0.001")
 
