@@ -3,30 +3,34 @@
 1. *Signatures.* Each document becomes its set of ``width``-word shingles
    (64-bit hashes), a 128-bit key of that set, ``BANDS x ROWS`` minhashes and
    one key per band. Documents of equal sets form one class; only a class's
-   smallest id goes on, so copies never meet each other.
+   first row goes on, so copies never meet each other.
 2. *Candidates.* Classes that share a band key share a bucket. First, every
    member is paired with the bucket's smallest member only. Verified pairs
    give components; a bucket whose members all fell into one component is
    done. In what is left, the members outside the bucket's largest component
    are compared with all others, in blocks of ``BLOCK`` rows that are dealt
-   to tasks; only confirmed links leave a block. So a large
+   to tasks; only pairs that survive the comparison leave a block. So a large
    group of near copies costs a star per band, not all of its pairs, and no
    bucket is capped.
 3. *Verification.* A pair's minhashes are compared ``BATCH`` at a time; with a
    uniform prior, it is pruned as soon as the posterior probability of a
    similarity of ``threshold`` or more falls below ``miss``. Survivors are
-   confirmed on the full shingle sets of both texts.
+   confirmed on the full shingle sets of both texts, which are read only now.
 4. *Groups* are the connected components of the confirmed links.
 
+Signatures are written once and read where they are needed; grouping moves
+ids alone. Written tables are deleted after their last use.
+
 A similar pair is missed by all bands with probability (1 - t^ROWS)^BANDS:
 5e-6 at t = 0.8, 1e-8 at 0.85. Set equality and shingle equality are by 128
 and 64-bit hashes.
 
 Defined cases: a text of fewer than ``width`` words is one shingle (its whole
 sequence); a null or empty text has no shingle and is linked with nothing;
-rows that share a ``doc_id`` are one node of the graph; a null ``doc_id`` is
-linked with nothing; an empty table gives no rows; other columns are neither
-read nor returned.
+rows are told apart by themselves, not by ``doc_id``: rows that share an id, or
+have none, are grouped by their texts; a group is named by its smallest id
+(null if it has none), and exactly one of its rows is kept, one with that id;
+an empty table gives no rows; other columns are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -41,17 +45,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiver.llm.common import slices, staged, words_of
+from quiver.llm.common import (
+    bit_filter, drop_rows_with, released, slices, staged, text_key, unstaged, with_hit, words_of,
+)
 from quiver.llm.components import components
 
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 BATCH = 40
 BLOCK = 256
-BUCKET_SLOTS = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_SIGNATURES = "doc_id bigint, n int, set_key binary, bands array<bigint>, minhashes binary"
+_SIGNATURES = "doc_id bigint, ka bigint, kb bigint, n int, set_key binary, bands array<bigint>, minhashes binary"
 _PAIRS = "a bigint, b bigint"
 
 
@@ -132,16 +137,18 @@ def _signer(width: int):
             bands = _combine(
                 minhashes.reshape(len(full), BANDS, ROWS), np.arange(BANDS, dtype=np.uint64)
             ).view(np.int64)
-            # 16 bits of each minhash are kept for the comparison of pairs.
-            short = (_mix(minhashes) >> np.uint64(48)).astype(np.uint16)
+            # 8 bits of each minhash are kept for the comparison of pairs: of
+            # the unequal ones 1 in 256 looks equal, so fewer pairs are pruned.
+            short = (_mix(minhashes) >> np.uint64(56)).astype(np.uint8)
             row = {i: k for k, i in enumerate(full)}
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").cast(pa.int64()),
+                *(batch.column(c) for c in ("doc_id", "ka", "kb")),
                 pa.array([len(s) for s in sets], pa.int32()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([bands[row[i]] if i in row else None for i in range(len(sets))], pa.list_(pa.int64())),
                 pa.array([short[row[i]].tobytes() if i in row else None for i in range(len(sets))], pa.binary()),
-            ], names=["doc_id", "n", "set_key", "bands", "minhashes"])
+            ], names=["doc_id", "ka", "kb", "n", "set_key", "bands", "minhashes"])
+            released()
     return sign
 
 
@@ -165,7 +172,7 @@ def fewest_matches(threshold: float, miss: float) -> list[tuple[int, int]]:
 
 def _matrix(column) -> np.ndarray:
     values = column.to_pylist()
-    return np.frombuffer(b"".join(values), np.uint16).reshape(len(values), HASHES)
+    return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), HASHES)
 
 
 def _survivors(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, limits) -> np.ndarray:
@@ -190,48 +197,19 @@ def _bayes(limits: list[tuple[int, int]]):
     return prune
 
 
-def _similar(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-    """Which of the pairs ``(left[i], right[j])`` have 100 * intersection >=
-    percent * union; ``i`` ascending."""
-    keep = np.zeros(len(i), bool)
-    for x in np.unique(i):
-        at = np.flatnonzero(i == x)
-        sizes = np.array([len(right[y]) for y in j[at]])
-        stacked = np.concatenate([right[y] for y in j[at]])
-        place = np.minimum(np.searchsorted(left[x], stacked), len(left[x]) - 1)
-        begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        both = np.add.reduceat((left[x][place] == stacked).astype(np.int64), begins)
-        keep[at] = 100 * both >= percent * (len(left[x]) + sizes - both)
-    return keep
-
-
-def _block(limits: list[tuple[int, int]], width: int, percent: int):
+def _block(limits: list[tuple[int, int]], percent: int):
     """Compare a block of a bucket's outsiders with a block of its members."""
     def compare(rows: pa.Table) -> pa.Table:
-        key = np.int64(rows.column("key")[0].as_py())
-        outside = rows.filter(rows.column("outsider"))
-        inside = rows.filter(pa.compute.invert(rows.column("outsider")))
+        outside, inside = (rows.filter(rows.column(c)) for c in ("outside", "inside"))
         a, b = (np.asarray(t.column("id")) for t in (outside, inside))
         ca, cb = (np.asarray(t.column("component")) for t in (outside, inside))
         na, nb = (np.asarray(t.column("n"), dtype=np.int64) for t in (outside, inside))
         apart = ca[:, None] != cb[None, :]
         sized = 100 * np.minimum(na[:, None], nb[None, :]) >= percent * np.maximum(na[:, None], nb[None, :])
         i, j = np.nonzero(apart & sized)
-        # A pair that shares several bands is compared under the first of them.
-        bands = [np.asarray(t.column("bands").combine_chunks().flatten()).reshape(-1, BANDS) for t in (outside, inside)]
-        first = (bands[0][i] == bands[1][j]).argmax(axis=1)
-        mine = bands[0][i, first] == key
-        i, j = i[mine], j[mine]
-        alive = _survivors(_matrix(outside.column("minhashes")), _matrix(inside.column("minhashes")), i, j, limits)
-        i, j = i[alive], j[alive]
         if len(i):
-            used = [np.unique(i), np.unique(j)]
-            sets = []
-            for table, at in zip((outside, inside), used):
-                texts = table.column("text").combine_chunks().take(pa.array(at))
-                sets.append(dict(zip(at.tolist(), shingle_sets(texts, width))))
-            keep = _similar(sets[0], sets[1], i, j, percent)
-            i, j = i[keep], j[keep]
+            alive = _survivors(_matrix(outside.column("minhashes")), _matrix(inside.column("minhashes")), i, j, limits)
+            i, j = i[alive], j[alive]
         x, y = a[i], b[j]
         return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
     return compare
@@ -239,7 +217,7 @@ def _block(limits: list[tuple[int, int]], width: int, percent: int):
 
 def _exact(width: int, percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (whole.slice(*part) for whole in batches for part in slices(whole.column("ta")))
+        parts = (whole.slice(*part) for whole in batches for part in slices(whole.column("ta"), whole.column("tb")))
         for batch in parts:
             left = shingle_sets(batch.column("ta"), width)
             right = shingle_sets(batch.column("tb"), width)
@@ -249,42 +227,47 @@ def _exact(width: int, percent: int):
                 if both and 100 * both >= percent * (len(x) + len(y) - both):
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            released()
     return confirm
 
 
-def _slot(column):
-    return F.pmod(F.xxhash64(column), F.lit(BUCKET_SLOTS)).cast("int")
+def _of(ids: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """The ``rows`` whose ``column`` may be among ``ids``: a broadcast filter
+    of bounded size keeps most others out of the shuffle of the join that
+    follows."""
+    bits = bit_filter(ids, F.xxhash64(ids.columns[0]))
+    return with_hit(rows, F.xxhash64(column), bits).where("_hit").drop("_hit")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, limits) -> DataFrame:
+def _likely(pairs: DataFrame, signed: DataFrame, limits) -> DataFrame:
     """``pairs (a, b)`` that the sequential comparison does not prune."""
-    sides = classes.select("id", "minhashes")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    sides = _of(wanted, signed.select("id", "minhashes"), "id")
     met = pairs.join(sides.toDF("a", "ma"), "a").join(sides.toDF("b", "mb"), "b")
     return met.select("a", "b", "ma", "mb").mapInArrow(_bayes(limits), _PAIRS)
 
 
-def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(doc_id, text)`` of at least ``ids``: a bounded table of slots keeps
-    most other texts out of the shuffle of the join that follows."""
-    slots = F.broadcast(ids.select(_slot(F.col(ids.columns[0])).alias("slot")).distinct())
-    return docs.withColumn("slot", _slot(F.col("doc_id"))).join(slots, "slot", "left_semi").select("doc_id", "text")
-
-
-def _confirmed(likely: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(likely: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``likely`` pairs whose full shingle sets are similar."""
-    likely = staged(likely, "near-likely")
-    texts = _texts_of(likely.select(F.explode(F.array("a", "b")).alias("id")), docs)
+    likely = staged(likely.distinct(), "near-likely")
+    ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    keys = staged(ids.join(classes.select("id", "ka", "kb"), "id"), "near-text-keys")
+    # Copies of a text are one row before they meet the pairs.
+    texts = _of(keys.select("ka"), docs.select("ka", "kb", "text"), "ka").groupBy("ka", "kb").agg(F.first("text").alias("text"))
+    texts = keys.join(texts, ["ka", "kb"]).select("id", "text")
     met = likely.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-    return met.select("a", "b", "ta", "tb").mapInArrow(_exact(width, percent), _PAIRS)
+    links = staged(met.select("a", "b", "ta", "tb").mapInArrow(_exact(width, percent), _PAIRS), "near-links")
+    unstaged(likely, keys)
+    return links
 
 
-def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, limits, width: int, percent: int) -> DataFrame:
-    """Links between different components of a bucket; ``members``:
+def _across(members: DataFrame, signed: DataFrame, limits, percent: int) -> DataFrame:
+    """Likely pairs between different components of a bucket; ``members``:
     ``(key, id, n, component)``.
 
     Outsiders (all but the bucket's largest component) meet all members,
-    block by block; the pairs are compared and confirmed inside the block's
-    task and only links leave it.
+    block by block; a row is in a cell once, whether it is there as an
+    outsider, as a member or as both.
     """
     per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
     open_ = staged(
@@ -296,38 +279,55 @@ def _across(members: DataFrame, classes: DataFrame, docs: DataFrame, limits, wid
             F.ceil((F.col("size") - F.col("most.k")) / BLOCK).cast("int").alias("o_blocks"),
         ), "near-open",
     )
-    rows = staged(members.join(open_, "key"), "near-open-rows")
-    texts = _texts_of(rows.select("id"), docs).withColumnRenamed("doc_id", "id")
-    rows = rows.join(classes.select("id", "bands", "minhashes"), "id").join(texts, "id")
-    at = F.xxhash64("id")
-
-    def dealt(rows, own, count, others, other_count):
-        return rows.withColumn(own, F.pmod(at, F.col(count)).cast("int")).withColumn(
-            others, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1))
-        )
-
-    inside = dealt(rows, "mb", "m_blocks", "ob", "o_blocks").withColumn("outsider", F.lit(False))
-    outside = dealt(rows.where("component <> main"), "ob", "o_blocks", "mb", "m_blocks").withColumn("outsider", F.lit(True))
-    columns = ["key", "ob", "mb", "outsider", "id", "n", "component", "bands", "minhashes", "text"]
-    blocks = inside.select(columns).unionByName(outside.select(columns))
-    return blocks.groupBy("key", "ob", "mb").applyInArrow(_block(limits, width, percent), _PAIRS)
+    rows = staged(_of(open_.select("key"), members, "key").join(open_, "key"), "near-open-rows")
+    own_m = F.pmod(F.xxhash64("id"), F.col("m_blocks")).cast("int")
+    own_o = F.when(F.col("component") != F.col("main"), F.pmod(F.xxhash64("id"), F.col("o_blocks")).cast("int"))
+    as_member = F.transform(F.sequence(F.lit(0), F.col("o_blocks") - 1), lambda o: F.struct(o.alias("ob"), F.col("mb").alias("mb")))
+    as_outsider = F.when(F.col("ob").isNotNull(), F.transform(
+        F.sequence(F.lit(0), F.col("m_blocks") - 1), lambda m: F.struct(F.col("ob").alias("ob"), m.alias("mb"))
+    )).otherwise(F.array().cast("array<struct<ob:int,mb:int>>"))
+    dealt = rows.withColumn("mb", own_m).withColumn("ob", own_o).select(
+        "key", "id", "n", "component", F.col("mb").alias("own_m"), F.col("ob").alias("own_o"),
+        F.explode(F.array_union(as_member, as_outsider)).alias("cell"),
+    ).select(
+        "key", "cell.*", "id", "n", "component", (F.col("cell.mb") == F.col("own_m")).alias("inside"),
+        F.coalesce(F.col("cell.ob") == F.col("own_o"), F.lit(False)).alias("outside"),
+    )
+    blocks = dealt.join(_of(rows.select("id"), signed.select("id", "minhashes"), "id"), "id")
+    found = blocks.groupBy("key", "ob", "mb").applyInArrow(_block(limits, percent), _PAIRS)
+    found = staged(found.distinct(), "near-across")
+    unstaged(open_, rows)
+    return found
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = 1e-6, keyed: bool = False) -> DataFrame:
     """One row per document: ``(doc_id, n_shingles, component_id, kept)``.
 
     Links join documents whose sets have 100 * intersection >= percent *
     union; ``component_id`` is the smallest ``doc_id`` of the group.
+    ``keyed`` adds ``text_key`` (see :func:`quiver.llm.common.text_key`), which
+    tells rows apart whose ids are equal or null.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = staged(docs.mapInArrow(_signer(width), _SIGNATURES), "near-signed")
-    classes = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(
-        F.min(F.struct("doc_id", "n", "bands", "minhashes")).alias("c")
+    docs = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_key()["a"].alias("ka"), text_key()["b"].alias("kb"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
+    signed = docs.select("doc_id", "ka", "kb", "text").mapInArrow(_signer(width), _SIGNATURES)
+    signed = staged(signed.withColumn("id", F.monotonically_increasing_id()), "near-signed")
+    # A class of equal sets is named by its first row: smallest doc_id, null last.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id", "ka", "kb", "n"))
     classes = staged(
-        classes.select("set_key", F.col("c.doc_id").alias("id"), "c.n", "c.bands", "c.minhashes"), "near-classes"
+        signed.where("n > 0").groupBy("set_key").agg(first.alias("c"), F.count(F.lit(1)).alias("rows"))
+        .select("set_key", "c.doc_id", "c.id", "c.ka", "c.kb", "c.n", "rows"), "near-classes"
+    )
+    more = classes.where("rows > 1").select("set_key", F.col("id").alias("first"))
+    others = signed.where("n > 0").select("set_key", "id").join(more, "set_key").where("id <> first")
+    one = drop_rows_with(
+        signed.where("n > 0").select("id", "n", "bands", "minhashes"),
+        others.select(F.struct(F.xxhash64("id").alias("a"), F.col("id").alias("b")).alias("_other")),
+        F.struct(F.xxhash64("id").alias("a"), F.col("id").alias("b")),
     )
-    banded = classes.select(F.explode("bands").alias("key"), "id", "n")
+    banded = one.select(F.explode("bands").alias("key"), "id", "n")
     buckets = staged(
         banded.groupBy("key").agg(
             F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("size")
@@ -335,33 +335,42 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     )
     twos = buckets.where("size = 2").select(F.col("first").alias("a"), F.col("last").alias("b"))
     more = buckets.where("size > 2")
-    slots = F.broadcast(more.select(_slot(F.col("key")).alias("slot")).distinct())
-    crowded = staged(
-        banded.withColumn("slot", _slot(F.col("key"))).join(slots, "slot", "left_semi").drop("slot")
-        .join(more.select("key", "first"), "key"), "near-crowded",
-    )
+    crowded = staged(_of(more.select("key"), banded, "key").join(more.select("key", "first"), "key"), "near-crowded")
     stars = crowded.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     limits = fewest_matches(percent / 100, miss)
-    near = _likely(twos.unionByName(stars).distinct(), classes, limits)
-    links = staged(_confirmed(near, docs, width, percent), "near-star-links")
+    pairs = staged(twos.unionByName(stars).distinct(), "near-pairs")
+    links = _confirmed(_likely(pairs, signed, limits), classes, docs, width, percent)
     grouped = components(links)
+    unstaged(buckets, pairs, links)
 
-    labelled = crowded.join(grouped.select(F.col("node").alias("id"), "component"), "id", "left").select(
+    labelled = staged(crowded.join(grouped.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "key", "id", "n", F.coalesce("component", "id").alias("component")
-    )
-    rest = _across(staged(labelled, "near-labelled"), classes, docs, limits, width, percent)
+    ), "near-labelled")
+    unstaged(crowded)
+    across = _across(labelled, signed, limits, percent)
+    rest = _confirmed(across, classes, docs, width, percent)
     names = grouped.select("node", "component")
-    of_a, of_b = names.toDF("a", "ca"), names.toDF("b", "cb")
     joined = staged(
-        rest.join(of_a, "a", "left").join(of_b, "b", "left")
+        rest.join(names.toDF("a", "ca"), "a", "left").join(names.toDF("b", "cb"), "b", "left")
         .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), "near-rest-links",
     )
     merged = components(joined)
-    known = signed.select("doc_id", "n", "set_key").join(classes.select("set_key", "id"), "set_key", "left")
-    out = known.join(grouped.toDF("id", "c1"), "id", "left")
-    out = out.withColumn("c1", F.coalesce("c1", "id", "doc_id")).join(merged.toDF("c1", "c2"), "c1", "left")
-    out = out.withColumn("component_id", F.coalesce("c2", "c1"))
-    return out.select(
-        "doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
-    )
+    unstaged(labelled, across, rest, joined)
+
+    # Each class with its component, then the component's first row.
+    named = classes.join(grouped.toDF("id", "c1"), "id", "left").withColumn("c1", F.coalesce("c1", "id"))
+    named = named.join(merged.toDF("c1", "c2"), "c1", "left").withColumn("component", F.coalesce("c2", "c1"))
+    named = staged(named.select("set_key", "component", "doc_id", "id"), "near-named")
+    tops = named.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id")).alias("top")
+    ).select("component", F.col("top.doc_id").alias("component_id"), F.col("top.id").alias("top"))
+    verdicts = named.select("set_key", "component").join(tops, "component").drop("component")
+    rows = staged(signed.select("doc_id", "ka", "kb", "n", "set_key", "id"), "near-rows")
+    unstaged(signed)
+    full = rows.where("n > 0").join(verdicts, "set_key").withColumn("kept", F.col("id") == F.col("top"))
+    empty = rows.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("kept", F.lit(True))
+    columns = [
+        "doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id", "kept",
+        *([F.struct(F.col("ka").alias("a"), F.col("kb").alias("b")).alias("text_key")] if keyed else []),
+    ]
+    return full.select(*columns).unionByName(empty.select(*columns))

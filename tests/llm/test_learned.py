@@ -1,9 +1,11 @@
 """Near duplicates, classifiers, pages, urls, the pipeline."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -47,6 +49,46 @@ def test_near_duplicates_match_brute_force(spark, odd, none):
     assert near_duplicates(none).count() == 0
 
 
+A, B = "the quick brown fox jumps over the lazy dog today", "nothing of this is like the other text at all now"
+
+
+def test_rows_that_share_an_id_or_have_none_keep_their_texts(spark):
+    rows = [(3, A), (5, A), (5, B), (9, B), (None, A), (None, A), (None, None), (7, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS kept", "'x' AS n")
+    verdicts = near_duplicates(docs, keyed=True)
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in verdicts.collect())
+    assert got == Counter({
+        (3, 3, True): 1, (5, 3, False): 1, (5, 5, True): 1, (9, 5, False): 1, (None, 3, False): 2,
+        (None, None, True): 1, (7, 7, True): 2,
+    })
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert left.columns == docs.columns
+    texts = Counter(r.text for r in left.collect())
+    assert texts[A] == texts[B] == 1 and texts[None] == 1 and texts[""] == 2
+    # Copies without an id: one of them stays.
+    copies = spark.createDataFrame([(None, A)] * 4 + [(None, B)], "doc_id bigint, text string")
+    assert Counter(r.text for r in corpus_pipeline.drop_near_duplicates(spark, copies, SF).collect()) == {A: 1, B: 1}
+    same = spark.createDataFrame([(1, A)] * 3, "doc_id bigint, text string")
+    assert corpus_pipeline.drop_near_duplicates(spark, same, SF).count() == 1
+
+
+def test_outsiders_meet_members_block_by_block(spark, monkeypatch):
+    import quiver.llm.near_dup as module
+
+    monkeypatch.setattr(module, "BLOCK", 3)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(60):
+        words = list(base)
+        for _ in range(rng.randint(0, 9)):
+            words[rng.randrange(60)] = f"x{rng.randrange(1000)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, width=2).collect()}
+    assert got == brute(list(enumerate(texts)), 2, 80)
+
+
 def test_limits_and_components(spark):
     assert all(0 < m < 0.8 * n for n, m in fewest_matches(0.8, 1e-6))
     chain = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101)], "a bigint, b bigint")
@@ -54,6 +96,17 @@ def test_limits_and_components(spark):
     assert components(chain.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_components_of_a_long_chain_take_few_rounds(spark, shuffled):
+    names = list(range(1024))
+    if shuffled:
+        random.Random(3).shuffle(names)
+    links = spark.createDataFrame([(names[i], names[i + 1]) for i in range(1023)], "a bigint, b bigint")
+    rounds = []
+    assert Counter(r.component for r in components(links, rounds).collect()) == {0: 1024}
+    assert len(rounds) <= 25
+
+
 def test_toxicity_learns_and_handles_odd_rows(spark, odd, none):
     sf = "/root/testdata/sf0.01"
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
