@@ -5,30 +5,34 @@ linear support vector machines separate the related languages (by votes,
 ties by summed margins). Features are hashed character n-grams (1 to 4, with
 word boundaries) and whole words, as shares of all features of the text, so
 a text's margin is the mean over its words of per-word margins: those are
-computed once per distinct word of a batch.
+computed once per distinct word of a batch, for all its words together.
 
-Training takes at most about ``PER_LANG`` texts of each language with at
-most ``MAX_TRAIN_CHARS`` characters, chosen by a hash of ``doc_id``, and
-runs in one task.
+Training runs in one task on a bounded sample: about ``PER_LANG`` whole texts
+of each language, the ones with the smallest hashes of ``doc_id``, and no more
+texts of a language once ``TRAIN_BYTES`` bytes of it are read (its first text
+is always learnt, however long). More than ``MAX_LANGS`` languages are an
+error.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 languages without a known family form one of their own; with no labelled
-row everything is ``und``; repeated rows get equal answers.
+row everything is ``und``; a null ``doc_id`` may be learnt from; repeated rows
+get equal answers.
 """
 
 from __future__ import annotations
 
 import pickle
-import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quiver.llm.common import segment_ids, slices, words_of
+from quiver.llm.common import drawn, released, segment_ids, slices, within_bytes, words_of
 
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -49,7 +53,8 @@ _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in cod
 
 BUCKETS = 1 << 13
 PER_LANG = 500
-MAX_TRAIN_CHARS = 20_000
+TRAIN_BYTES = 16 << 20
+MAX_LANGS = 200
 STEPS, PENALTY = 150, 1e-3
 UNKNOWN = "und"
 
@@ -58,11 +63,49 @@ def family(lang: str) -> str:
     return _FAMILY_OF.get(lang.split("-")[0].lower(), lang)
 
 
-def _features(word: str) -> np.ndarray:
-    """Hash buckets of one word."""
-    marked = f"<{word}>"
-    grams = [marked[i:i + n] for n in (1, 2, 3, 4) for i in range(len(marked) - n + 1)]
-    return np.array([zlib.crc32(g.encode()) % BUCKETS for g in [*grams, f"={marked}"]], np.int64)
+@lru_cache(maxsize=1)
+def _is_letter() -> np.ndarray:
+    """For every code point: is it a letter?"""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, count=0x110000)
+
+
+def _features(vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(buckets, starts, letters)``: the hash buckets of word ``i``'s
+    n-grams and of the word itself are ``buckets[starts[i]:starts[i + 1]]``;
+    ``letters`` tells whether it has one."""
+    if not len(vocabulary):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, bool)
+    lower = pc.utf8_lower(vocabulary.cast(pa.large_string()))
+    edges = [pa.scalar(c, pa.large_string()) for c in ("<", ">", "")]
+    words = pc.binary_join_element_wise(edges[0], lower, *edges[1:])
+    points = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.asarray(pc.utf8_length(words), dtype=np.int64)
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    left = np.repeat(ends, sizes) - np.arange(len(points))
+    buckets, owners = [], []
+    with np.errstate(over="ignore"):
+        grams = np.zeros(len(points), np.uint64)
+        for n in range(1, 5):
+            following = np.zeros(len(points), np.uint64)
+            following[:max(0, len(points) - n + 1)] = points[n - 1:]
+            grams = (grams + following + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+            grams ^= grams >> np.uint64(29)
+            whole = left >= n
+            buckets.append((grams[whole] >> np.uint64(51)).astype(np.int64))
+            owners.append(owner[whole])
+        # The whole word: its characters weighted by powers of their place.
+        place = np.arange(len(points)) - np.repeat(ends - sizes, sizes)
+        weight = np.uint64(0xD6E8FEB86659FD93) ** place.astype(np.uint64)
+        own = np.add.reduceat(points * weight, ends - sizes)
+        own = (own ^ (own >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        buckets.append((own >> np.uint64(51)).astype(np.int64))
+        owners.append(np.arange(len(sizes)))
+    order = np.argsort(np.concatenate(owners), kind="stable")
+    counts = np.bincount(np.concatenate(owners), minlength=len(sizes))
+    letters = np.zeros(len(sizes), bool)
+    letters[owner[_is_letter()[points.astype(np.int64)]]] = True
+    return np.concatenate(buckets)[order], np.concatenate([[0], np.cumsum(counts)]), letters
 
 
 def _svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -84,13 +127,14 @@ def _svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def train(texts: pa.Array, langs: list[str]) -> dict:
     vocabulary, codes, starts = words_of(texts, lower=False)
-    words = [w.lower() for w in vocabulary.to_pylist()]
-    features = [_features(w) for w in words]
+    buckets, at, _ = _features(vocabulary)
     x = np.zeros((len(langs), BUCKETS), np.float32)
     for r in range(len(langs)):
-        own = codes[starts[r]:starts[r + 1]]
-        if len(own):
-            x[r] = np.bincount(np.concatenate([features[c] for c in own]), minlength=BUCKETS)
+        words, times = np.unique(codes[starts[r]:starts[r + 1]], return_counts=True)
+        if len(words):
+            size = at[words + 1] - at[words]
+            own = np.arange(size.sum()) + np.repeat(at[words] - np.cumsum(size) + size, size)
+            x[r] = np.bincount(buckets[own], weights=np.repeat(times, size), minlength=BUCKETS)
             x[r] /= x[r].sum()
     # Features are scaled to unit spread; the scale is folded into the weights.
     scale = 1 / (x.std(axis=0) + 1e-4)
@@ -147,16 +191,13 @@ def identify(model: dict, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     if not model:
         return out.tolist(), score
     vocabulary, codes, starts = words_of(texts, lower=False)
-    words = [w.lower() for w in vocabulary.to_pylist()]
     weights = model["weights"]
-    per_word = np.zeros((len(words), weights.shape[1]))
-    counts = np.zeros(len(words))
-    letters = np.zeros(len(words), bool)
-    for i, w in enumerate(words):
-        buckets = _features(w)
-        per_word[i] = weights[buckets].sum(axis=0)
-        counts[i] = len(buckets)
-        letters[i] = any(map(str.isalpha, w))
+    buckets, at, letters = _features(vocabulary)
+    counts = np.diff(at)
+    per_word = np.zeros((len(counts), weights.shape[1]))
+    if len(counts):
+        for k in range(weights.shape[1]):
+            per_word[:, k] = np.add.reduceat(weights[buckets, k], at[:-1])
     owner = segment_ids(starts)
     total = np.maximum(1, np.bincount(owner, weights=counts[codes], minlength=rows))
     margins = np.stack(
@@ -176,9 +217,10 @@ def identify(model: dict, texts: pa.Array) -> tuple[list[str], np.ndarray]:
 
 
 def _trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches)).combine_chunks().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
-    model = train(table.column("text").combine_chunks(), table.column("lang").to_pylist())
-    yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+    table = within_bytes(batches, "lang", TRAIN_BYTES)
+    if table.num_rows:
+        model = train(table.column("text").combine_chunks(), table.column("lang").to_pylist())
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
 
 def fit(docs: DataFrame, learn: Column | None = None) -> dict:
@@ -188,15 +230,14 @@ def fit(docs: DataFrame, learn: Column | None = None) -> dict:
     if learn is not None:
         usable = usable.where(learn)
     usable = usable.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    usable = usable.where(F.length("text") <= MAX_TRAIN_CHARS)
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     if not sizes:
         return {}
-    spread = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1_000_000))
-    keep = F.lit(False)
-    for r in sizes:
-        keep = keep | ((F.col("lang") == r["lang"]) & (spread < int(1_000_000 * min(1.0, PER_LANG / r["n"]))))
-    row = usable.where(keep).repartition(1).mapInArrow(_trainer, "model binary").first()
+    sample = drawn(usable, "lang", {r["lang"]: r["n"] for r in sizes}, PER_LANG, seed=5)
+    sample = sample.repartition(1).sortWithinPartitions("_mark", "lang", "text")
+    row = sample.mapInArrow(_trainer, "model binary").first()
     return pickle.loads(row["model"]) if row else {}
 
 
@@ -211,6 +252,7 @@ def identifier(spark, model: dict):
             more, sure = identify(shared.value, texts.slice(*part))
             langs += more
             scores += sure.tolist()
+        released()
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
     return F.arrow_udf(answer, "struct<lang: string, score: double>")
