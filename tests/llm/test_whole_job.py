@@ -26,10 +26,50 @@ def test_line_blocks_find_the_article_without_its_tags(spark):
         want = " ".join(unescape(re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1|br|div)\b[^>]*>", " ", body))).split())
         assert " ".join(main_text(page).split()) == want
         assert main_text(re.sub(r"</?article>", "", page)) == main_text(page)
-    # A long marked article: a far line of a few characters is beyond the dive.
+    # An article keeps all its lines, also short ones behind an aside.
     gap = "<aside>" + "<p>x</p>" * 4 + "</aside>"
     far = "<p>0</p>" + gap + "<p>" + "long text " * 30 + "</p><p>end</p>" + gap + "<p>9</p>"
-    assert main_text(f"<article>{far}</article><p>{'other ' * 50}</p>") == "long text " * 30 + "end"
+    assert main_text(f"<article>{far}</article><p>{'other ' * 50}</p>") == "0 " + "long text " * 30 + "end 9"
+
+
+def test_line_blocks_without_any_mark():
+    for page in _pages(SF):
+        bare = re.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", re.sub(r"</?article>", "", page))
+        assert main_text(bare) == main_text(page)
+
+
+def _pages(sf):
+    import pyarrow.parquet as pq
+
+    return pq.read_table(f"{sf}/pages.parquet")["html"].to_pylist()
+
+
+def test_names_of_several_words_empty_no_article():
+    text = "<p>" + "long text here " * 23 + "</p>"
+    want = ("long text here " * 23).strip()
+    for page in ("<article class='long-form post'>{}</article>", "<div class='layout with-sidebar'>{}</div>",
+                 "<div id='page' class='no-sidebar'>{}</div>", "<div class='sidebar'><article>{}</article></div>",
+                 "<body class='menu-open ad'>{}</body>"):
+        assert main_text(page.format(text)) == want, page
+    assert main_text(f"<p title=it's>first</p>{text}") == f"first {want}"
+    for part in ("<div class='ad-banner'>buy this now</div>", "<div class=sidebar>more</div>", "<ul role=navigation><li>x</ul>",
+                 "<div hidden>no</div>", "<div class='comments'><article><p>I think so too, and more so</p></article></div>",
+                 "<div style='display: none'>no</div>", "<DIV CLASS='Cookie-Notice'>we use them</DIV>"):
+        assert main_text(f"{text}{part}") == main_text(f"{part}{text}") == want, part
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    begin = time.process_time()
+    for bad in ('<p "', "<script ", "<p a='", '<p a="x', "<!--", "<svg>", "<p>x", "<", "</div>", "<li class=ad>"):
+        main_text(bad * (100_000 // len(bad)))
+    small = time.process_time() - begin
+    begin = time.process_time()
+    for bad in ('<p "', "<script ", "<p a='", '<p a="x', "<!--", "<svg>", "<p>x", "<", "</div>", "<li class=ad>"):
+        main_text(bad * (1_000_000 // len(bad)))
+    assert time.process_time() - begin < 40 * small + 1
+    assert main_text('<p "<p>text</p>') == "text" and main_text("<p>a</p><p b='x>c") == "a c"
 
 
 def test_masks_miss_no_accepted_pattern():
