@@ -1,8 +1,8 @@
 """Shards of near-equal bytes from a k-d tree over document metadata.
 
 Every distinct text is one weighted point; its coordinates are metadata of
-the text (bytes, code points, lines, checksum), so equal texts fall into one
-leaf. The tree starts with all points and splits each node at the weighted
+the text (bytes, code points, lines, mean line length), so equal texts fall
+into one leaf. The tree starts with all points and splits each node at the weighted
 median of its widest dimension (extent relative to the root's), until a leaf
 holds one shard's bytes. A node that still stands for an odd number of
 shards is split at that share instead of the half.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from quiver.llm.common import staged
 
 OUTPUT = ("size", "text_crc32", "shard", "slot")
-COORDS = ("_kd_bytes", "_kd_chars", "_kd_lines", "_kd_sum")
+COORDS = ("_kd_bytes", "_kd_chars", "_kd_lines", "_kd_line_chars")
 BINS = 1 << 14
 TOLERANCE = 0.001
 HEAVY = 0.01
@@ -49,14 +49,15 @@ ROWS_PER_BUCKET = 500
 
 def _measured(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
+    lines = (F.length(text) - F.length(F.translate(text, "\n", ""))).cast("bigint")
     docs = docs.drop(*OUTPUT)
     return docs.withColumns({
         "size": F.octet_length(text).cast("bigint") + 1,
         "text_crc32": F.crc32(text.cast("binary")),
         "_kd_bytes": F.octet_length(text).cast("bigint"),
         "_kd_chars": F.length(text).cast("bigint"),
-        "_kd_lines": (F.length(text) - F.length(F.translate(text, "\n", ""))).cast("bigint"),
-        "_kd_sum": F.crc32(text.cast("binary")),
+        "_kd_lines": lines,
+        "_kd_line_chars": F.floor(F.length(text) / (lines + 1)),
         # 62 bits, so that interval arithmetic stays within a BIGINT.
         "_kd_tie": F.shiftrightunsigned(F.xxhash64("text"), 2),
     })
@@ -170,6 +171,42 @@ def _room(load: list[float], light: float) -> list[float]:
     return [max(0.0, level - x) for x in load]
 
 
+def _grow(light: DataFrame, room: list[float], tolerance: float) -> tuple[list[list[tuple]], dict]:
+    """The tree over the ``light`` points whose leaves take the bytes of
+    ``room``: the splits ``(node, dimension, coordinate, tie)`` of each level,
+    and the shards ``(from, to)`` that each last node stands for."""
+    ranges = {1: (0, len(room))}  # node -> its shards
+    levels: list[list[tuple]] = []
+    scale: list[int] = []  # extents of the root
+    while any(b - a > 1 for a, b in ranges.values()):
+        at = _descend(light, levels)
+        found = at.groupBy("_kd_node").agg(
+            F.sum("_kd_weight").alias("w"), *[F.struct(F.min(c), F.max(c)).alias(c) for c in COORDS]
+        ).collect()
+        seen = {r["_kd_node"]: r for r in found}
+        searches = []
+        below = {}
+        for node, (a, b) in ranges.items():
+            if b - a == 1:
+                below[node] = (a, b)
+                continue
+            mid = (a + b) // 2
+            if node not in seen:  # no light points here: the leaf stays empty
+                below[node] = (a, a + 1)
+                continue
+            r = seen[node]
+            bounds = [tuple(r[c]) for c in COORDS]
+            scale = scale or [max(1, hi - lo) for lo, hi in bounds]
+            widest = max(range(len(COORDS)), key=lambda i: ((bounds[i][1] - bounds[i][0]) / scale[i], -i))
+            share = sum(room[a:mid]) / (sum(room[a:b]) or 1.0)
+            searches.append(_Search(node, widest, *bounds[widest], share * float(r["w"])))
+            below[2 * node], below[2 * node + 1] = (a, mid), (mid, b)
+        if searches:
+            levels.append(_split_level(at, searches, tolerance))
+        ranges = below
+    return levels, ranges
+
+
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
     """``docs`` plus ``size``, ``text_crc32``, ``shard`` and ``slot``.
 
@@ -198,35 +235,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
         light = points.join(_small(spark, [(t,) for t, _ in heavy], "_kd_tie bigint"), "_kd_tie", "left_anti")
     room = _room(load, total - sum(w for _, w in heavy))
 
-    ranges = {1: (0, shards)}  # node -> its shards
-    levels: list[list[tuple]] = []
-    scale: list[int] = []  # extents of the root
-    while any(b - a > 1 for a, b in ranges.values()):
-        at = _descend(light, levels)
-        found = at.groupBy("_kd_node").agg(
-            F.sum("_kd_weight").alias("w"), *[F.struct(F.min(c), F.max(c)).alias(c) for c in COORDS]
-        ).collect()
-        seen = {r["_kd_node"]: r for r in found}
-        searches = []
-        below = {}
-        for node, (a, b) in ranges.items():
-            if b - a == 1:
-                below[node] = (a, b)
-                continue
-            mid = (a + b) // 2
-            if node not in seen:  # no light points here: the leaf stays empty
-                below[node] = (a, a + 1)
-                continue
-            r = seen[node]
-            bounds = [tuple(r[c]) for c in COORDS]
-            scale = scale or [max(1, hi - lo) for lo, hi in bounds]
-            widest = max(range(len(COORDS)), key=lambda i: ((bounds[i][1] - bounds[i][0]) / scale[i], -i))
-            share = sum(room[a:mid]) / (sum(room[a:b]) or 1.0)
-            searches.append(_Search(node, widest, *bounds[widest], share * float(r["w"])))
-            below[2 * node], below[2 * node + 1] = (a, mid), (mid, b)
-        if searches:
-            levels.append(_split_level(at, searches, TOLERANCE * target))
-        ranges = below
+    levels, ranges = _grow(light, room, TOLERANCE * target)
     leaf_of = {node: a for node, (a, _) in ranges.items()}
 
     rows = _descend(measured, levels).join(
