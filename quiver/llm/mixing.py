@@ -20,6 +20,9 @@
    table; ``position`` orders a shard's rows at random (shuffle locally:
    sort within the shard).
 
+The sources are few next to the documents: one row of each is planned on the
+driver and broadcast, and more than ``MAX_SOURCES`` of them are an error.
+
 All randomness comes from hashes and one seeded generator: reruns agree.
 
 Defined cases: a null or empty text has size 0 and is drawn like any other
@@ -41,6 +44,7 @@ from pyspark.sql import functions as F
 from quiver.llm.common import WORD, staged
 
 MAX_BLOCKS = 32768
+MAX_SOURCES = 100_000
 # Documents per block at least, so that the block drawn in part can end near
 # its target.
 MIN_BLOCK_ROWS = 64
@@ -138,8 +142,9 @@ def plan_mix(
     measured = staged(sized.select("source", "doc_id", "size"), "mix-sizes")
     totals = measured.groupBy("source").agg(
         F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")
-    ).collect()
-    # One row per source; a mix names its sources, documents never come here.
+    ).limit(MAX_SOURCES + 1).collect()
+    if len(totals) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
     totals.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8")))
     sizes = [int(r["size"]) for r in totals]
     weights = [weight_cycle[i % len(weight_cycle)] for i in range(len(sizes))]
@@ -185,11 +190,13 @@ def plan_mix(
             plan, met["source"].eqNullSafe(F.col("_plan_source")) & (met["_mix_block"] == F.col("_plan_block")), "left"
         ).drop("_plan_source", "_plan_block")
 
-    chosen = _last_documents(planned(measured), listed, seed)
-    met = planned(sized).join(
-        F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_last_id")) & F.col("source").eqNullSafe(F.col("_last_source")), "left"
+    # A row per source: where its block drawn in part ends.
+    ends = F.broadcast(staged(_last_documents(planned(measured), listed, seed), "mix-ends"))
+    met = planned(sized).join(ends, F.col("source").eqNullSafe(F.col("_end_source")), "left")
+    taken = F.coalesce(_permuted(seed) <= F.col("_end_mark"), F.lit(False)) | (
+        F.coalesce("_end_nearest", F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("_end_id"))
     )
-    drawn = F.filter(F.coalesce("_mix_draws", F.array()), lambda d: ~d["part"] | F.col("_last_id").isNotNull())
+    drawn = F.filter(F.coalesce("_mix_draws", F.array()), lambda d: ~d["part"] | taken)
     return met.select(
         *base.columns, "size", "source_size", "target",
         F.transform(drawn, lambda d: F.struct(d["draw"].alias("draw"), d["shard"].alias("shard"))).alias("draws"),
@@ -208,8 +215,15 @@ def mix(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     )
 
 
+def _permuted(seed: int) -> Column:
+    """Order in which the documents of a block drawn in part are taken."""
+    return F.xxhash64("doc_id", F.lit(seed + 2))
+
+
 def _last_documents(planned: DataFrame, sources: list[_Source], seed: int) -> DataFrame:
-    """Documents taken from each source's block drawn in part: ``(_last_id, _last_source)``.
+    """Where each source's block drawn in part ends, a row per source:
+    ``_end_mark`` of the last document that fits in permuted order and, if
+    ``_end_nearest``, the document ``_end_id`` that is taken after it.
 
     One block a source, a 1 / blocks share of it. Documents are taken in
     permuted order while they fit; the one nearest to what is left may
@@ -220,18 +234,23 @@ def _last_documents(planned: DataFrame, sources: list[_Source], seed: int) -> Da
         [(s.name, float(s.rest)) for s in sources if s.rest > 0], "_rest_source string, _rest double"
     ))
     part = planned.where(F.exists(F.coalesce("_mix_draws", F.array()), lambda d: d["part"]))
-    part = part.groupBy("source", "doc_id").agg(F.sum("size").alias("size"))
+    part = part.groupBy("source", "doc_id").agg(F.sum("size").alias("size")).withColumn("mark", _permuted(seed))
     part = part.join(rest, part["source"].eqNullSafe(F.col("_rest_source")))
-    order = Window.partitionBy("source").orderBy(F.xxhash64("doc_id", F.lit(seed + 2)), "doc_id")
-    part = part.withColumn("cum", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    order = Window.partitionBy("source").orderBy("mark").rangeBetween(Window.unboundedPreceding, 0)
+    part = part.withColumn("cum", F.sum("size").over(order))
     fits = F.col("cum") <= F.col("_rest")
-    gap = part.groupBy("source").agg(
-        (F.first("_rest") - F.coalesce(F.max(F.when(fits, F.col("cum"))), F.lit(0))).alias("gap")
-    ).withColumnRenamed("source", "_gap_source")
-    over = part.where(~fits).join(gap, F.col("source").eqNullSafe(F.col("_gap_source")))
+    per = part.groupBy("source").agg(
+        F.max(F.when(fits, F.col("mark"))).alias("mark"),
+        (F.first("_rest") - F.coalesce(F.max(F.when(fits, F.col("cum"))), F.lit(0))).alias("gap"),
+    )
+    over = part.where(~fits).select("source", "doc_id", "size").join(
+        per.select(F.col("source").alias("_gap_source"), "gap"), F.col("source").eqNullSafe(F.col("_gap_source"))
+    )
     nearest = over.groupBy("source", "gap").agg(
         F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "doc_id")).alias("best")
-    ).where(F.col("best.off") < F.col("gap")).select(F.col("best.doc_id").alias("doc_id"), "source")
-    return part.where(fits).select("doc_id", "source").unionByName(nearest).select(
-        F.col("doc_id").alias("_last_id"), F.col("source").alias("_last_source")
+    ).where(F.col("best.off") < F.col("gap")).select(
+        F.col("source").alias("_near_source"), F.col("best.doc_id").alias("_end_id"), F.lit(True).alias("_end_nearest")
+    )
+    return per.join(nearest, F.col("source").eqNullSafe(F.col("_near_source")), "left").select(
+        F.col("source").alias("_end_source"), F.col("mark").alias("_end_mark"), "_end_id", "_end_nearest"
     )

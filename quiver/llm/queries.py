@@ -138,7 +138,75 @@ def op13_reversed_search(spark, sf_dir):
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _shrunk_sql(name: str, groups: str) -> str:
+    """CTEs ``name_s`` (strength of the prior) and ``name`` (posterior) of the
+    groups ``(..., n, good, prior)``."""
+    off = "(good / n - prior)"
+    return f"""
+        {name}_s AS (
+            SELECT CASE WHEN rho > 0 THEN least(greatest(1 / rho - 1, 2.0), 1000.0) ELSE 1000.0 END AS s FROM (
+                SELECT coalesce(sum(n * {off} * {off} / (prior * (1 - prior)) - 1) / nullif(sum(n - 1), 0), 0) AS rho
+                FROM {groups} WHERE n > 0 AND prior > 0 AND prior < 1
+            )
+        ), {name} AS (
+            SELECT *, s * prior + good AS a, s * (1 - prior) + n - good AS b FROM {groups}, {name}_s
+        )"""
+
+
 ORACLE_SQL = {
+    "op3_host_reputation": f"""
+        WITH read AS (
+            SELECT page_id, url, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+                   translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+            FROM pages
+        ), keyed AS (
+            SELECT *, nullif(regexp_extract(path, '^[^?#]*/[^/0-9?#]*([0-9]{{1,18}})[^/0-9?#]*/?$', 1), '')::BIGINT AS label_id,
+                   string_split(host, '.') AS labels
+            FROM read
+        ), known AS (
+            SELECT doc_id, (coalesce(quality, 1) = 1 AND coalesce(toxic, 0) = 0)::INT AS ok
+            FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL
+        ), counted AS (
+            SELECT host, any_value(labels) AS labels, count(ok)::DOUBLE AS n, coalesce(sum(ok), 0)::DOUBLE AS good
+            FROM keyed LEFT JOIN known ON doc_id = label_id GROUP BY host
+        ), depth AS (
+            SELECT *, CASE WHEN len(labels) > 2 AND length(labels[-1]) = 2
+                           AND labels[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') THEN 2 ELSE 1 END AS k
+            FROM counted
+        ), hosts AS (
+            SELECT host, n, good, array_to_string(labels[greatest(1, len(labels) - k + 1):], '.') AS suffix,
+                   array_to_string(labels[greatest(1, len(labels) - k):], '.') AS domain
+            FROM depth
+        ), share AS (SELECT coalesce(sum(good) / nullif(sum(n), 0), 0.5) AS prior, sum(n) AS all_n FROM hosts),
+        suffix_groups AS (
+            SELECT suffix, sum(n) AS n, sum(good) AS good, any_value(prior) AS prior FROM hosts, share GROUP BY suffix
+        ), {_shrunk_sql("suffixes", "suffix_groups")},
+        domain_groups AS (
+            SELECT h.domain, h.suffix, sum(h.n) AS n, sum(h.good) AS good, any_value(u.a / (u.a + u.b)) AS prior
+            FROM hosts h JOIN suffixes u ON u.suffix = h.suffix GROUP BY h.domain, h.suffix
+        ), {_shrunk_sql("domains", "domain_groups")},
+        host_groups AS (
+            SELECT h.host, h.n, h.good, d.a / (d.a + d.b) AS prior
+            FROM hosts h JOIN domains d ON d.domain = h.domain AND d.suffix = h.suffix
+        ), {_shrunk_sql("rated", "host_groups")},
+        bounds AS (
+            SELECT host, round(a / (a + b), 9) AS posterior_mean,
+                   round(a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 9) AS upper
+            FROM rated
+        ), rules(verdict, rule, rule_host, rule_path) AS (
+            VALUES {", ".join(f"('{v}', '{r}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}')" for v, r in RULES)}
+        ), fitting AS (
+            SELECT page_id, url, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+            FROM (SELECT DISTINCT page_id, url, host, path FROM read) r
+            JOIN rules ON (r.host = rule_host OR ends_with(r.host, '.' || rule_host)) AND starts_with(r.path, rule_path)
+            GROUP BY page_id, url
+        )
+        SELECT r.page_id, r.host, r.path, f.rule, posterior_mean, upper,
+               coalesce(f.verdict, CASE WHEN all_n > 0 AND upper < 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+        FROM read r JOIN bounds b ON b.host = r.host CROSS JOIN share
+        LEFT JOIN fitting f ON f.page_id IS NOT DISTINCT FROM r.page_id AND f.url = r.url
+    """,
     "op7_exact_stream": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,

@@ -12,7 +12,7 @@ from quiver.llm.licenses import scan
 from quiver.llm.mixing import fill_targets, mix, plan_mix, split_quotas
 from quiver.llm.queries import ORACLE_SQL, QUERIES
 from quiver.llm.spaced_seeds import decontaminate, leaks
-from quiver.plans.compare import compare, duckdb_connection
+from oracle_compare import compare, duckdb_connection
 
 SF = "/root/testdata/sf0.001"
 
@@ -89,6 +89,77 @@ def test_shards_are_even_gapless_and_keep_copies_together(spark, odd, none):
     assert kd_shards(docs, target_bytes=20_000).select("shard").distinct().count() > 2
 
 
+def test_tree_splits_at_weighted_medians_of_the_widest_dimension(spark):
+    import quiver.llm.kd_shards as module
+
+    rng = random.Random(5)
+    rows = [(i, "\n".join("w" * rng.randint(1, 60) for _ in range(rng.randint(1, 12)))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    points = module._measured(docs).groupBy(*module.COORDS, "_kd_tie").agg(F.sum("size").alias("_kd_weight")).cache()
+    data = [tuple(r) for r in points.select(*module.COORDS, "_kd_tie", "_kd_weight").collect()]
+    total = sum(p[-1] for p in data)
+    tolerance = module.TOLERANCE * total / 8
+    levels, ranges = module._grow(points, [total / 8] * 8, tolerance)
+    assert sorted(ranges.values()) == [(k, k + 1) for k in range(8)]
+    spans = [max(p[d] for p in data) - min(p[d] for p in data) for d in range(4)]
+    nodes = {1: data}
+    for level in levels:
+        for node, dim, at, tie in level:
+            inside = nodes.pop(node)
+            extents = [(max(p[d] for p in inside) - min(p[d] for p in inside)) / spans[d] for d in range(4)]
+            # A metadata dimension, and the widest; the hash only splits ties.
+            assert dim < 4 and extents[dim] == max(extents)
+            left = [p for p in inside if (p[dim], p[4]) <= (at, tie)]
+            half = sum(p[-1] for p in inside) / 2
+            assert abs(sum(p[-1] for p in left) - half) <= tolerance + max(p[-1] for p in inside)
+            nodes[2 * node], nodes[2 * node + 1] = left, [p for p in inside if (p[dim], p[4]) > (at, tie)]
+    # The median is the exact one up to the tolerance, tied coordinates included.
+    assert len(nodes) == 8 and sum(map(len, nodes.values())) == len(data)
+
+
+def test_a_group_heavier_than_a_shard_is_divided(spark):
+    docs = spark.range(2000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") < 1200, F.lit("one and the same text")).otherwise(F.concat(F.lit("text "), F.repeat(F.col("id").cast("string"), 4))).alias("text"),
+    )
+    per = kd_shards(docs, 8).groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.max("slot").alias("m")).collect()
+    assert len(per) == 8 and all(r.n == r.m + 1 for r in per)
+    assert max(r.b for r in per) <= 1.1 * min(r.b for r in per)
+
+
+def test_mix_columns_equal_brute_force(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "source", "text").collect()
+    import re
+
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in rows}
+    per = defaultdict(int)
+    for r in rows:
+        per[r.source] += size[r.doc_id]
+    names = sorted(per, key=lambda s: (s is None, (s or "").encode()))
+    targets = dict(zip(names, fill_targets([per[s] for s in names], [(3, 1, 2)[i % 3] for i in range(len(names))], 1.5, 2)))
+    source, got = {r.doc_id: r.source for r in rows}, defaultdict(int)
+    out = QUERIES["op2_hypergeometric_mix"](spark, "/root/testdata/sf0.01").collect()
+    assert len(out) == len(rows)
+    for r in out:
+        s = source[r.doc_id]
+        assert (r.size, r.source_size) == (size[r.doc_id], per[s]) and r.target == pytest.approx(targets[s])
+        assert r.taken <= 2 * r.size
+        got[s] += r.taken
+    assert all(abs(got[s] - targets[s]) <= 0.01 * targets[s] + 1 for s in names)
+
+
+def test_mix_of_one_source_per_row(spark, monkeypatch):
+    import quiver.llm.mixing as module
+
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('s', id) AS source", "repeat('w ', cast(id % 9 AS int)) AS text")
+    out = plan_mix(docs, weight_cycle=(3.0, 1.0, 2.0), share=1.5).collect()
+    assert len(out) == 400 and all(r.size * len(r.draws) <= 2 * r.size for r in out)
+    assert all(abs(r.size * len(r.draws) - r.target) <= r.size / 2 + 1e-9 for r in out)
+    monkeypatch.setattr(module, "MAX_SOURCES", 399)
+    with pytest.raises(ValueError):
+        plan_mix(docs)
+
+
 def test_leaks_match_brute_force_and_tolerate_substitutions(spark, odd, none):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(400)]
