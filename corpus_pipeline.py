@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiver.llm import mixing, toxicity
-from quiver.llm.common import drop_rows_with, staged, table
+from quiver.llm.common import drop_rows_with, staged, table, text_key, unstaged
 from quiver.llm.kd_shards import kd_shards
 from quiver.llm.mixing import mix
 from quiver.llm.near_dup import near_duplicates
@@ -31,19 +31,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates (five-word shingles, 0.8)."""
-    found = staged(near_duplicates(docs, width=5, percent=80), "near-verdicts")
-
-    def key(column):
-        return F.struct(F.xxhash64(column).alias("a"), F.col(column).alias("b"))
-
-    rest = drop_rows_with(docs, found.where("NOT kept").select(key("doc_id").alias("_near_key")), key("doc_id"))
-    # Rows that repeat an id are copies of one node: one of them stays.
-    ids = found.where("kept AND doc_id IS NOT NULL")
-    repeated = staged(ids.groupBy("doc_id").count().where("count > 1").select(key("doc_id").alias("_near_key")), "repeated")
+    found = staged(near_duplicates(docs, width=5, percent=80, keyed=True), "near-verdicts")
+
+    def key(doc_id, text):
+        # Rows are known by id and text: ids may be null or repeat.
+        name = F.coalesce(doc_id.cast("string"), F.lit(""))
+        return F.struct(F.xxhash64(name, text["a"], text["b"]).alias("a"), name.alias("id"), text.alias("text"))
+
+    known, own = key(F.col("doc_id"), F.col("text_key")), key(F.col("doc_id"), text_key())
+    counted = staged(
+        found.groupBy(known.alias("_near_key")).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"), F.min("kept").alias("all")),
+        "near-keys",
+    )
+    rest = drop_rows_with(docs, counted.where("NOT kept").select("_near_key"), own)
+    # Rows equal in id and text, of which some go: one stays.
+    repeated = staged(counted.where("kept AND NOT all").select("_near_key"), "near-repeated")
     if repeated.isEmpty():
         return rest
-    once = drop_rows_with(rest, repeated, key("doc_id"))
-    again = rest.withColumn("_near_key", key("doc_id")).join(repeated, "_near_key", "left_semi").dropDuplicates(["doc_id"])
+    once = drop_rows_with(rest, repeated, own)
+    again = rest.withColumn("_near_key", own).join(repeated, "_near_key", "left_semi").dropDuplicates(["_near_key"])
     return once.unionByName(again.select(*docs.columns))
 
 
@@ -81,6 +87,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for at, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if at:
+            unstaged(before)
     return STAGES[-1][1](spark, docs, sf_dir)
