@@ -8,10 +8,11 @@
    member is paired with the bucket's smallest member only. Verified pairs
    give components; a bucket whose members all fell into one component is
    done. In what is left, the members outside the bucket's largest component
-   are compared with all others, in blocks of ``BLOCK`` rows that are dealt
-   to tasks; only pairs that survive the comparison leave a block. So a large
-   group of near copies costs a star per band, not all of its pairs, and no
-   bucket is capped.
+   are compared with all others, in blocks of about ``BLOCK`` rows and
+   ``BLOCK_SHINGLES`` shingles that are dealt to tasks and hold the rows'
+   texts; survivors are confirmed there and only links leave a block. So a
+   large group of near copies costs a star per band, not all of its pairs, and
+   no bucket is capped.
 3. *Verification.* A pair's minhashes are compared ``BATCH`` at a time; with a
    uniform prior, it is pruned as soon as the posterior probability of a
    similarity of ``threshold`` or more falls below ``miss``. Survivors are
@@ -53,7 +54,7 @@ from quiver.llm.components import components
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 BATCH = 40
-BLOCK = 256
+BLOCK, BLOCK_SHINGLES = 256, 1 << 19
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SIGNATURES = "doc_id bigint, ka bigint, kb bigint, n int, set_key binary, bands array<bigint>, minhashes binary"
@@ -197,9 +198,33 @@ def _bayes(limits: list[tuple[int, int]]):
     return prune
 
 
-def _block(limits: list[tuple[int, int]], percent: int):
-    """Compare a block of a bucket's outsiders with a block of its members."""
+def _similar(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs ``(left[i], right[j])`` have 100 * intersection >=
+    percent * union; ``i`` ascending."""
+    keep = np.zeros(len(i), bool)
+    for x in np.unique(i):
+        at = np.flatnonzero(i == x)
+        for k in at:
+            own, other = left[x], right[j[k]]
+            place = np.minimum(np.searchsorted(own, other), len(own) - 1)
+            both = int((own[place] == other).sum())
+            keep[k] = 100 * both >= percent * (len(own) + len(other) - both)
+    return keep
+
+
+def _sets_of(texts: pa.ChunkedArray, at: np.ndarray, width: int) -> dict[int, np.ndarray]:
+    """Shingle sets of the rows ``at``, a slice of their texts at a time."""
+    chosen = texts.combine_chunks().take(pa.array(at))
+    sets: list[np.ndarray] = []
+    for part in slices(chosen):
+        sets += shingle_sets(chosen.slice(*part), width)
+    return dict(zip(at.tolist(), sets))
+
+
+def _block(limits: list[tuple[int, int]], width: int, percent: int):
+    """Links between a block of a bucket's outsiders and a block of its members."""
     def compare(rows: pa.Table) -> pa.Table:
+        key = np.int64(rows.column("key")[0].as_py())
         outside, inside = (rows.filter(rows.column(c)) for c in ("outside", "inside"))
         a, b = (np.asarray(t.column("id")) for t in (outside, inside))
         ca, cb = (np.asarray(t.column("component")) for t in (outside, inside))
@@ -207,9 +232,19 @@ def _block(limits: list[tuple[int, int]], percent: int):
         apart = ca[:, None] != cb[None, :]
         sized = 100 * np.minimum(na[:, None], nb[None, :]) >= percent * np.maximum(na[:, None], nb[None, :])
         i, j = np.nonzero(apart & sized)
+        if len(i):
+            # A pair that shares several bands is compared under the first of them.
+            bands = [np.asarray(t.column("bands").combine_chunks().flatten()).reshape(-1, BANDS) for t in (outside, inside)]
+            first = (bands[0][i] == bands[1][j]).argmax(axis=1)
+            mine = bands[0][i, first] == key
+            i, j = i[mine], j[mine]
         if len(i):
             alive = _survivors(_matrix(outside.column("minhashes")), _matrix(inside.column("minhashes")), i, j, limits)
             i, j = i[alive], j[alive]
+        if len(i):
+            left, right = (_sets_of(t.column("text"), np.unique(at), width) for t, at in ((outside, i), (inside, j)))
+            keep = _similar(left, right, i, j, percent)
+            i, j = i[keep], j[keep]
         x, y = a[i], b[j]
         return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
     return compare
@@ -247,38 +282,47 @@ def _likely(pairs: DataFrame, signed: DataFrame, limits) -> DataFrame:
     return met.select("a", "b", "ma", "mb").mapInArrow(_bayes(limits), _PAIRS)
 
 
+def _texts_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(id, text)`` of the classes ``ids``."""
+    keys = staged(ids.distinct().join(classes.select("id", "ka", "kb"), "id"), "near-text-keys")
+    # Copies of a text are one row before they are joined.
+    texts = _of(keys.select("ka"), docs.select("ka", "kb", "text"), "ka").groupBy("ka", "kb").agg(F.first("text").alias("text"))
+    return keys.join(texts, ["ka", "kb"]).select("id", "text")
+
+
 def _confirmed(likely: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``likely`` pairs whose full shingle sets are similar."""
-    likely = staged(likely.distinct(), "near-likely")
-    ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    keys = staged(ids.join(classes.select("id", "ka", "kb"), "id"), "near-text-keys")
-    # Copies of a text are one row before they meet the pairs.
-    texts = _of(keys.select("ka"), docs.select("ka", "kb", "text"), "ka").groupBy("ka", "kb").agg(F.first("text").alias("text"))
-    texts = keys.join(texts, ["ka", "kb"]).select("id", "text")
+    likely = staged(likely, "near-likely")
+    texts = _texts_of(likely.select(F.explode(F.array("a", "b")).alias("id")), classes, docs)
     met = likely.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     links = staged(met.select("a", "b", "ta", "tb").mapInArrow(_exact(width, percent), _PAIRS), "near-links")
-    unstaged(likely, keys)
+    unstaged(likely)
     return links
 
 
-def _across(members: DataFrame, signed: DataFrame, limits, percent: int) -> DataFrame:
-    """Likely pairs between different components of a bucket; ``members``:
+def _across(
+    members: DataFrame, signed: DataFrame, classes: DataFrame, docs: DataFrame, limits, width: int, percent: int
+) -> DataFrame:
+    """Links between different components of a bucket; ``members``:
     ``(key, id, n, component)``.
 
     Outsiders (all but the bucket's largest component) meet all members,
     block by block; a row is in a cell once, whether it is there as an
     outsider, as a member or as both.
     """
-    per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"))
-    open_ = staged(
-        per.groupBy("key").agg(
-            F.sum("k").alias("size"), F.max(F.struct("k", "component")).alias("most"), F.count(F.lit(1)).alias("parts")
-        ).where("parts > 1").select(
-            "key", F.col("most.component").alias("main"),
-            F.ceil(F.col("size") / BLOCK).cast("int").alias("m_blocks"),
-            F.ceil((F.col("size") - F.col("most.k")) / BLOCK).cast("int").alias("o_blocks"),
-        ), "near-open",
-    )
+    per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("shingles"))
+
+    def blocks(rows, shingles):
+        return F.ceil(F.greatest(rows / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+
+    found = per.groupBy("key").agg(
+        F.sum("k").alias("size"), F.sum("shingles").alias("shingles"), F.count(F.lit(1)).alias("parts"),
+        F.max(F.struct("k", "component", "shingles")).alias("most"),
+    ).where("parts > 1")
+    open_ = staged(found.select(
+        "key", F.col("most.component").alias("main"), blocks(F.col("size"), F.col("shingles")).alias("m_blocks"),
+        blocks(F.col("size") - F.col("most.k"), F.col("shingles") - F.col("most.shingles")).alias("o_blocks"),
+    ), "near-open")
     rows = staged(_of(open_.select("key"), members, "key").join(open_, "key"), "near-open-rows")
     own_m = F.pmod(F.xxhash64("id"), F.col("m_blocks")).cast("int")
     own_o = F.when(F.col("component") != F.col("main"), F.pmod(F.xxhash64("id"), F.col("o_blocks")).cast("int"))
@@ -286,18 +330,20 @@ def _across(members: DataFrame, signed: DataFrame, limits, percent: int) -> Data
     as_outsider = F.when(F.col("ob").isNotNull(), F.transform(
         F.sequence(F.lit(0), F.col("m_blocks") - 1), lambda m: F.struct(F.col("ob").alias("ob"), m.alias("mb"))
     )).otherwise(F.array().cast("array<struct<ob:int,mb:int>>"))
-    dealt = rows.withColumn("mb", own_m).withColumn("ob", own_o).select(
-        "key", "id", "n", "component", F.col("mb").alias("own_m"), F.col("ob").alias("own_o"),
+    details = _of(rows.select("id"), signed.select("id", "bands", "minhashes"), "id").join(
+        _texts_of(rows.select("id"), classes, docs), "id"
+    )
+    dealt = rows.join(details, "id").withColumn("mb", own_m).withColumn("ob", own_o).select(
+        "key", "id", "n", "component", "bands", "minhashes", "text", F.col("mb").alias("own_m"), F.col("ob").alias("own_o"),
         F.explode(F.array_union(as_member, as_outsider)).alias("cell"),
     ).select(
         "key", "cell.*", "id", "n", "component", (F.col("cell.mb") == F.col("own_m")).alias("inside"),
-        F.coalesce(F.col("cell.ob") == F.col("own_o"), F.lit(False)).alias("outside"),
+        F.coalesce(F.col("cell.ob") == F.col("own_o"), F.lit(False)).alias("outside"), "bands", "minhashes", "text",
     )
-    blocks = dealt.join(_of(rows.select("id"), signed.select("id", "minhashes"), "id"), "id")
-    found = blocks.groupBy("key", "ob", "mb").applyInArrow(_block(limits, percent), _PAIRS)
-    found = staged(found.distinct(), "near-across")
+    links = dealt.groupBy("key", "ob", "mb").applyInArrow(_block(limits, width, percent), _PAIRS)
+    links = staged(links.distinct(), "near-across")
     unstaged(open_, rows)
-    return found
+    return links
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = 1e-6, keyed: bool = False) -> DataFrame:
@@ -347,15 +393,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
         "key", "id", "n", F.coalesce("component", "id").alias("component")
     ), "near-labelled")
     unstaged(crowded)
-    across = _across(labelled, signed, limits, percent)
-    rest = _confirmed(across, classes, docs, width, percent)
+    rest = _across(labelled, signed, classes, docs, limits, width, percent)
     names = grouped.select("node", "component")
     joined = staged(
         rest.join(names.toDF("a", "ca"), "a", "left").join(names.toDF("b", "cb"), "b", "left")
         .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), "near-rest-links",
     )
     merged = components(joined)
-    unstaged(labelled, across, rest, joined)
+    unstaged(labelled, rest, joined)
 
     # Each class with its component, then the component's first row.
     named = classes.join(grouped.toDF("id", "c1"), "id", "left").withColumn("c1", F.coalesce("c1", "id"))
