@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from quiver.operators.edges import weighted_edges
 from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, grid_join, hot_products, resolve_strategy
 from quiver.operators.numbering import written
+from quiver.operators.triangles import hot_centres, loop_pairs, loops_of, oriented_edges, simple_cycles
 
 # Paths through one user that a task makes before that user is split.
 TARGET_PATHS = 4_000_000
 
-# Bits of the prefilter of closed paths: 64 in a word, at most so many words
-# are broadcast.
+# Default of a parameter of closed paths that is no longer used.
 FILTER_WORDS = 1 << 21
 
 
@@ -88,25 +88,6 @@ def two_paths_nested(
     )
 
 
-def _may_close(paths: DataFrame, weighted: DataFrame, rows: int, words: int) -> DataFrame:
-    """Paths whose closing edge passes a one-hash Bloom filter: a bit per
-    slot of the pair ``(dst, src)``, 64 in a word. At most ``words`` words are
-    broadcast, so they are few whatever the graph; with about eight bits an
-    edge one path in eight passes by chance, with fewer bits more pass."""
-    words = min(words, max(1, -(-rows // 8)))
-    slots = F.lit(64 * words)
-
-    def slot(start: str, end: str) -> Column:
-        return F.pmod(F.xxhash64(start, end), slots)
-
-    bits = weighted.select(slot("src", "dst").alias("slot")).select(
-        F.expr("slot div 64").alias("word"), F.expr("shiftleft(1L, cast(slot % 64 AS int))").alias("bit")
-    ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    marked = paths.withColumn("slot", slot("dst", "src")).withColumn("word", F.expr("slot div 64"))
-    passed = marked.join(F.broadcast(bits), "word").where(F.expr("shiftright(bits, cast(slot % 64 AS int)) & 1L = 1"))
-    return passed.select(*paths.columns)
-
-
 def closed_paths(
     edges: DataFrame, max_id: int | None = None, strategy: str = "auto", target_paths: int = TARGET_PATHS,
     filter_words: int = FILTER_WORDS,
@@ -114,14 +95,31 @@ def closed_paths(
     """``(src, mid, dst)`` of the two-paths that an edge ``dst -> src``
     closes: the paths are a bag, the closing edges a set (a left semi join).
 
-    Paths that cannot close are dropped by a broadcast bit filter in the
-    stage that makes them, so only likely ones are shuffled to the semi join.
-    ``filter_words=0`` shuffles all of them.
+    A closed path and its closing edge are a cycle, and the three paths along
+    a cycle all close. So each cycle is found once (see
+    :mod:`quiver.operators.triangles`) and gives its paths; paths that do not
+    close are never made. ``target_paths``: centres of more wedges are split.
+    ``filter_words`` is kept for callers: there are no paths left to filter.
     """
-    weighted = _weighted(edges, max_id)
-    paths = _path_join(weighted, strategy, target_paths)
-    if filter_words:
-        paths = _may_close(paths, weighted, weighted.count(), filter_words)
-    closing = weighted.select(F.col("src").alias("dst"), F.col("dst").alias("src"))
-    closed = paths.join(closing, ["src", "dst"], "left_semi")
-    return _copied(closed, F.col("src"), F.col("mid"), F.col("dst"))
+    oriented, rows, hot = oriented_edges(edges, max_id)
+    plan = resolve_strategy(strategy, oriented, known_rows=rows)
+    centres = None
+    if plan.strategy != "broadcast":
+        centres = hot_centres(oriented, "degree", rows, target_paths, DEFAULT_BROADCAST_MAX_ROWS)
+
+    def along(cycles: DataFrame, a: str, b: str, c: str, *weights: str) -> DataFrame:
+        """The three paths along each cycle ``a -> b -> c -> a``."""
+        w_ab, w_bc, w_ca = (F.col(w) for w in weights)
+        turns = ((a, b, c, w_ab * w_bc), (b, c, a, w_bc * w_ca), (c, a, b, w_ca * w_ab))
+        paths = [
+            F.struct(F.col(x).alias("src"), F.col(y).alias("mid"), F.col(z).alias("dst"), copies.alias("copies"))
+            for x, y, z, copies in turns
+        ]
+        return cycles.select(F.explode(F.array(*paths)).alias("p")).select("p.*")
+
+    closed = along(simple_cycles(oriented, "degree", plan, hot, centres), "a", "b", "c", "w_ab", "w_bc", "w_ca")
+    closed = closed.unionByName(along(loop_pairs(oriented, plan), "x", "x", "y", "w_xx", "w_xy", "w_yx"))
+    alone = loops_of(oriented).select(
+        F.col("x").alias("src"), F.col("x").alias("mid"), F.col("x").alias("dst"), (F.col("w_xx") * F.col("w_xx")).alias("copies")
+    )
+    return _copied(closed.unionByName(alone), F.col("src"), F.col("mid"), F.col("dst"))

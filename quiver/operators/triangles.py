@@ -13,11 +13,13 @@ Plan (one write of the oriented edge table, then one lazy final aggregate):
 2. Rank users by ``(degree, id)`` and enumerate every cycle on three distinct
    users exactly once, from its lowest-ranked user ``a``: join ``a``'s
    out-edges to higher-ranked users with ``a``'s in-edges from higher-ranked
-   users (the wedge ``c -> a -> b``), then probe the closing edge ``b -> c``
-   on its two-column key. Under a degree order a user has at most
-   ``sqrt(2 * edges)`` higher-ranked neighbours, so no join key fans out
-   more than that however large a hub is; a centre with many wedges is cut
-   into a grid of sub-keys.
+   users (the wedge ``c -> a -> b``), then look for the closing edge ``b -> c``.
+   Shuffled, the out-neighbours go to ``c`` as sorted lists and are intersected
+   with the in-neighbours of ``c`` (:mod:`quiver.operators.cycles`); with a
+   broadcast table the wedges probe it on its two-column key. Under a degree
+   order a user has at most ``sqrt(2 * edges)`` higher-ranked neighbours, so no
+   join key fans out more than that however large a hub is; a centre with many
+   wedges is cut into a grid of sub-keys.
 3. Add the mode's weight summed over the cycle's three rotations.
 4. With self-loops allowed, add the degenerate cycles: a loop alone
    (``a -> a``, one rotation) and a loop plus a 2-cycle (``x -> x``,
@@ -31,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quiver.functions.weights import check_mode, loop_weight, rotation_sum
+from quiver.operators.cycles import LIST_LENGTH, closed_wedges, list_parts, neighbour_lists
 from quiver.operators.edges import weighted_edges
 from quiver.operators.joins import (
     DEFAULT_BROADCAST_MAX_ROWS,
@@ -41,6 +44,7 @@ from quiver.operators.joins import (
     resolve_strategy,
     salted_join,
 )
+from quiver.operators.numbering import written
 from quiver.session import checkpoint_dir, staging_path
 
 ORDERS = ("degree", "id")
@@ -81,6 +85,8 @@ def _oriented(
         .groupBy("node")
         .agg(F.count(F.lit(1)).alias("deg"))
     )
+    # Read up to four times below, and a row per user: counted once.
+    degree = written(degree, "triangle-degrees")
     deg_src = degree.select(F.col("node").alias("src"), F.col("deg").alias("deg_src"))
     deg_dst = degree.select(F.col("node").alias("dst"), F.col("deg").alias("deg_dst"))
     if hot_rows is None:
@@ -112,7 +118,7 @@ def _pair_salts(deg_b: Column, deg_c: Column, hot_rows: int | None) -> Column:
     return F.when(smaller > hot_rows, F.ceil(smaller / hot_rows)).otherwise(1).cast("int")
 
 
-def _hot_centres(
+def hot_centres(
     oriented: DataFrame, order: str, edges: int, target_wedges: int, max_keys: int
 ) -> DataFrame | None:
     """Centres ``a`` with more than ``target_wedges`` wedges, and their parts
@@ -129,63 +135,115 @@ def _hot_centres(
     return hot_products(per_centre, "a", target_wedges, max_keys)
 
 
-def _simple_cycles(
-    oriented: DataFrame, mode: str, plan: JoinPlan, hot_rows: int | None = None, hot_centres: DataFrame | None = None
-) -> DataFrame:
-    """Contribution of cycles on three distinct users, one row per cycle.
+def _probed_cycles(oriented: DataFrame, plan: JoinPlan) -> DataFrame:
+    """Cycles on three users by wedges that probe a broadcast edge table."""
+    out_a = oriented.where(F.col("up")).select(
+        F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w_ab")
+    )
+    in_a = oriented.where(~F.col("up")).select(
+        F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca")
+    )
+    closing = oriented.where(F.col("up").isNotNull()).select(
+        F.col("src").alias("b"), F.col("dst").alias("c"), F.col("w").alias("w_bc")
+    )
+    return out_a.join(plan.side(in_a), "a").join(plan.side(closing), ["b", "c"])
+
 
-    The wedges of each of ``hot_centres`` are made in a grid of sub-keys.
+def wedges_of(
+    oriented: DataFrame, lists: DataFrame, plan: JoinPlan, hot_rows: int | None = None, hot_centres: DataFrame | None = None
+) -> DataFrame:
+    """The wedges ``c -> a -> b`` as ``(c, salt, a, w_ca, ids, ws)``, a row per
+    edge ``c -> a`` and list of out-neighbours of ``a`` (``lists (a, part, ids, ws)``).
 
-    With ``hot_rows``, the wedges of a hub pair ``(b, c)`` are spread over
-    several sub-keys by a hash of ``a``, and that pair's single closing edge
-    is replicated once per sub-key, so one pair never lands in one task.
+    The wedges of each of ``hot_centres`` are made in a grid of sub-keys. With
+    ``hot_rows``, the lists that meet at a hub ``c`` are spread over sub-keys.
     """
-    out_a = oriented.where(F.col("up")).select(
-        F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w_ab"),
-        F.col("deg_dst").alias("deg_b"),
-    )
     in_a = oriented.where(~F.col("up")).select(
-        F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca"),
-        F.col("deg_src").alias("deg_c"),
+        F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca"), F.col("deg_src").alias("deg_c")
     )
     if hot_centres is None:
-        met = out_a.join(plan.side(in_a), "a")
+        met = in_a.join(plan.side(lists), "a")
     else:
-        met = grid_join(out_a, in_a, "a", "b", "c", hot_centres, plan)
-    wedges = met.select(
-        "a", "b", "c", "w_ab", "w_ca",
-        F.pmod(F.xxhash64("a"), _pair_salts(F.col("deg_b"), F.col("deg_c"), hot_rows))
-        .cast("int")
-        .alias("salt"),
-    )
-    closing = plan.side(
-        oriented.where(F.col("up").isNotNull()).select(
-            F.col("src").alias("b"), F.col("dst").alias("c"), F.col("w").alias("w_bc"),
-            F.explode(
-                F.sequence(F.lit(0), _pair_salts(F.col("deg_src"), F.col("deg_dst"), hot_rows) - 1)
-            ).alias("salt"),
-        )
-    )
-    cycles = wedges.join(closing, ["b", "c", "salt"])
-    return cycles.select(rotation_sum(mode, F.col("w_ab"), F.col("w_bc"), F.col("w_ca")).alias("c"))
+        met = grid_join(in_a, lists, "a", "c", "part", hot_centres, plan)
+    salt = F.pmod(F.xxhash64("a"), _pair_salts(F.col("deg_c"), F.col("deg_c"), hot_rows))
+    return met.select("c", salt.cast("int").alias("salt"), "a", "w_ca", "ids", "ws")
 
 
-def _loop_cycles(oriented: DataFrame, mode: str, plan: JoinPlan) -> DataFrame:
-    """Contribution of cycles through a self-loop."""
-    loops = oriented.where(F.col("up").isNull()).select(
-        F.col("src").alias("x"), F.col("w").alias("w_xx")
-    )
+def at_salts(closing: DataFrame, hot_rows: int | None) -> DataFrame:
+    """``closing (c, deg_c, ids, ws)`` at every sub-key of its user ``c``."""
+    salts = _pair_salts(F.col("deg_c"), F.col("deg_c"), hot_rows)
+    return closing.select("c", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), "ids", "ws")
+
+
+def _longest(edges: DataFrame, *ends: str) -> int:
+    """Most edges that a user has at one of ``ends``."""
+    return max(edges.groupBy(end).count().agg(F.max("count")).first()[0] or 1 for end in ends)
+
+
+def simple_cycles(
+    oriented: DataFrame, order: str, plan: JoinPlan, hot_rows: int | None = None, hot_centres: DataFrame | None = None,
+    length: int = LIST_LENGTH,
+) -> DataFrame:
+    """``(a, b, c, w_ab, w_bc, w_ca)`` of the cycles on three distinct users,
+    one row per cycle."""
+    if plan.strategy == "broadcast":
+        # Its tasks follow the scan, not the keys; the proven row count holds
+        # for the sides as they are, without copies.
+        return _probed_cycles(oriented, plan)
+    simple = oriented.where(F.col("up").isNotNull())
+    if order == "degree":
+        out_parts, in_parts = list_parts(F.col("deg_src"), length), list_parts(F.col("deg_dst"), length)
+    else:
+        out_parts = in_parts = list_parts(F.lit(_longest(simple, "src", "dst")), length)
+    lists = neighbour_lists(oriented.where("up"), "src", "dst", out_parts).withColumnRenamed("src", "a")
+    closing = neighbour_lists(simple, "dst", "src", in_parts, "deg_dst")
+    closing = closing.withColumnRenamed("dst", "c").withColumnRenamed("deg_dst", "deg_c")
+    return closed_wedges(wedges_of(oriented, lists, plan, hot_rows, hot_centres), at_salts(closing, hot_rows))
+
+
+def loops_of(oriented: DataFrame) -> DataFrame:
+    """``(x, w_xx)`` of the self-loops."""
+    return oriented.where(F.col("up").isNull()).select(F.col("src").alias("x"), F.col("w").alias("w_xx"))
+
+
+def loop_pairs(oriented: DataFrame, plan: JoinPlan) -> DataFrame:
+    """``(x, y, w_xx, w_xy, w_yx)``: a self-loop and a 2-cycle through its user."""
     simple = oriented.where(F.col("up").isNotNull())
-    alone = loops.select(loop_weight(mode, F.col("w_xx")).alias("c"))
     out_x = simple.select(F.col("src").alias("x"), F.col("dst").alias("y"), F.col("w").alias("w_xy"))
     back = plan.side(
         simple.select(F.col("src").alias("y"), F.col("dst").alias("x"), F.col("w").alias("w_yx"))
     )
-    with_two_cycle = plan.side(loops).join(out_x, "x").join(back, ["x", "y"])
-    paired = with_two_cycle.select(
-        rotation_sum(mode, F.col("w_xx"), F.col("w_xy"), F.col("w_yx")).alias("c")
-    )
-    return alone.unionByName(paired)
+    return plan.side(loops_of(oriented)).join(out_x, "x").join(back, ["x", "y"])
+
+
+def oriented_edges(
+    edges: DataFrame, max_id: int | None = None, allow_loops: bool = True, order: str = "degree",
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, hot_rows: int = 1_000_000,
+) -> tuple[DataFrame, int, int | None]:
+    """The oriented edge table (see :func:`_oriented`), its exact row count,
+    and the edges beyond which a user is split (None: no user has so many)."""
+    checkpoint_dir(edges.sparkSession)
+    # The input is read once: the weighted edges are cached while the
+    # oriented table is built from them.
+    weighted = weighted_edges(edges, max_id, allow_loops).persist(StorageLevel.MEMORY_AND_DISK)
+    distinct_edges = weighted.count()
+    # At most 2 * edges / hot users have more than hot edges. The threshold
+    # rises with the table, so that this list always fits the broadcast bound.
+    hot = max(hot_rows, -(-2 * distinct_edges // max(1, broadcast_max_rows)))
+    # No user has more edges than the table, so below the threshold there is
+    # no hub and the plain join is exact and cheaper.
+    hot = hot if order == "degree" and distinct_edges > hot else None
+    # Every branch below reads this one table: written once below the shared
+    # checkpoint folder, split by `up`, so that a branch reads its own part
+    # and columns. Its exact row count is observed while it is written, so
+    # the broadcast size check needs no pass of its own.
+    observation = Observation("triangle-edges")
+    table = _oriented(weighted, order, JoinPlan("auto"), hot).observe(observation, F.count(F.lit(1)).alias("rows"))
+    path = staging_path(edges.sparkSession, "triangle-edges")
+    table.write.partitionBy("up").parquet(path)
+    oriented = edges.sparkSession.read.schema(table.schema).parquet(path)
+    weighted.unpersist()
+    return oriented, observation.get["rows"], hot
 
 
 def triangle_count(
@@ -217,39 +275,19 @@ def triangle_count(
         raise ValueError("hot_rows must be >= 1")
     if order not in ORDERS:
         raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
-    checkpoint_dir(edges.sparkSession)
     check_strategy(strategy)
-    # The input is read once: the weighted edges are cached while the
-    # oriented table is built from them.
-    weighted = weighted_edges(edges, max_id, allow_loops).persist(StorageLevel.MEMORY_AND_DISK)
-    distinct_edges = weighted.count()
-    # At most 2 * edges / hot users have more than hot edges. The threshold
-    # rises with the table, so that this list always fits the broadcast bound.
-    hot = max(hot_rows, -(-2 * distinct_edges // max(1, broadcast_max_rows)))
-    # No user has more edges than the table, so below the threshold there is
-    # no hub and the plain join is exact and cheaper.
-    hot = hot if order == "degree" and distinct_edges > hot else None
-    # Every branch below reads this one table: written once below the shared
-    # checkpoint folder, split by `up`, so that a branch reads its own part
-    # and columns. Its exact row count is observed while it is written, so
-    # the broadcast size check needs no pass of its own.
-    observation = Observation("triangle-edges")
-    table = _oriented(weighted, order, JoinPlan("auto"), hot).observe(observation, F.count(F.lit(1)).alias("rows"))
-    path = staging_path(edges.sparkSession, "triangle-edges")
-    table.write.partitionBy("up").parquet(path)
-    oriented = edges.sparkSession.read.schema(table.schema).parquet(path)
-    weighted.unpersist()
-    rows = observation.get["rows"]
+    oriented, rows, hot = oriented_edges(edges, max_id, allow_loops, order, broadcast_max_rows, hot_rows)
     plan = resolve_strategy(strategy, oriented, broadcast_max_rows, known_rows=rows)
-
-    if plan.strategy == "broadcast":
-        # Its tasks follow the scan, not the keys; the proven row count holds
-        # for the sides as they are, without copies.
-        parts = _simple_cycles(oriented, mode, plan)
-    else:
-        centres = _hot_centres(oriented, order, rows, target_wedges, broadcast_max_rows)
-        parts = _simple_cycles(oriented, mode, plan, hot, centres)
+    centres = None
+    if plan.strategy != "broadcast":
+        centres = hot_centres(oriented, order, rows, target_wedges, broadcast_max_rows)
+    cycles = simple_cycles(oriented, order, plan, hot, centres)
+    parts = cycles.select(rotation_sum(mode, F.col("w_ab"), F.col("w_bc"), F.col("w_ca")).alias("c"))
     if allow_loops:
-        parts = parts.unionByName(_loop_cycles(oriented, mode, plan))
+        alone = loops_of(oriented).select(loop_weight(mode, F.col("w_xx")).alias("c"))
+        paired = loop_pairs(oriented, plan).select(
+            rotation_sum(mode, F.col("w_xx"), F.col("w_xy"), F.col("w_yx")).alias("c")
+        )
+        parts = parts.unionByName(alone).unionByName(paired)
     total = parts.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("closings"))
     return total.select("closings", F.expr("closings div 3").alias("triangles"))
