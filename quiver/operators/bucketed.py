@@ -1,7 +1,8 @@
 """Edges in bucketed tables, laid out once and reused by many joins.
 
-The distinct edges ``(src, dst, w)`` are saved three times, bucketed and sorted
-by ``src``, by ``dst`` and by the pair, with equal bucket counts. A join on one
+The distinct edges ``(src, dst, w, up)`` are saved three times, bucketed and sorted
+by ``src``, by ``dst`` and by the pair, with equal bucket counts; ``up`` tells an
+edge towards a higher-ranked user (:mod:`quiver.operators.triangles`). A join on one
 of these keys then reads its edge side bucket by bucket without an exchange:
 the path join (``dst`` of the one with ``src`` of the other), the join that
 attaches ranks to the edges of their source, and the closing join, whose paths
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiver.operators.edges import weighted_edges
+from quiver.operators.triangles import oriented_edges
 from quiver.session import staging_path
 
 LAYOUTS = {"src": ("src",), "dst": ("dst",), "pair": ("src", "dst")}
@@ -47,7 +48,8 @@ def write_bucketed(
         raise ValueError("buckets must be >= 1")
     spark = edges.sparkSession
     saved = BucketedEdges(name or f"quiver_edges_{uuid.uuid4().hex}", buckets)
-    rows = weighted_edges(edges, max_id).select("src", "dst", "w")
+    # Edges with a NULL end lead nowhere and are left out.
+    rows = oriented_edges(edges, max_id)[0].select("src", "dst", "w", "up")
     for layout, keys in LAYOUTS.items():
         path = f"{folder}/{layout}" if folder else staging_path(spark, f"edges-by-{layout}")
         # One task per bucket, so one file per bucket.
@@ -69,14 +71,27 @@ def bucketed_paths(spark: SparkSession, edges: BucketedEdges) -> DataFrame:
 
 
 def bucketed_closings(spark: SparkSession, edges: BucketedEdges) -> DataFrame:
-    """``(closings, triangles)`` in the path-bag mode. The paths, summed per
-    pair of ends, are dealt to the buckets of their closing edge; the edges
-    stay where they are."""
-    ends = bucketed_paths(spark, edges).groupBy(F.col("dst").alias("src"), F.col("src").alias("dst")).agg(
-        F.sum("copies").alias("copies")
+    """``(closings, triangles)`` in the path-bag mode. Each cycle is found once:
+    the wedges ``c -> a -> b`` of its lowest-ranked user, made without an
+    exchange, are dealt to the buckets of their closing edge ``b -> c``; the
+    edges stay where they are. A self-loop leads neither up nor down: it
+    enters its user, and leaves it only on the cycle of itself alone."""
+    up = F.col("up")
+    out_a = edges.read(spark, "src").where(F.coalesce(up, F.lit(True))).select(
+        F.col("src").alias("a"), F.col("dst").alias("b"), F.col("w").alias("w_ab")
+    )
+    in_a = edges.read(spark, "dst").where(~F.coalesce(up, F.lit(False))).select(
+        F.col("dst").alias("a"), F.col("src").alias("c"), F.col("w").alias("w_ca")
+    )
+    met = in_a.hint("merge").join(out_a, "a").where((F.col("b") != F.col("a")) | (F.col("c") == F.col("a")))
+    # Three rotations weigh w_ab * w_ca + w_bc * (w_ab + w_ca), a loop alone w * w.
+    alone = (F.col("b") == F.col("a")) & (F.col("c") == F.col("a"))
+    ends = met.select(
+        F.col("b").alias("src"), F.col("c").alias("dst"), (F.col("w_ab") * F.col("w_ca")).alias("product"),
+        F.when(alone, F.lit(0)).otherwise(F.col("w_ab") + F.col("w_ca")).alias("sum"),
     ).repartition(edges.buckets, "src", "dst")
-    closed = ends.join(edges.read(spark, "pair").select("src", "dst").hint("merge"), ["src", "dst"])
-    total = closed.agg(F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("closings"))
+    closed = ends.join(edges.read(spark, "pair").select("src", "dst", "w").hint("merge"), ["src", "dst"])
+    total = closed.agg(F.coalesce(F.sum(F.col("product") + F.col("sum") * F.col("w")), F.lit(0)).cast("bigint").alias("closings"))
     return total.select("closings", F.expr("closings div 3").alias("triangles"))
 
 
