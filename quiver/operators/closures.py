@@ -1,104 +1,28 @@
 """Closures per edge: intersection of sorted neighbour blocks.
 
 For an edge ``x -> y`` a closure is a user ``c`` with ``c -> x`` and ``y ->
-c``: the intersection of x's in-neighbours with y's out-neighbours. It is
-taken block by block (see :mod:`quiver.operators.adjacency`): of the two lists
-only blocks whose ranges overlap are paired, and the shorter block is looked
-up in the longer one. No wedge ``(x, y, c)`` is ever a row of a table.
-
-Users are hashed to ``parts``; a cell ``(part of x, part of y, part of c)``
-receives its edges and blocks once, so an edge is copied once per part of
-``c`` and a block once per part of the other end. The number of parts follows
-from the edge count so that a cell's lists stay near ``cell_ids`` ids; parts
-of ``c`` are added when a single user's list is longer than that.
+c``. Three users that close one another's edges are a cycle, so each cycle is
+found once, from its lowest-ranked user (see :mod:`quiver.operators.cycles`),
+and counts for its three edges. The lists that are intersected are blocks of
+:mod:`quiver.operators.adjacency`: the higher-ranked out-neighbours of a user
+and the in-neighbours of the user they are sent to. No wedge is ever a row of
+a table, and a block is copied once per higher-ranked in-neighbour of its user.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiver.operators.edges import cap_edges, weighted_edges
 from quiver.operators.adjacency import BLOCK_LENGTH, adjacency_blocks
+from quiver.operators.cycles import closed_wedges
+from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, JoinPlan
+from quiver.operators.edges import cap_edges, weighted_edges
 from quiver.operators.numbering import written
+from quiver.operators.triangles import at_salts, hot_centres, loop_pairs, loops_of, oriented_edges, wedges_of
 
-#: Ids in the lists of a cell, and pairs of ids that are looked up at a time.
-CELL_IDS, LOOKED_UP = 2_000_000, 1 << 20
-
-_FOUND = "follower bigint, followee bigint, w bigint, closures bigint"
-
-
-def _runs(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers ``begins[i] .. begins[i] + lengths[i] - 1`` of all ``i``."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - ends + lengths, lengths)
-
-
-class _Blocks:
-    """The blocks of a cell in one direction, ordered by user and range."""
-
-    def __init__(self, rows: pa.Table):
-        rows = rows.sort_by([("user", "ascending"), ("first", "ascending")])
-        self.user, self.first, self.last = (np.asarray(rows.column(c)) for c in ("user", "first", "last"))
-        lists = rows.column("neighbours").combine_chunks()
-        self.ids = np.asarray(lists.flatten())
-        self.n = np.asarray(lists.value_lengths(), dtype=np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.n)])
-
-    def of(self, users: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First block and number of blocks of each user."""
-        begin = np.searchsorted(self.user, users, side="left")
-        return begin, np.searchsorted(self.user, users, side="right") - begin
-
-
-def _overlaps(left: _Blocks, right: _Blocks, x: np.ndarray, y: np.ndarray):
-    """``(edge, block of x, block of y)`` for all blocks with overlapping ranges."""
-    begin, count = left.of(x)
-    edge, a = np.repeat(np.arange(len(x)), count), _runs(begin, count)
-    begin, count = right.of(y[edge])
-    pair, b = np.repeat(np.arange(len(edge)), count), _runs(begin, count)
-    meet = (left.first[a[pair]] <= right.last[b]) & (right.first[b] <= left.last[a[pair]])
-    return edge[pair[meet]], a[pair[meet]], b[meet]
-
-
-def _found_in(small: _Blocks, i: np.ndarray, large: _Blocks, j: np.ndarray) -> np.ndarray:
-    """How many ids of block ``small[i]`` are in block ``large[j]``, per pair."""
-    found = np.zeros(len(i), np.int64)
-    # A key orders by block, then by id, as the lists already are.
-    every = np.unique(np.concatenate([small.ids, large.ids]))
-    keys = np.repeat(np.arange(len(large.n)), large.n) * len(every) + np.searchsorted(every, large.ids)
-    own = np.searchsorted(every, small.ids)
-    done = np.concatenate([[0], np.cumsum(small.n[i])])
-    at = 0
-    while at < len(i):
-        end = max(at + 1, int(np.searchsorted(done, done[at] + LOOKED_UP, side="right")) - 1)
-        size = small.n[i[at:end]]
-        wanted = np.repeat(j[at:end], size) * len(every) + own[_runs(small.starts[i[at:end]], size)]
-        place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        owner = np.repeat(np.arange(end - at), size)
-        found[at:end] = np.bincount(owner, weights=keys[place] == wanted, minlength=end - at)
-        at = end
-    return found
-
-
-def _close(rows: pa.Table) -> pa.Table:
-    """Closures of the edges of one cell."""
-    kind = np.asarray(rows.column("kind"))
-    edges = rows.filter(pa.array(kind == 0))
-    x, y = np.asarray(edges.column("user")), np.asarray(edges.column("other"))
-    closures = np.zeros(len(x), np.int64)
-    if len(x) and (kind == 1).any() and (kind == 2).any():
-        into, out = _Blocks(rows.filter(pa.array(kind == 1))), _Blocks(rows.filter(pa.array(kind == 2)))
-        edge, a, b = _overlaps(into, out, x, y)
-        shorter = into.n[a] <= out.n[b]
-        for own, (small, i, large, j) in ((shorter, (into, a, out, b)), (~shorter, (out, b, into, a))):
-            if own.any():
-                np.add.at(closures, edge[own], _found_in(small, i[own], large, j[own]))
-    return pa.table({"follower": x, "followee": y, "w": np.asarray(edges.column("w")), "closures": closures})
+#: Wedges of a centre, and edges of a user, beyond which they are split.
+CELL_IDS = 2_000_000
 
 
 def edge_closures(
@@ -109,40 +33,30 @@ def edge_closures(
     the ``probe_bag`` triangle mode. Self-loops are kept and close like any
     other edge; an edge that nothing closes has 0.
     """
-    spark = edges.sparkSession
     weighted = written(weighted_edges(cap_edges(edges, max_id)), "closure-edges")
     pairs = weighted.select(F.col("src").alias("follower"), F.col("dst").alias("followee"))
-    total = weighted.count()
-    longest = max(
-        weighted.groupBy(c).count().agg(F.max("count")).first()[0] or 0 for c in ("src", "dst")
+    oriented, rows, hot = oriented_edges(pairs, hot_rows=cell_ids)
+    plan = JoinPlan("auto")
+    no_weights = F.lit(None).cast("array<bigint>").alias("ws")
+    upward = oriented.where("up").select(F.col("src").alias("follower"), F.col("dst").alias("followee"))
+    lists = adjacency_blocks(upward, "out", length).select(
+        F.col("user").alias("a"), F.col("block").alias("part"), F.col("neighbours").alias("ids"), no_weights
+    )
+    simple = oriented.where(F.col("up").isNotNull())
+    into = adjacency_blocks(simple.select(F.col("src").alias("follower"), F.col("dst").alias("followee")), "in", length)
+    degree = simple.select(F.col("dst").alias("user"), F.col("deg_dst").alias("deg_c")).distinct()
+    closing = into.join(degree, "user").select(F.col("user").alias("c"), "deg_c", F.col("neighbours").alias("ids"), no_weights)
+    centres = hot_centres(oriented, "degree", rows, cell_ids, DEFAULT_BROADCAST_MAX_ROWS)
+    cycles = closed_wedges(wedges_of(oriented, lists, plan, hot, centres), at_salts(closing, hot))
+
+    def three(rows: DataFrame, a: str, b: str, c: str) -> DataFrame:
+        ends = [F.struct(F.col(x).alias("src"), F.col(y).alias("dst")) for x, y in ((a, b), (b, c), (c, a))]
+        return rows.select(F.explode(F.array(*ends)).alias("e")).select("e.*")
+
+    closed = three(cycles, "a", "b", "c").unionByName(three(loop_pairs(oriented, plan), "x", "x", "y")).unionByName(
+        loops_of(oriented).select(F.col("x").alias("src"), F.col("x").alias("dst"))
+    ).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("closures"))
+    return weighted.join(closed, ["src", "dst"], "left").select(
+        F.col("src").alias("follower"), F.col("dst").alias("followee"), "w",
+        F.coalesce(F.col("closures"), F.lit(0)).cast("bigint").alias("closures"),
     )
-    parts = max(math.isqrt(spark.sparkContext.defaultParallelism) + 1, -(-2 * total // cell_ids))
-    thirds = max(1, -(-longest // cell_ids))
-
-    def part(column, salt, count=parts):
-        return F.pmod(F.xxhash64(F.lit(salt), F.col(column)), F.lit(count)).cast("int")
-
-    def every(count):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    none, no_list = F.lit(None).cast("bigint"), F.lit(None).cast("array<bigint>")
-    tables = [weighted.select(
-        F.lit(0).alias("kind"), F.col("src").alias("user"), F.col("dst").alias("other"), "w", none.alias("first"),
-        none.alias("last"), no_list.alias("neighbours"), part("src", 1).alias("xp"), part("dst", 1).alias("yp"),
-        every(thirds).alias("cp"),
-    )]
-    for kind, direction, own, copied, neighbour in ((1, "in", "xp", "yp", "follower"), (2, "out", "yp", "xp", "followee")):
-        for third in range(thirds):
-            held = pairs if thirds == 1 else pairs.where(part(neighbour, 2, thirds) == third)
-            blocks = adjacency_blocks(held, direction, length)
-            tables.append(blocks.select(
-                F.lit(kind).alias("kind"), "user", none.alias("other"), none.alias("w"), "first", "last", "neighbours",
-                part("user", 1).alias(own), every(parts).alias(copied), F.lit(third).alias("cp"),
-            ))
-    cells = tables[0]
-    for table in tables[1:]:
-        cells = cells.unionByName(table)
-    found = cells.groupBy("xp", "yp", "cp").applyInArrow(_close, _FOUND)
-    if thirds == 1:
-        return found
-    return found.groupBy("follower", "followee").agg(F.max("w").alias("w"), F.sum("closures").alias("closures"))
