@@ -8,16 +8,26 @@ logistic output. Embeddings start from the smoothed log-odds of each hash
 bucket in the training rows (first dimension; the others at random), then
 everything is trained by Adagrad.
 
-Thresholds are calibrated per language: part of the sample is set aside,
-the language of a text is guessed from its words alone (naive Bayes over the
-same hash buckets), and for each guessed language the probability that best
-separates the labels is mapped to a score of 0.7.
-
-Training takes a bounded sample: about ``PER_CLASS`` whole texts of each
-class, the ones with the smallest hashes of ``doc_id``, and no more texts of
-a class once ``TRAIN_BYTES`` bytes of it are read (its first text is always
-learnt, however long). It runs in one task; the model (a few MB) is broadcast.
-Scoring reads whole texts in every task.
+Thresholds are calibrated per language: a quarter of the rows, by a hash of
+``doc_id`` and text, is set aside, the language of a text is guessed from its
+words alone (naive Bayes over the same hash buckets), and for each guessed
+language the probability that best separates the labels is mapped to a score
+of 0.7.
+
+Every labelled row that may be learnt from is used, with its whole text:
+
+1. The document frequencies of the buckets, per class and per language, are
+   summed over all tasks: at most ``BUCKETS`` rows per class and language.
+2. The rows are dealt to shards of about ``SHARD_ROWS`` rows. Each shard trains
+   the model that starts from these counts on all its rows, at most
+   ``TRAIN_BYTES`` bytes of text at a time, and the trained models are averaged in
+   a tree of tasks, an embedding over the shards that have changed it.
+3. The rows set aside are scored, and counted by guessed language, label and
+   step of the logit; the thresholds come from these counts.
+
+Only the averaged model and the counts (a few MB, whatever the input) reach the
+driver. With more than ``MAX_LANGS`` languages among the labelled rows there is
+one threshold for all of them.
 
 Defined cases: null and empty texts are scored as a text without words;
 repeated rows get equal scores; without labels of both classes every score
@@ -36,13 +46,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quiver.llm.common import drawn, released, segment_ids, slices, within_bytes, words_of
+from quiver.llm.common import released, segment_ids, slices, staged, unstaged, words_of
 
 BUCKETS, DIM = 1 << 15, 12
 WIDTHS, FILTERS = (1, 2, 3), 8
-PER_CLASS = 1500
-TRAIN_BYTES = 24 << 20
+SHARD_ROWS = 4000
+TRAIN_BYTES = 4 << 20
 EPOCHS, RATE = 5, 0.05
+# Models that a task averages; languages with a threshold of their own; steps
+# of the logit in a unit, for the thresholds.
+FAN_IN, MAX_LANGS, STEPS = 16, 64, 256
 CUT = 0.7
 CHUNK = 1 << 16
 
@@ -116,50 +129,74 @@ def _calibrated(p: np.ndarray, cut: np.ndarray) -> np.ndarray:
     return np.clip(np.where(p < cut, low, high), 0, 1)
 
 
-def score_texts(model: dict, texts: pa.Array) -> np.ndarray:
-    if not model:
-        return np.zeros(len(texts))
+def _probabilities(model: dict, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of the toxic class and guessed language of each text."""
     vocabulary, codes, starts = words_of(texts, lower=False)
     buckets = _buckets(vocabulary)
     vectors = model["embeddings"][buckets].mean(axis=1)
     pooled = _pooled(model, codes, starts, vectors)
-    p = _sigmoid(pooled @ model["out"] + model["out_bias"])
-    return _calibrated(p, model["cuts"][_guess(model, buckets, codes, starts)])
+    return _sigmoid(pooled @ model["out"] + model["out_bias"]), _guess(model, buckets, codes, starts)
+
+
+def score_texts(model: dict, texts: pa.Array) -> np.ndarray:
+    if not model:
+        return np.zeros(len(texts))
+    p, guess = _probabilities(model, texts)
+    return _calibrated(p, model["cuts"][guess])
+
+
+def _logit(p: np.ndarray) -> np.ndarray:
+    """Step of the logit that a probability falls into."""
+    p = np.clip(np.asarray(p, np.float64), 1e-13, 1 - 1e-13)
+    return np.floor(np.log(p / (1 - p)) * STEPS).astype(np.int64)
 
 
-def _best_cut(p: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the gap at which the most labels agree."""
-    order = np.argsort(p)
-    p, y = p[order], y[order]
+def _best_cut(counted: dict[int, list[int]]) -> float:
+    """The middle of the gap at which the most labels agree. ``counted``:
+    rows of label 0 and of label 1 by step of the logit."""
+    steps = np.array(sorted(counted))
+    n = np.array([counted[s] for s in steps.tolist()])
     # Rows below a cut count as 0, the others as 1.
-    right = np.concatenate([[0], np.cumsum(y == 0)]) + np.concatenate([np.cumsum((y == 1)[::-1])[::-1], [0]])
-    edges = np.concatenate([[0.0], p, [1.0]])
-    width = np.diff(edges)
+    right = np.concatenate([[0], np.cumsum(n[:, 0])]) + np.concatenate([np.cumsum(n[::-1, 1])[::-1], [0]])
+    ends = np.concatenate([[0.0], _sigmoid((steps + 1) / STEPS)])
+    begins = np.concatenate([_sigmoid(steps / STEPS), [1.0]])
     best = np.flatnonzero(right == right.max())
-    k = best[width[best].argmax()]
-    return float(np.clip((edges[k] + edges[k + 1]) / 2, 0.02, 0.98))
+    k = best[(begins - ends)[best].argmax()]
+    return float(np.clip((begins[k] + ends[k]) / 2, 0.02, 0.98))
+
+
+def _counter(names: list[str]):
+    """Document frequencies of a task's rows: ``(kind, bucket, n)``; kinds 0
+    and 1 are the classes, 2 and above the languages."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((2 + len(names), BUCKETS), np.int64)
+        place = {name: 2 + k for k, name in enumerate(names)}
+        for batch in batches:
+            for part in slices(batch.column("text"), limit=TRAIN_BYTES):
+                rows = batch.slice(*part)
+                vocabulary, codes, starts = words_of(rows.column("text"), lower=False)
+                buckets = _buckets(vocabulary)
+                labels, langs = rows.column("toxic").to_pylist(), rows.column("lang").to_pylist()
+                for r in range(rows.num_rows):
+                    own = buckets[np.unique(codes[starts[r]:starts[r + 1]])]
+                    n[int(labels[r]), np.unique(own)] += 1
+                    if langs[r] in place:
+                        n[place[langs[r]], np.unique(own[:, 0])] += 1
+        kind, bucket = np.nonzero(n)
+        yield pa.RecordBatch.from_pydict({"kind": kind.astype(np.int32), "bucket": bucket.astype(np.int32), "n": n[kind, bucket]})
+        released()
 
+    return count
 
-def train(texts: pa.Array, labels: np.ndarray, langs: list[str | None], seed: int = 7) -> dict:
-    if len(set(labels.tolist())) < 2:
-        return {}
+
+def _initial(counts: dict[int, np.ndarray], n: np.ndarray, names: list[str], seed: int = 7) -> dict:
+    """The model before training, from the counts of all rows."""
     rng = np.random.default_rng(seed)
-    vocabulary, codes, starts = words_of(texts, lower=False)
-    buckets = _buckets(vocabulary)
-    rows = len(labels)
-    held = rng.random(rows) < 0.25
-    fit = np.flatnonzero(~held)
-
-    # Document frequencies of the buckets per class, for the initial embeddings.
-    seen = np.zeros((2, BUCKETS))
-    words = np.zeros((max(1, len(set(langs))), BUCKETS))
-    names = sorted({x for x in langs if x is not None}) or ["und"]
-    for r in fit:
-        own = buckets[np.unique(codes[starts[r]:starts[r + 1]])]
-        seen[int(labels[r]), np.unique(own)] += 1
-        if langs[r] is not None:
-            words[names.index(langs[r]), np.unique(own[:, 0])] += 1
-    n = np.array([(labels[fit] == c).sum() for c in (0, 1)]) + 1.0
+    none = np.zeros(BUCKETS)
+    seen = np.stack([counts.get(0, none), counts.get(1, none)])
+    words = np.stack([counts.get(2 + k, none) for k in range(len(names))]) if names else np.zeros((1, BUCKETS))
+    n = n + 1.0
     odds = np.log((seen[1] + 0.5) / n[1]) - np.log((seen[0] + 0.5) / n[0])
     trust = np.minimum(1, seen.sum(axis=0) / 8)
     model = {
@@ -168,13 +205,21 @@ def train(texts: pa.Array, labels: np.ndarray, langs: list[str | None], seed: in
         "bias": {w: np.zeros(FILTERS, np.float32) for w in WIDTHS},
         "out": np.full(len(WIDTHS) * FILTERS, 0.1, np.float32),
         "out_bias": np.float32(-1.0),
-        "langs": names,
-        "lang_words": np.log((words[:len(names)] + 0.1) / (words[:len(names)].sum(axis=1, keepdims=True) + 0.1 * BUCKETS)),
+        "langs": names or ["und"],
+        "lang_words": np.log((words + 0.1) / (words.sum(axis=1, keepdims=True) + 0.1 * BUCKETS)),
     }
     model["embeddings"][:, 0] = np.clip(odds * trust, -4, 4) / 2
     for w in WIDTHS:
         model["filters"][w][:, 0, :] += 0.5 / w
-    grads: dict = {}
+    return model
+
+
+def train(model: dict, grads: dict, texts: pa.Array, labels: np.ndarray, rng: np.random.Generator) -> None:
+    """Train ``model`` in place on all rows of a chunk; ``grads`` are the sums
+    of squared gradients so far."""
+    vocabulary, codes, starts = words_of(texts, lower=False)
+    buckets = _buckets(vocabulary)
+    fit = np.arange(len(labels))
 
     def step(name, param, grad, at=None):
         cache = grads.setdefault(name, np.zeros_like(param))
@@ -217,49 +262,154 @@ def train(texts: pa.Array, labels: np.ndarray, langs: list[str | None], seed: in
                 step(f"filters{w}", model["filters"][w], d_filter)
                 step(f"bias{w}", model["bias"][w], d.sum(axis=0))
 
-    # Thresholds per guessed language, from the rows set aside.
-    model["cuts"] = np.full(len(names), 0.5)
-    vectors = model["embeddings"][buckets].mean(axis=1)
-    p = _sigmoid(_pooled(model, codes, starts, vectors) @ model["out"] + model["out_bias"])
-    guess = _guess(model, buckets, codes, starts)
-    overall = _best_cut(p[held], labels[held]) if held.any() else 0.5
-    for k in range(len(names)):
-        own = held & (guess == k)
-        both = len(set(labels[own].tolist())) == 2 and own.sum() >= 30
-        model["cuts"][k] = _best_cut(p[own], labels[own]) if both else overall
-    return model
+
+def _params(model: dict) -> dict[str, np.ndarray]:
+    """The dense parameters by name."""
+    named = {"out": model["out"]}
+    for w in WIDTHS:
+        named[f"filters{w}"], named[f"bias{w}"] = model["filters"][w], model["bias"][w]
+    return named
+
+
+def _trainer(shared):
+    """Trains a shard: ``model`` is the sum of changes and their weights."""
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = shared.value
+        model, grads, rows, rng = pickle.loads(pickle.dumps(start)), {}, 0, np.random.default_rng(7)
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def learn():
+            chunk = pa.Table.from_batches(held).combine_chunks()
+            train(model, grads, chunk.column("text").combine_chunks(), np.asarray(chunk.column("toxic"), np.float64), rng)
+            return chunk.num_rows
+
+        for batch in batches:
+            for begin, n in slices(batch.column("text"), limit=TRAIN_BYTES):
+                part = batch.slice(begin, n)
+                held.append(part)
+                size += part.column("text").nbytes
+                if size >= TRAIN_BYTES:
+                    rows += learn()
+                    held, size = [], 0
+        if held:
+            rows += learn()
+        if rows:
+            moved = (grads["embeddings"].sum(axis=1, keepdims=True) > 0) if "embeddings" in grads else np.zeros((BUCKETS, 1), bool)
+            change = {
+                "rows": rows, "moved": (moved * rows).astype(np.float64), "out_bias": rows * float(model["out_bias"] - start["out_bias"]),
+                "embeddings": rows * (model["embeddings"] - start["embeddings"]),
+                **{k: rows * (v - _params(start)[k]) for k, v in _params(model).items()},
+            }
+            yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(change)], pa.binary())})
+        released()
+
+    return trained
 
 
-def _trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = within_bytes(batches, "toxic", TRAIN_BYTES)
-    model = train(
-        rows.column("text").combine_chunks(), np.asarray(rows.column("toxic"), np.float64), rows.column("lang").to_pylist()
-    ) if rows.num_rows else {}
-    yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One sum of the changes of a task's models."""
+    total: dict = {}
+    for batch in batches:
+        for blob in batch.column("model"):
+            change = pickle.loads(blob.as_py())
+            total = {k: total[k] + v for k, v in change.items()} if total else change
+    if total:
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(total)], pa.binary())})
     released()
 
 
+def _averaged(model: dict, total: dict) -> dict:
+    """``model`` with the mean of the changes."""
+    rows = total["rows"]
+    model["embeddings"] += (total["embeddings"] / np.maximum(total["moved"], 1)).astype(np.float32)
+    model["out_bias"] += np.float32(total["out_bias"] / rows)
+    for k, v in _params(model).items():
+        v += (total[k] / rows).astype(np.float32)
+    return model
+
+
+def _judge(shared):
+    """``(guess, toxic, step, n)`` of a task's rows."""
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for part in slices(batch.column("text")):
+                rows = batch.slice(*part)
+                p, guess = _probabilities(model, rows.column("text"))
+                yield pa.RecordBatch.from_pydict({
+                    "guess": guess.astype(np.int32), "toxic": np.asarray(rows.column("toxic"), np.int32), "step": _logit(p),
+                })
+        released()
+
+    return judged
+
+
+def _cuts(counts: list, langs: int) -> np.ndarray:
+    """Threshold of each guessed language, from ``(guess, toxic, step, n)``."""
+    per: dict[int, dict[int, list[int]]] = {k: {} for k in range(-1, langs)}
+    for r in counts:
+        # -1: all languages together.
+        for k in (-1, r["guess"]):
+            per[k].setdefault(r["step"], [0, 0])[r["toxic"]] += r["n"]
+
+    def rows(counted):
+        return [sum(n[label] for n in counted.values()) for label in (0, 1)]
+
+    overall = _best_cut(per[-1]) if per[-1] else 0.5
+    enough = [min(rows(per[k])) > 0 and sum(rows(per[k])) >= 30 for k in range(langs)]
+    return np.array([_best_cut(per[k]) if enough[k] else overall for k in range(langs)])
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> dict:
-    """Train on ``labels (doc_id, toxic)`` and the texts of ``docs``.
+    """Train on all of ``labels (doc_id, toxic)`` and the texts of ``docs``.
 
     ``learn``: condition on ``doc_id`` of rows that may be learnt from.
     """
     spark = docs.sparkSession
-    usable = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
+    usable = labels.where(F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int"))
     usable = usable.where("doc_id IS NOT NULL").distinct()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     if learn is not None:
-        usable = usable.where(learn)
-    sizes = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+        usable, texts = usable.where(learn), texts.where(learn)
+    mark = F.xxhash64(F.lit(3), "doc_id", "text")
+    # Labels grow with the texts: no plan that holds for a few of them alone.
+    rows = staged(texts.join(usable.hint("merge"), "doc_id").select("toxic", "text", "lang", mark.alias("mark")), "toxicity-rows")
+    held = F.pmod(F.shiftright("mark", 32), F.lit(4)) == 0
+    sizes = {r["toxic"]: r["n"] for r in rows.where(~held).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
+        unstaged(rows)
         return {}
-    # About PER_CLASS rows of each of the two classes, whatever the size of the input.
-    chosen = F.broadcast(drawn(usable, "toxic", sizes, PER_CLASS, seed=3))
-    texts = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")
-    )
-    sample = texts.join(chosen, "doc_id").repartition(1).sortWithinPartitions("_mark", "doc_id", "toxic", "text")
-    row = sample.mapInArrow(_trainer, "model binary").first()
-    return pickle.loads(row["model"]) if row else {}
+    fitted = rows.where(~held)
+    names = sorted(r["lang"] for r in fitted.where("lang IS NOT NULL").select("lang").distinct().limit(MAX_LANGS + 1).collect())
+    names = names if len(names) <= MAX_LANGS else []
+    counts: dict[int, np.ndarray] = {}
+    counted = fitted.select("toxic", "text", "lang").mapInArrow(_counter(names), "kind int, bucket int, n bigint")
+    # At most BUCKETS rows per class and language.
+    for r in counted.groupBy("kind", "bucket").agg(F.sum("n").alias("n")).collect():
+        counts.setdefault(r["kind"], np.zeros(BUCKETS))[r["bucket"]] = r["n"]
+    model = _initial(counts, np.array([sizes[0], sizes[1]], np.float64), names)
+
+    shared = spark.sparkContext.broadcast(model)
+    shards = -(-sum(sizes.values()) // SHARD_ROWS)
+    dealt = fitted.repartition(shards, F.xxhash64("mark")).sortWithinPartitions("mark", "toxic").select("toxic", "text")
+    models = dealt.mapInArrow(_trainer(shared), "model binary")
+    while shards > 1:
+        shards = -(-shards // FAN_IN)
+        models = models.repartition(shards).mapInArrow(_summed, "model binary")
+    model = _averaged(model, pickle.loads(models.first()["model"]))
+    shared.unpersist()
+
+    shared = spark.sparkContext.broadcast(model)
+    judged = rows.where(held).select("toxic", "text").mapInArrow(_judge(shared), "guess int, toxic int, step bigint")
+    # A row per language, label and step of the logit.
+    counts = judged.groupBy("guess", "toxic", "step").agg(F.count(F.lit(1)).alias("n")).collect()
+    model["cuts"] = _cuts(counts, len(model["langs"]))
+    shared.unpersist()
+    unstaged(rows)
+    return model
 
 
 def scorer(spark, model: dict):
