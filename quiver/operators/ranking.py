@@ -17,21 +17,22 @@ dangling mass ``D``; every node then gets ``received + D / n``.
 Physical layout (per run, not per round):
 
 * the input is read once, pre-aggregated to weighted edges; the graph
-  ``(src, part, dst, share)`` is persisted, hash-partitioned by
-  ``(src, part)`` (its lineage is one scan and a few aggregates, so a lost
+  ``(src, part, dst, w)`` is persisted, hash-partitioned by
+  ``(src, part)`` and sorted by ``dst`` in a partition (its lineage is one scan and a few aggregates, so a lost
   block is cheap to rebuild); a source
   with more than ``split_rows`` out-edges is split into several parts
   (salted by ``dst``), so one hub cannot put a third of the graph into one
   task;
-* the node-part table ``(id, part)`` (one row per node, more for a split
-  hub) is persisted once, partitioned by ``id``.
+* the node-part table ``(id, part, out_rows)`` (one row per node, more for a
+  split hub) is persisted once, partitioned by ``id``; the out-degree travels
+  with the rank, so it is never joined to the edges on its own.
 
 Persisted tables keep their hash partitioning in later plans (a checkpoint
 does not), so the graph is never shuffled again after the first round.
 
 Each round then moves only the rank table (one row per node part) to the
 graph, where a hash join built on the ranks streams the graph without
-sorting it, and the partially aggregated messages to their targets. The
+sorting it again, and the partially aggregated messages to their targets. The
 rank table is shuffled, or broadcast when its exact row count (taken once
 before the first round) is at most ``broadcast_max_rows``. The
 messages of every round are checkpointed to the shared folder, which cuts
@@ -51,7 +52,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quiver.functions.formatting import truncate_units
-from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, salted_join
+from quiver.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 from quiver.session import checkpoint_dir
 
 DANGLING = ("same", "lagged")
@@ -68,8 +69,8 @@ class PageRankResult:
 
 @dataclass
 class _Layout:
-    graph: DataFrame  # (src, part, dst, share), partitioned by (src, part)
-    parts: DataFrame  # (id, part): one row per node part, partitioned by id
+    graph: DataFrame  # (src, part, dst, w), partitioned by (src, part)
+    parts: DataFrame  # (id, part, out_rows): one row per node part, partitioned by id
     n: int
     part_rows: int
     fingerprint: str  # of the weighted edges
@@ -106,58 +107,50 @@ def _layout(
     # broadcast bound: the threshold rises with the graph.
     split_rows = max(split_rows, -(-int(rows) // max(1, broadcast_max_rows)))
 
-    node_ids = weighted.select(F.col("src").alias("id"))
+    # One pass gives the nodes and their out-rows (null: none).
+    ids = weighted.select(F.col("src").alias("id"), F.col("w").alias("out_rows"))
+    none = F.lit(None).cast("bigint").alias("out_rows")
     if absent == "add":
-        node_ids = node_ids.unionByName(weighted.where(F.col("dst").isNotNull()).select(F.col("dst").alias("id")))
+        ids = ids.unionByName(weighted.where(F.col("dst").isNotNull()).select(F.col("dst").alias("id"), none))
     if extra_nodes is not None:
-        node_ids = node_ids.unionByName(extra_nodes.select(F.col("id").cast("bigint").alias("id")))
-    node_ids = node_ids.distinct()
+        ids = ids.unionByName(extra_nodes.select(F.col("id").cast("bigint").alias("id"), none))
+    nodes = ids.groupBy("id").agg(F.sum("out_rows").alias("out_rows")).select(
+        "id", "out_rows", F.coalesce(F.ceil(F.col("out_rows") / split_rows), F.lit(1)).alias("parts")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = nodes.agg(
+        F.count(F.lit(1)).alias("nodes"), F.sum("parts").alias("rows"), F.max("parts").alias("most")
+    ).first()
 
-    out_rows = weighted.groupBy("src").agg(F.sum("w").alias("out_rows"))
-    sized = out_rows.select(
-        "src", "out_rows", F.greatest(F.lit(1), F.ceil(F.col("out_rows") / split_rows)).alias("parts")
-    )
-    # At most rows / split_rows sources are split, so that list is provably
-    # small enough to broadcast; their edges then meet their out-degree row
-    # in several tasks instead of one.
-    hubs = sized.where(F.col("parts") > 1).select("src", F.col("parts").alias("salts"))
-    # With no more rows than split_rows there is no hub to split.
-    if split_rows < int(rows):
-        with_degree = salted_join(weighted, sized, "src", "dst", hubs)
-    else:
-        with_degree = weighted.join(sized, "src")
-    with_share = with_degree.select(
-        "src",
-        F.when(F.col("parts") > 1, F.pmod(F.xxhash64("dst"), F.col("parts"))).otherwise(0).alias("part"),
-        "dst",
-        (F.col("w") / F.col("out_rows")).alias("share"),
-    )
-    nodes = node_ids.join(sized, node_ids.id == sized.src, "left").select(
-        "id",
-        F.coalesce(F.col("parts"), F.lit(1)).alias("parts"),
-        F.col("src").isNull().alias("no_out"),
-    )
     # Nodes without any out-row hand their whole rank to the sink.
-    no_out = nodes.where("no_out").select(
-        F.col("id").alias("src"), F.lit(0).alias("part"),
-        F.lit(None).cast("bigint").alias("dst"), F.lit(1.0).alias("share"),
-    )
+    edges = weighted.unionByName(nodes.where("out_rows IS NULL").select(
+        F.col("id").alias("src"), F.lit(None).cast("bigint").alias("dst"), F.lit(1).cast("bigint").alias("w")
+    ))
+    part = F.lit(0).cast("bigint")
+    if counts["most"] and counts["most"] > 1:
+        # At most rows / split_rows sources are split, so that list is
+        # provably small enough to broadcast; a hub's edges then meet its
+        # out-degree in several tasks instead of one.
+        hubs = nodes.where("parts > 1").select(F.col("id").alias("src"), F.col("parts").alias("salts"))
+        edges = edges.join(F.broadcast(hubs), "src", "left")
+        part = F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("dst"), F.col("salts"))).otherwise(part)
+    # The edges are moved once; the out-degree of a source goes with its rank.
+    # Sorted by target, messages to one target follow each other in a round.
     routed = (
-        with_share.unionByName(no_out)
+        edges.select("src", part.alias("part"), "dst", "w")
         .repartition(partitions, "src", "part")
+        .sortWithinPartitions("dst")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    parts = (
-        nodes.select("id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        .repartition(partitions, "id")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    counts = parts.agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col("part") == 0, 1)).alias("nodes")
-    ).first()
-    routed.count()  # build the graph layout now, so the weighted edges can go
+    parts = nodes.select(
+        "id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
+        F.coalesce("out_rows", F.lit(1)).alias("out_rows"),
+    ).repartition(partitions, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    # Build both layouts now, so that what they derive from can go.
+    routed.count()
+    parts.count()
     weighted.unpersist()
-    return _Layout(routed, parts, int(counts["nodes"] or 0), int(counts["rows"]), f"{rows}/{read['mark'] or 0}")
+    nodes.unpersist()
+    return _Layout(routed, parts, counts["nodes"], int(counts["rows"] or 0), f"{rows}/{read['mark'] or 0}")
 
 
 def pagerank(
@@ -218,9 +211,9 @@ def _check(dangling: str, absent: str, split_rows: int, rows_per_partition: int)
 def _start(layout: _Layout, initial: DataFrame | None) -> DataFrame:
     """Start rank of every node part; part 0 is the node's own row."""
     if initial is None:
-        return layout.parts.select("id", "part", F.lit(1.0 / max(1, layout.n)).alias("rank"))
+        return layout.parts.withColumn("rank", F.lit(1.0 / max(1, layout.n)))
     return layout.parts.join(initial.select("id", "rank"), "id", "left").select(
-        "id", "part", F.coalesce(F.col("rank").cast("double"), F.lit(0.0)).alias("rank")
+        "id", "part", "out_rows", F.coalesce(F.col("rank").cast("double"), F.lit(0.0)).alias("rank")
     )
 
 
@@ -234,15 +227,13 @@ def _round(
     messages = layout.graph.join(
         F.broadcast(fanned) if layout.part_rows <= broadcast_max_rows else fanned.hint("shuffle_hash"),
         (layout.graph.src == fanned.id) & (layout.graph.part == fanned.part),
-    ).select("dst", (F.col("share") * F.col("rank")).alias("m"))
-    if dangling_scale is None:
-        d_col, sink_units = F.col("m"), F.lit(None).cast("bigint")
-    else:
-        d_col = F.col("units") / F.lit(float(dangling_scale))
-        sink_units = F.when(F.col("dst").isNull(), truncate_units(F.col("m"), dangling_scale))
-    received = messages.groupBy("dst").agg(
-        F.sum("m").alias("m"), F.sum(sink_units).alias("units")
-    )
+    ).select("dst", (F.col("w") / F.col("out_rows") * F.col("rank")).alias("m"))
+    if dangling_scale is not None:
+        # Into the sink, whole units are summed (exact in a double).
+        units = truncate_units(F.col("m"), dangling_scale).cast("double")
+        messages = messages.select("dst", F.when(F.col("dst").isNull(), units).otherwise(F.col("m")).alias("m"))
+    d_col = F.col("m") / F.lit(float(dangling_scale or 1))
+    received = messages.groupBy("dst").agg(F.sum("m").alias("m"))
     if absent == "drop":
         # One row per target by now, so no target is hot in this join.
         own = layout.parts.where(F.col("part") == 0).select(F.col("id").alias("node"))
@@ -268,7 +259,7 @@ def _delivered(layout: _Layout, received: DataFrame, spread: float) -> DataFrame
     parts = layout.parts
     to_nodes = received.where(F.col("dst").isNotNull())
     return parts.join(to_nodes, parts.id == to_nodes.dst, "left").select(
-        "id", "part", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / max(1, layout.n))).alias("rank")
+        "id", "part", "out_rows", (F.coalesce(F.col("m"), F.lit(0.0)) + F.lit(spread / max(1, layout.n))).alias("rank")
     )
 
 

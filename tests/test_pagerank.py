@@ -3,6 +3,8 @@
 import pytest
 
 from quiver.operators import pagerank, top_k
+from quiver.operators.ranking import _layout
+from quiver.plans.inspect import plan_text
 from quiver.sources import edges_to_graph, kchain_graph, kchain_initial_ranks, node_table_graph, read_node_table
 
 
@@ -110,6 +112,28 @@ def test_hub_split_gives_same_ranks(spark):
     assert max(abs(whole[i] - split[i]) for i in whole) < 1e-15
 
 
+def test_layout_moves_the_edges_once(spark):
+    # No join of the edges with their out-degrees, and one shuffle by source.
+    layout = _layout(kchain_graph(spark, 6), None, split_rows=100, rows_per_partition=10)
+    text = plan_text(layout.graph)
+    assert "Join" not in text
+    assert {r.of: r.out_rows for r in layout.parts.selectExpr("id AS of", "out_rows").collect()} == dict.fromkeys(range(1, 37), 1)
+    assert layout.graph.count() == 36 and layout.n == layout.part_rows == 36
+    layout.graph.unpersist()
+    layout.parts.unpersist()
+
+
+def test_repeated_edges_hubs_and_sinks_share_by_rows(spark):
+    rows = [(1, 2), (1, 2), (1, 3), (1, None), (2, 1), (2, None), (2, None), (4, 1)]
+    graph = spark.createDataFrame(rows, "src bigint, dst bigint")
+    start = spark.createDataFrame([(1, 0.44), (2, 0.36), (3, 0.25), (4, 0.1)], "id bigint, rank double")
+    for split_rows in (2, 100):
+        result = pagerank(graph, iterations=1, initial=start, dangling="lagged", dangling_scale=10, split_rows=split_rows)
+        assert _ranks(result) == pytest.approx({1: 0.22, 2: 0.22, 3: 0.11, 4: 0.0})
+        # Whole tenths into the sink: 1 of user 1, 2 of user 2 in one message, 2 of user 3.
+        assert _last(result.dangling, "dangling") == pytest.approx(0.5)
+
+
 def test_kchain_initial_ranks(spark):
     rows = kchain_initial_ranks(spark, 3).collect()
     assert len(rows) == 9 and all(abs(r.rank - 1 / 9) < 1e-18 for r in rows)
