@@ -43,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,20 +61,76 @@ CUT = 0.7
 CHUNK = 1 << 16
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+_ASCII_EDGES = "".join(c for c in map(chr, range(128)) if not c.isalnum())
+# CRC-32 of each byte; words of more bytes are hashed one by one.
+_CRC_TABLE = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC_TABLE = np.where(_CRC_TABLE & 1, (_CRC_TABLE >> 1) ^ np.uint32(0xEDB88320), _CRC_TABLE >> 1)
+LONG_WORD = 64
+
+
+def _bare(vocabulary: pa.Array) -> pa.Array:
+    """The words lower-cased and freed of surrounding punctuation."""
+    other = pc.invert(pc.string_is_ascii(vocabulary))
+    bare = pc.ascii_trim(pc.ascii_lower(vocabulary), characters=_ASCII_EDGES)
+    lowered = [word.lower() for word in vocabulary.filter(other).to_pylist()]
+    if not lowered:
+        return bare
+    return pc.replace_with_mask(bare, other, pa.array([w if w.isalnum() else _EDGES.sub("", w) for w in lowered], bare.type))
+
+
+def _crc32(words: pa.Array, prefix: bytes = b"") -> np.ndarray:
+    """``zlib.crc32(prefix + word)`` of large strings, taken a byte of all words at a time."""
+    start = zlib.crc32(prefix)
+    out = np.full(len(words), start, np.uint32)
+    sizes = np.asarray(pc.binary_length(words), np.int64)
+    for i in np.flatnonzero(sizes > LONG_WORD):
+        out[i] = zlib.crc32(words[i].as_py().encode(), start)
+    order = np.flatnonzero((sizes > 0) & (sizes <= LONG_WORD))
+    if not len(order):
+        return out
+    # Longest first: the words that have a byte left are always the first ones.
+    order = order[np.argsort(-sizes[order], kind="stable")]
+    offsets, data = (np.frombuffer(b, t) for b, t in zip(words.buffers()[1:], (np.int64, np.uint8)))
+    begins = offsets[words.offset:][order]
+    left = np.searchsorted(-sizes[order], -np.arange(sizes[order[0]]), side="left")
+    state = np.full(len(order), ~np.uint32(start))
+    for at, n in enumerate(left):
+        state[:n] = _CRC_TABLE[(state[:n] ^ data[begins[:n] + at]) & 0xFF] ^ (state[:n] >> 8)
+    out[order] = ~state
+    return out
 
 
 def _buckets(vocabulary: pa.Array) -> np.ndarray:
     """Four hash buckets per word: the word and its prefixes of 3, 4, 5 letters."""
-    out = np.empty((len(vocabulary), 4), np.int64)
-    for i, word in enumerate(vocabulary.to_pylist()):
-        word = _EDGES.sub("", word.lower())
-        out[i, 0] = zlib.crc32(word.encode()) % BUCKETS
-        for k in (3, 4, 5):
-            part = f"{k}:{word[:k]}" if len(word) >= k else word
-            out[i, k - 2] = zlib.crc32(part.encode()) % BUCKETS
+    words = _bare(vocabulary)
+    letters = np.asarray(pc.utf8_length(words), np.int64)
+    out = np.empty((len(words), 4), np.int64)
+    out[:, 0] = _crc32(words) % BUCKETS
+    for k in (3, 4, 5):
+        part = _crc32(pc.utf8_slice_codeunits(words, 0, k), f"{k}:".encode()) % BUCKETS
+        out[:, k - 2] = np.where(letters >= k, part, out[:, 0])
     return out
 
 
+def _vectors(embeddings: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """Mean of the four embeddings of each word."""
+    total = embeddings.take(buckets[:, 0], axis=0)
+    for k in (1, 2, 3):
+        total += embeddings.take(buckets[:, k], axis=0)
+    total /= 4
+    return total
+
+
+def _added(param: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """``np.add.at(param, at, values)`` on rows of a contiguous float32 array,
+    by one index a number. Unpickled arrays have a type object of their own,
+    with which numpy takes its slow path: a view has the common one."""
+    width = param.shape[1]
+    index = (at[:, None] * width + np.arange(width)).reshape(-1)
+    np.add.at(param.reshape(-1).view(np.float32), index, values.reshape(-1).view(np.float32))
+
+
 def _pooled(model: dict, codes: np.ndarray, starts: np.ndarray, vectors: np.ndarray, positions: bool = False):
     """Maxima of every filter over each row's words (and where they lie)."""
     rows = len(starts) - 1
@@ -91,19 +148,26 @@ def _pooled(model: dict, codes: np.ndarray, starts: np.ndarray, vectors: np.ndar
             here = codes[lo:hi]
             owner = segment_ids(starts[row:end + 1])
             for at, w in enumerate(WIDTHS):
-                act = tables[w][0][here] + model["bias"][w]
+                act = tables[w][0].take(here, axis=0)
+                act += model["bias"][w]
                 for o in range(1, w):
-                    inside = owner[o:] == owner[:-o]
-                    act[:-o][inside] += tables[w][o][here[o:]][inside]
-                np.maximum(act, 0, out=act)
-                begins = starts[full] - lo
+                    more = tables[w][o].take(here[o:], axis=0)
+                    # A window ends with its row.
+                    more[owner[o:] != owner[:-o]] = 0
+                    act[:-o] += more
                 cols = slice(at * FILTERS, (at + 1) * FILTERS)
-                pooled[full, cols] = np.maximum.reduceat(act, begins)
                 if positions:
+                    # A filter's values side by side; a maximum below 0 moves nothing.
+                    act = np.ascontiguousarray(act.T)
                     for r in full:
                         s, e = starts[r] - lo, starts[r + 1] - lo
-                        where[r, cols] = act[s:e].argmax(axis=0) + starts[r]
+                        best = act[:, s:e].argmax(axis=1)
+                        where[r, cols] = best + starts[r]
+                        pooled[r, cols] = act[np.arange(FILTERS), best + s]
+                else:
+                    pooled[full, cols] = np.maximum.reduceat(act, starts[full] - lo)
         row = end
+    np.maximum(pooled, 0, out=pooled)
     return (pooled, where) if positions else pooled
 
 
@@ -133,8 +197,7 @@ def _probabilities(model: dict, texts: pa.Array) -> tuple[np.ndarray, np.ndarray
     """Probability of the toxic class and guessed language of each text."""
     vocabulary, codes, starts = words_of(texts, lower=False)
     buckets = _buckets(vocabulary)
-    vectors = model["embeddings"][buckets].mean(axis=1)
-    pooled = _pooled(model, codes, starts, vectors)
+    pooled = _pooled(model, codes, starts, _vectors(model["embeddings"], buckets))
     return _sigmoid(pooled @ model["out"] + model["out_bias"]), _guess(model, buckets, codes, starts)
 
 
@@ -179,10 +242,12 @@ def _counter(names: list[str]):
                 buckets = _buckets(vocabulary)
                 labels, langs = rows.column("toxic").to_pylist(), rows.column("lang").to_pylist()
                 for r in range(rows.num_rows):
-                    own = buckets[np.unique(codes[starts[r]:starts[r + 1]])]
-                    n[int(labels[r]), np.unique(own)] += 1
+                    own = codes[starts[r]:starts[r + 1]]
+                    # A bucket that repeats is raised by one all the same.
+                    own = buckets[own if len(own) <= len(buckets) else np.unique(own)]
+                    n[int(labels[r])][own.reshape(-1)] += 1
                     if langs[r] in place:
-                        n[place[langs[r]], np.unique(own[:, 0])] += 1
+                        n[place[langs[r]]][own[:, 0]] += 1
         kind, bucket = np.nonzero(n)
         yield pa.RecordBatch.from_pydict({"kind": kind.astype(np.int32), "bucket": bucket.astype(np.int32), "n": n[kind, bucket]})
         released()
@@ -222,22 +287,28 @@ def train(model: dict, grads: dict, texts: pa.Array, labels: np.ndarray, rng: np
     fit = np.arange(len(labels))
 
     def step(name, param, grad, at=None):
-        cache = grads.setdefault(name, np.zeros_like(param))
+        if name not in grads:
+            grads[name] = np.zeros_like(param)
+        cache = grads[name]
         if at is None:
             cache += grad * grad
             param -= RATE * grad / (np.sqrt(cache) + 1e-6)
         else:
-            np.add.at(cache, at, grad * grad)
-            np.add.at(param, at, -RATE * grad / (np.sqrt(cache[at]) + 1e-6))
+            _added(cache, at, grad * grad)
+            _added(param, at, -RATE * grad / (np.sqrt(cache[at]) + 1e-6))
 
     for _ in range(EPOCHS):
         rng.shuffle(fit)
         for begin in range(0, len(fit), 50):
             batch = fit[begin:begin + 50]
             local = np.concatenate([codes[starts[r]:starts[r + 1]] for r in batch])
-            own, local = np.unique(local, return_inverse=True)
+            # The chunk's words that the batch holds, and their places among them.
+            held = np.zeros(len(buckets), bool)
+            held[local] = True
+            own = np.flatnonzero(held)
+            local = (np.cumsum(held) - 1)[local]
             at = np.concatenate([[0], np.cumsum([starts[r + 1] - starts[r] for r in batch])])
-            vectors = model["embeddings"][buckets[own]].mean(axis=1) if len(own) else np.zeros((0, DIM), np.float32)
+            vectors = _vectors(model["embeddings"], buckets[own])
             pooled, where = _pooled(model, local, at, vectors, positions=True)
             error = (_sigmoid(pooled @ model["out"] + model["out_bias"]) - labels[batch]) / len(batch)
             d_pooled = np.outer(error, model["out"]) * (pooled > 0)
@@ -247,7 +318,7 @@ def train(model: dict, grads: dict, texts: pa.Array, labels: np.ndarray, rng: np
                 cols = slice(k * FILTERS, (k + 1) * FILTERS)
                 d, pos = d_pooled[:, cols].astype(np.float32), where[:, cols]
                 ends = at[1:, None]
-                d_filter = np.zeros_like(model["filters"][w])
+                d_filter = np.zeros((w, FILTERS, DIM), np.float32)
                 for o in range(w):
                     inside = (pos + o < ends) & (d != 0)
                     r, f = np.nonzero(inside)
@@ -255,11 +326,11 @@ def train(model: dict, grads: dict, texts: pa.Array, labels: np.ndarray, rng: np
                         continue
                     word = local[pos[r, f] + o]
                     g = d[r, f][:, None]
-                    np.add.at(d_filter[o].T, f, g * vectors[word])
+                    _added(d_filter[o], f, g * vectors[word])
                     grad = g * model["filters"][w][o][:, f].T / 4
                     for c in range(4):
                         step("embeddings", model["embeddings"], grad, buckets[own[word], c])
-                step(f"filters{w}", model["filters"][w], d_filter)
+                step(f"filters{w}", model["filters"][w], d_filter.transpose(0, 2, 1))
                 step(f"bias{w}", model["bias"][w], d.sum(axis=0))
 
 
